@@ -1,0 +1,62 @@
+"""Running totals along time that do not gather a whole key in one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+MINUTE_US = 60_000_000
+
+
+def running_over_time(
+    df: DataFrame,
+    keys: list[str],
+    at: str,
+    sums: dict[str, Column] | None = None,
+    maxes: dict[str, Column] | None = None,
+    before: dict[str, Column] | None = None,
+    bucket_us: int = MINUTE_US,
+) -> DataFrame:
+    """Add running values per key in order of ``at`` (microseconds, a bigint column).
+
+    ``sums`` and ``maxes`` include the row itself and its ties; ``before`` is the
+    maximum over strictly earlier rows. ``df`` should hold each (keys, at) once.
+
+    A plain window by key would sort all rows of the key in one task. Here the window
+    works within (key, minute), and each minute starts from the totals of the minutes
+    before it. The carried totals are one row per key and minute, so what one task
+    sees is bounded by the clock, not by how many rows a key has.
+    """
+    sums, maxes, before = sums or {}, maxes or {}, before or {}
+    inputs = {f"_s_{n}": c for n, c in sums.items()}
+    inputs |= {f"_m_{n}": c for n, c in maxes.items()}
+    inputs |= {f"_b_{n}": c for n, c in before.items()}
+    base = df.select("*", *[c.alias(n) for n, c in inputs.items()]).withColumn(
+        "_bucket", F.floor(F.col(at) / F.lit(bucket_us)).cast("long")
+    )
+
+    def total(name: str) -> Column:
+        return F.sum(name) if name.startswith("_s_") else F.max(name)
+
+    per_bucket = base.groupBy(*keys, "_bucket").agg(*[total(n).alias(n) for n in inputs])
+    earlier = (
+        Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    carried = per_bucket.select(
+        *keys, "_bucket", *[total(n).over(earlier).alias(f"{n}_in") for n in inputs]
+    )
+    spot = Window.partitionBy(*keys, "_bucket").orderBy(at)
+    upto, prior = spot.rangeBetween(Window.unboundedPreceding, 0), spot.rowsBetween(Window.unboundedPreceding, -1)
+    inside = base.select(
+        *df.columns,
+        "_bucket",
+        *[total(n).over(prior if n.startswith("_b_") else upto).alias(n) for n in inputs],
+    )
+    same = [inside[k].eqNullSafe(carried[k]) for k in keys] + [inside["_bucket"] == carried["_bucket"]]
+    condition = same[0]
+    for part in same[1:]:
+        condition = condition & part
+    joined = inside.join(carried, condition)
+    out = [F.expr(f"coalesce(_s_{n}, 0) + coalesce(_s_{n}_in, 0)").alias(n) for n in sums]
+    out += [F.greatest(f"_m_{n}", f"_m_{n}_in").alias(n) for n in maxes]
+    out += [F.greatest(f"_b_{n}", f"_b_{n}_in").alias(n) for n in before]
+    return joined.select(*[inside[c] for c in df.columns], *out)
