@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigilframe.operators import dedup, detect
-from vigilframe.plans import features, gold, silver as silver_plan
-from vigilframe.session import use_utc
-from vigilframe.sources import bridge
+from vigilframe.functions import events as ev
+from vigilframe.operators import dedup, detect, evaluate, forest, quality, validate
+from vigilframe.operators.filters import FilterSpec, apply_filters
+from vigilframe.plans import anomalies, features, gold, ingest, rollups
+from vigilframe.plans import quality as quality_plan, semantic as semantic_plan, silver as silver_plan
+from vigilframe.session import settle, use_utc, work_path
+from vigilframe.sources import bridge, contracts, tables
+from vigilframe.streaming import sinks, sources as stream, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,3 +107,343 @@ def detectors() -> dict[str, Query]:
         "lockout_correlation": _on_silver(_lockouts),
         "failure_sessions": _on_silver(lambda v: detect.failure_sessions(v, gap_minutes=2 * days)),
     }
+
+
+def validate_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Every raw JSON line of the table's events with its error text."""
+    parsed = _parsed(spark, folder)
+    return parsed.select("raw_record", "event_id", "error_reason")
+
+
+def _parsed(spark: SparkSession, folder: str) -> DataFrame:
+    return validate.parse_lines(bridge.raw_json_lines(bridge.read_events(use_utc(spark), folder)))
+
+
+def _route_valid(spark: SparkSession, folder: str) -> DataFrame:
+    return validate.valid_rows(_parsed(spark, folder)).select("event_id", "event_time", "event_type", "username")
+
+
+def _route_dead_letter(spark: SparkSession, folder: str) -> DataFrame:
+    return validate.rejected_rows(_parsed(spark, folder)).select("event_id", "raw_record", "error_reason")
+
+
+def _address_checks(spark: SparkSession, folder: str) -> DataFrame:
+    ip = F.col("src_ip")
+    return bronze(spark, folder).select(
+        "event_id", "_batch_id", "src_ip",
+        ev.looks_like_ipv4(ip).alias("ipv4_shape"), ev.is_strict_ipv4(ip).alias("strict_ipv4"),
+        ev.is_uuid_v4(F.col("event_id")).alias("uuid_v4"),
+    )
+
+
+def _internal_split(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("is_internal_ip").agg(F.count("*").alias("event_count"))
+
+
+def _ingest_jsonl(spark: SparkSession, folder: str) -> DataFrame:
+    """Write the events as raw lines, ingest them twice, show both tables' contents."""
+    raw, base = work_path(spark, "raw"), work_path(spark, "base")
+    lines = bridge.raw_json_lines(bridge.read_events(use_utc(spark), folder))
+    lines.repartition(4).write.text(f"{raw}/text")
+    # The writer names its files .txt; the reader takes what the glob names.
+    ingest_lines = lambda: ingest.ingest_lines(
+        spark, spark.read.text(f"{raw}/text").select("value", F.lit("events.jsonl").alias("_source_file"),
+                                                     F.lit("batch_20240101_001").alias("_batch_id")), base)
+    ingest_lines()
+    ingest_lines()
+    rows = tables.read_table(spark, tables.table_path(base, "bronze.security_events"), contracts.BRONZE)
+    return rows.select("event_id", "event_time", "event_type", "username", "_source_file", "_batch_id")
+
+
+def ingesting() -> dict[str, Query]:
+    return {
+        "validate_events": validate_events,
+        "route_valid": _route_valid,
+        "route_dead_letter": _route_dead_letter,
+        "ingest_jsonl": _ingest_jsonl,
+        "address_checks": _address_checks,
+        "internal_ip_split": _on_silver(_internal_split),
+    }
+
+
+def _flagged(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Windows with four or more attacks, and windows with an off-hours escalation."""
+    results = features.hourly_features(rows).select(
+        "window_start", (F.col("attack_event_count") >= 4).alias("is_anomaly")
+    )
+    known = rows.filter("event_type = 'privilege_escalation' AND NOT is_business_hours").select(
+        ev.hour_start(F.col("event_time")).alias("window_start")
+    )
+    return results, known
+
+
+def _minmax(spark: SparkSession, folder: str) -> DataFrame:
+    rows = bridge.read_events(use_utc(spark), folder).select("event_id", "value")
+    return _rounded(forest.minmax_scores(rows, "value", "score"), "score")
+
+
+def _forest_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    rows = settle(features.hourly_features(silver(spark, folder)), "features")
+    features.validate_features(rows)
+    nodes = settle(forest.fit(rows, list(contracts.FEATURES), "window_start"), "forest")
+    return rows, nodes
+
+
+def _iforest_scores(spark: SparkSession, folder: str) -> DataFrame:
+    rows, nodes = _forest_parts(spark, folder)
+    return anomalies.score_windows(rows, nodes)
+
+
+def _contributions(spark: SparkSession, folder: str) -> DataFrame:
+    rows, nodes = _forest_parts(spark, folder)
+    return anomalies.predict_anomalies(rows, nodes)
+
+
+def _top_contributors(spark: SparkSession, folder: str) -> DataFrame:
+    rows, nodes = _forest_parts(spark, folder)
+    return anomalies.top_contributors(anomalies.score_windows(rows, nodes), nodes)
+
+
+def _anomaly_timeline(spark: SparkSession, folder: str) -> DataFrame:
+    rows, nodes = _forest_parts(spark, folder)
+    return gold.anomaly_timeline(anomalies.score_windows(rows, nodes))
+
+
+def _training_cut(spark: SparkSession, folder: str) -> DataFrame:
+    rows, nodes = _forest_parts(spark, folder)
+    return forest.contamination_cut(forest.Scorer(nodes, list(contracts.FEATURES)).add(rows), 0.05)
+
+
+def _summary_of_flags(rows: DataFrame) -> DataFrame:
+    flags = features.hourly_features(rows).withColumn("is_anomaly", F.col("attack_event_count") >= 4)
+    return gold.anomaly_summary(flags)
+
+
+def models() -> dict[str, Query]:
+    return {
+        "minmax_scores": _minmax,
+        "confusion_matrix": _on_silver(lambda v: evaluate.confusion_matrix(*_flagged(v))),
+        "evaluate_anomalies": _on_silver(lambda v: evaluate.evaluate_anomalies(*_flagged(v))),
+        "anomaly_summary": _on_silver(_summary_of_flags),
+        "iforest_scores": _iforest_scores,
+        "iforest_training_cut": _training_cut,
+        "anomaly_contributions": _contributions,
+        "anomaly_top_features": _top_contributors,
+        "anomaly_timeline": _anomaly_timeline,
+    }
+
+
+def _table_of(rows: DataFrame) -> Callable[[str], DataFrame]:
+    """Tables by name, derived on demand from Silver."""
+    plans = {
+        "silver.silver_events": lambda: rows,
+        "gold.kpi_summary": lambda: _kpis(rows),
+        "gold.attack_volume_by_day": lambda: gold.attack_volume_by_day(rows),
+        "gold.attack_volume_by_country": lambda: gold.attack_volume_by_country(rows),
+        "gold.hourly_event_summary": lambda: gold.hourly_event_summary(rows),
+        "gold.anomaly_results": lambda: features.hourly_features(rows).select(
+            "window_start", "window_end", (F.col("attack_event_count") >= 4).alias("is_anomaly"),
+            F.round("avg_severity_rank", 6).alias("anomaly_score"), "total_event_count",
+            F.lit("attack_event_count").alias("top_contributing_feature"), F.lit("fixed").alias("model_version"),
+        ),
+    }
+    return lambda name: plans[name]()
+
+
+AS_OF = date(2024, 1, 31)
+
+# The example queries of the interface description.
+SEMANTIC = {
+    "semantic_kpi": {
+        "measures": [f"KpiSummary.{m}" for m in
+                     ("totalAttacks", "failedLoginRate", "avgMttdMinutes", "avgMttrMinutes", "slaCompliance")],
+    },
+    "semantic_by_day": {
+        "measures": ["AttackVolumeByDay.attackCount"],
+        "timeDimensions": [{"dimension": "AttackVolumeByDay.eventDate", "granularity": "day",
+                            "dateRange": ["2024-01-05", "2024-01-20"]}],
+        "order": {"AttackVolumeByDay.eventDate": "asc"},
+    },
+    "semantic_top_countries": {
+        "measures": ["AttackVolumeByCountry.attackCount"],
+        "dimensions": ["AttackVolumeByCountry.country"],
+        "order": {"AttackVolumeByCountry.attackCount": "desc"},
+        "limit": 10,
+    },
+    "semantic_hourly": {
+        "measures": [f"HourlyEventSummary.{m}" for m in ("eventCount", "uniqueIps", "uniqueUsers")],
+        "dimensions": ["HourlyEventSummary.eventType"],
+        "timeDimensions": [{"dimension": "HourlyEventSummary.eventHour", "granularity": "hour",
+                            "dateRange": "Last 7 days"}],
+    },
+    "semantic_events": {
+        "measures": ["SecurityEvents.count", "SecurityEvents.attackCount"],
+        "dimensions": ["SecurityEvents.eventType"],
+        "filters": [
+            {"member": "SecurityEvents.severity", "operator": "equals", "values": ["critical", "high"]},
+            {"member": "SecurityEvents.country", "operator": "equals", "values": ["KP", "IR", "SY"]},
+        ],
+        "timeDimensions": [{"dimension": "SecurityEvents.eventTime", "dateRange": "Last 30 days"}],
+    },
+    "semantic_distinct": {
+        "measures": ["SecurityEvents.uniqueIps", "SecurityEvents.uniqueUsers", "SecurityEvents.failedLoginCount"],
+        "dimensions": ["SecurityEvents.department", "SecurityEvents.isBusinessHours"],
+    },
+    "semantic_anomalies": {
+        "measures": ["AnomalyResults.anomalyScore", "AnomalyResults.totalEventCount"],
+        "dimensions": ["AnomalyResults.topContributingFeature", "AnomalyResults.modelVersion"],
+        "timeDimensions": [{"dimension": "AnomalyResults.windowStart", "granularity": "hour"}],
+        "filters": [{"member": "AnomalyResults.isAnomaly", "operator": "equals", "values": ["true"]}],
+    },
+    "semantic_date_filter": {
+        "measures": ["AttackVolumeByDay.attackCount", "AttackVolumeByDay.cumulativeAttackCount"],
+        "timeDimensions": [{"dimension": "AttackVolumeByDay.eventDate", "granularity": "day"}],
+        "filters": [
+            {"member": "AttackVolumeByDay.eventDate", "operator": "afterDate", "values": ["2024-01-01"]},
+            {"member": "AttackVolumeByDay.eventDate", "operator": "beforeDate", "values": ["2024-01-31"]},
+        ],
+    },
+}
+
+
+def _semantic(query: dict) -> Query:
+    return lambda s, d: semantic_plan.semantic_query(_table_of(silver(s, d)), query, as_of=AS_OF, sep="__")
+
+
+def _dashboard(rows: DataFrame) -> DataFrame:
+    """All multi-select filters at once, then a chart."""
+    spec = FilterSpec(
+        event_types=("malware_alert", "failed_login", "vpn_login"), severities=("low", "high"),
+        countries=("US", "GB", "KP"), date_range="Last 30 days", as_of=AS_OF,
+    )
+    return gold.events_by_type(apply_filters(rows, spec))
+
+
+def _calendar(rows: DataFrame) -> DataFrame:
+    spec = FilterSpec(departments=("IT", "Legal"), hours=(9, 10, 22), weekdays=(1, 7), months=(1,))
+    return gold.hourly_activity(apply_filters(rows, spec))
+
+
+def _rollup(rows: DataFrame) -> DataFrame:
+    return rollups.build_rollup(rows, "day", ("event_type",)).drop("ips_sketch", "users_sketch")
+
+
+def _stored_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    path = work_path(spark, "rollup")
+    rollups.write_rollup(silver(spark, folder), path)
+    return rollups.query_rollup(rollups.read_rollup(spark, path))
+
+
+def semantic() -> dict[str, Query]:
+    found = {name: _semantic(query) for name, query in SEMANTIC.items()}
+    return found | {
+        "dashboard_filters": _on_silver(_dashboard),
+        "calendar_filters": _on_silver(_calendar),
+        "rollup_daily": _on_silver(_rollup),
+        "approx_daily_rollup": _stored_rollup,
+    }
+
+
+def _dq_bronze(spark: SparkSession, folder: str) -> DataFrame:
+    rows = bronze(spark, folder)
+    name = "bronze.security_events"
+    return quality.report(
+        quality.unique(rows, name, "event_id"),
+        quality.not_null(rows, name, ["event_id", "event_time", "src_ip", "destination_ip", "detection_time"]),
+        quality.accepted_values(rows, name, {"event_type": contracts.EVENT_TYPES, "severity": contracts.SEVERITIES}),
+        quality.relationship(rows, name, "event_id", silver(spark, folder), "event_id"),
+    )
+
+
+def _dq_report(spark: SparkSession, folder: str) -> DataFrame:
+    rows = silver(spark, folder)
+    table = _table_of(rows)
+    names = ("kpi_summary", "attack_volume_by_day", "attack_volume_by_country", "hourly_event_summary")
+    return quality_plan.dq_report(rows, {f"gold.{n}": table(f"gold.{n}") for n in names})
+
+
+def _freshness(spark: SparkSession, folder: str) -> DataFrame:
+    rows = silver(spark, folder)
+    layers = {
+        "bronze": (bronze(spark, folder), "_ingested_at"),
+        "silver": (rows, "event_time"),
+        "gold": (gold.hourly_event_summary(rows), "event_hour"),
+    }
+    return quality.freshness(layers, datetime(2024, 1, 31, 0, 4))
+
+
+def checking() -> dict[str, Query]:
+    return {
+        "dq_bronze": _dq_bronze,
+        "dq_silver": _on_silver(lambda v: quality_plan.silver_checks(v).filter("check <> 'contract'")),
+        "dq_report": _dq_report,
+        "freshness": _freshness,
+    }
+
+
+def _bronze_stream(spark: SparkSession, folder: str) -> DataFrame:
+    schema = bridge.read_events(use_utc(spark), folder).schema
+    return bridge.bronze_from_events(stream.stream_table(spark, folder, schema, "events.parquet"))
+
+
+def _drained(spark: SparkSession, name: str, start: Callable[[str, str], object]) -> str:
+    """Run a stream until its input is used up; returns the output path."""
+    path = work_path(spark, name)
+    start(path, f"{path}-checkpoint").awaitTermination()
+    return path
+
+
+def _stream_upsert(build: Callable[[DataFrame], DataFrame], keys: list[str], name: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        rows = build(stream.stream_clean(_bronze_stream(spark, folder)))
+        path = _drained(spark, name, lambda p, c: sinks.upsert_stream(rows, p, c, keys))
+        return spark.read.parquet(path)
+
+    return run
+
+
+def _stream_append(build: Callable[[DataFrame], DataFrame], name: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        rows = build(_bronze_stream(spark, folder))
+        path = _drained(spark, name, lambda p, c: sinks.append_stream(rows, p, c))
+        return spark.read.schema(rows.schema).parquet(path)
+
+    return run
+
+
+def _stream_lockouts(rows: DataFrame) -> DataFrame:
+    clean = stream.stream_clean(rows)
+    return windows.lockout_stream(clean, clean, 60, 86_400, keys=("country", "department", "operating_system"))
+
+
+def _stream_silver(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _bronze_stream(spark, folder)
+    base = _drained(spark, "stream-silver", lambda p, c: sinks.silver_stream(rows, p, c))
+    return tables.read_table(spark, tables.table_path(base, "silver.silver_events"), contracts.SILVER)
+
+
+def _stream_late(spark: SparkSession, folder: str) -> DataFrame:
+    rows = stream.readable_times(_bronze_stream(spark, folder)).select("event_id", "_batch_id", "ts")
+    path = _drained(spark, "stream-late", lambda p, c: sinks.split_late(rows, p, c))
+    kept = spark.read.parquet(f"{path}/on_time").select("event_id", F.lit("on_time").alias("outcome"))
+    return kept.unionByName(spark.read.parquet(f"{path}/late").select("event_id", F.lit("late").alias("outcome")))
+
+
+def streams() -> dict[str, Query]:
+    return {
+        "stream_hourly": _stream_upsert(windows.hourly_stream, ["event_hour", "event_type"], "stream-hourly"),
+        "stream_hourly_counts": _stream_upsert(
+            lambda r: windows.hourly_stream(r).drop("approx_unique_ips", "approx_unique_users"),
+            ["event_hour", "event_type"], "stream-counts"),
+        "stream_features": _stream_upsert(windows.feature_stream, ["window_start"], "stream-features"),
+        "stream_bursts": _stream_upsert(
+            lambda r: windows.burst_stream(r, threshold=2, window="12 hours", slide="3 hours"),
+            ["src_ip", "window_start"], "stream-bursts"),
+        "stream_sessions": _stream_append(
+            lambda r: windows.failure_session_stream(stream.stream_clean(r), gap="2 days"), "stream-sessions"),
+        "stream_lockouts": _stream_append(_stream_lockouts, "stream-lockouts"),
+        "stream_dedup": _stream_append(
+            lambda r: windows.dedup_stream(stream.readable_times(r)).select("event_id", "event_type"), "stream-dedup"),
+        "stream_silver": _stream_silver,
+        "stream_late_split": _stream_late,
+    }

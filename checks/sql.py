@@ -234,3 +234,232 @@ g AS (SELECT src_ip, event_time, SUM(CASE WHEN prev IS NULL OR event_time - prev
 SELECT src_ip, MIN(event_time) AS session_start, MAX(event_time) + INTERVAL 2 DAYS AS session_end, COUNT(*) AS failed_logins
 FROM g GROUP BY src_ip, session"""
     return q
+
+
+_ALLOWED = (
+    "['account_lockout', 'brute_force_attempt', 'failed_login', 'malware_alert', "
+    "'privilege_escalation', 'successful_login', 'suspicious_ip_activity', 'vpn_login']"
+).replace("'", "''")
+
+# The raw lines spelled out from their parts; a line's fields follow from k alone.
+RAW = "WITH" + _BRONZE[: _BRONZE.index("shaped AS")].rstrip().rstrip(",") + f""",
+parts AS (
+  SELECT k,
+    CASE WHEN k = 1 THEN NULL WHEN k = 2 THEN '   ' ELSE concat('ev-', CAST(event_id AS VARCHAR)) END AS event_id,
+    CASE WHEN k IN (1, 5) THEN NULL ELSE CAST(ts AS VARCHAR) END AS event_time,
+    CASE WHEN k = 3 THEN NULL WHEN k = 4 THEN 'Failed_Login' WHEN k = 6 THEN '' ELSE etype END AS event_type,
+    concat('user_', CAST(user_id AS VARCHAR)) AS username
+  FROM typed WHERE k <> 8),
+lines AS (
+  SELECT CASE WHEN k = 7 THEN 'this is not json' ELSE concat(
+      '{{"event_id":', CASE WHEN event_id IS NULL THEN 'null' ELSE concat('"', event_id, '"') END,
+      ',"event_time":', CASE WHEN event_time IS NULL THEN 'null' ELSE concat('"', event_time, '"') END,
+      ',"event_type":', CASE WHEN event_type IS NULL THEN 'null' ELSE concat('"', event_type, '"') END,
+      ',"username":"', username, '"}}') END AS raw_record,
+    CASE WHEN k = 7 THEN NULL ELSE event_id END AS event_id,
+    CASE WHEN k = 7 THEN NULL ELSE event_time END AS event_time,
+    CASE WHEN k = 7 THEN NULL ELSE event_type END AS event_type,
+    username, k
+  FROM parts),
+judged AS (
+  SELECT *, CASE WHEN k = 7 THEN 'JSON parse error: the line is not valid JSON' ELSE concat_ws('; ',
+    CASE WHEN event_id IS NULL THEN 'Missing required field: event_id' WHEN trim(event_id) = '' THEN 'Required field is empty: event_id' END,
+    CASE WHEN event_time IS NULL THEN 'Missing required field: event_time' WHEN trim(event_time) = '' THEN 'Required field is empty: event_time' END,
+    CASE WHEN event_type IS NULL THEN 'Missing required field: event_type' WHEN trim(event_type) = '' THEN 'Required field is empty: event_type'
+         WHEN event_type NOT IN ('failed_login','successful_login','malware_alert','privilege_escalation','suspicious_ip_activity',
+                                 'vpn_login','account_lockout','brute_force_attempt')
+         THEN concat('Invalid event_type: ''', event_type, '''. Must be one of: {_ALLOWED}') END) END AS error_reason
+  FROM lines)"""
+
+
+def ingesting() -> dict[str, str]:
+    return {
+        "validate_events": RAW + " SELECT raw_record, event_id, error_reason FROM judged",
+        "route_valid": RAW + " SELECT event_id, event_time, event_type, username FROM judged WHERE error_reason = ''",
+        "route_dead_letter": RAW + """ SELECT CASE WHEN k = 7 THEN 'unknown' ELSE event_id END AS event_id, raw_record, error_reason
+          FROM judged WHERE error_reason <> ''""",
+        "ingest_jsonl": RAW + """ SELECT event_id, event_time, event_type, username, 'events.jsonl' AS _source_file,
+          'batch_20240101_001' AS _batch_id FROM judged WHERE error_reason = ''""",
+        "address_checks": BRONZE + r""" SELECT event_id, _batch_id, src_ip,
+          src_ip IS NOT NULL AND regexp_matches(src_ip, '^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}$') AS ipv4_shape,
+          src_ip IS NOT NULL AND regexp_matches(src_ip, '^((25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])$') AS strict_ipv4,
+          regexp_matches(lower(event_id), '^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$') AS uuid_v4
+          FROM bronze""",
+        "internal_ip_split": SILVER + " SELECT is_internal_ip, COUNT(*) AS event_count FROM silver GROUP BY 1",
+    }
+
+
+_FLAGS = FEATURES + """,
+results AS (SELECT window_start, attack_event_count >= 4 AS is_anomaly, window_end FROM features),
+known AS (SELECT DISTINCT DATE_TRUNC('hour', event_time) AS window_start FROM silver
+          WHERE event_type = 'privilege_escalation' AND NOT is_business_hours),
+flagged AS (SELECT DISTINCT window_start FROM results WHERE is_anomaly),
+counts AS (SELECT
+  (SELECT COUNT(*) FROM (SELECT * FROM flagged INTERSECT SELECT * FROM known)) AS tp,
+  (SELECT COUNT(*) FROM (SELECT * FROM flagged EXCEPT SELECT * FROM known)) AS fp,
+  (SELECT COUNT(*) FROM (SELECT window_start FROM results EXCEPT SELECT * FROM flagged EXCEPT SELECT * FROM known)) AS tn,
+  (SELECT COUNT(*) FROM (SELECT * FROM known EXCEPT SELECT * FROM flagged)) AS fn)"""
+
+
+def models() -> dict[str, str]:
+    return {
+        "minmax_scores": """SELECT event_id, ROUND((value - MIN(value) OVER ()) * 2.0 / (MAX(value) OVER () - MIN(value) OVER ()) - 1.0, 6) AS score
+          , value FROM events""",
+        "confusion_matrix": _FLAGS + " SELECT tp AS true_positives, fp AS false_positives, tn AS true_negatives, fn AS false_negatives FROM counts",
+        "evaluate_anomalies": _FLAGS + """ SELECT
+          ROUND(CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END, 4) AS precision,
+          ROUND(CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END, 4) AS recall,
+          CASE WHEN tp + fp = 0 THEN FALSE ELSE CAST(tp AS DOUBLE) / (tp + fp) >= 0.7 END AS precision_meets_target,
+          CASE WHEN tp + fn = 0 THEN FALSE ELSE CAST(tp AS DOUBLE) / (tp + fn) >= 0.6 END AS recall_meets_target,
+          tp + fp AS n_flagged_windows, tp + fn AS n_true_anomaly_windows, tp AS n_true_positives FROM counts""",
+        "anomaly_summary": _FLAGS + """ SELECT COUNT(*) FILTER (WHERE is_anomaly) AS n_anomalies, COUNT(*) AS n_windows,
+          ROUND(CAST(COUNT(*) FILTER (WHERE is_anomaly) AS DOUBLE) / COUNT(*) * 100, 2) AS anomaly_percentage,
+          MIN(window_start) AS first_window, MAX(window_end) AS last_window FROM results""",
+    }
+
+
+def semantic() -> dict[str, str]:
+    q = {
+        "semantic_kpi": GOLD + """ SELECT MAX(total_attacks) AS KpiSummary__totalAttacks, MAX(failed_login_rate) AS KpiSummary__failedLoginRate,
+          MAX(avg_mttd_minutes) AS KpiSummary__avgMttdMinutes, MAX(avg_mttr_minutes) AS KpiSummary__avgMttrMinutes,
+          MAX(sla_compliance) AS KpiSummary__slaCompliance FROM kpi""",
+        "semantic_by_day": GOLD + """ SELECT CAST(event_date AS TIMESTAMP) AS AttackVolumeByDay__eventDate,
+          CAST(SUM(attack_count) AS BIGINT) AS AttackVolumeByDay__attackCount FROM by_day
+          WHERE event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY 1 ORDER BY 1""",
+        "semantic_top_countries": GOLD + """ SELECT country AS AttackVolumeByCountry__country,
+          CAST(SUM(attack_count) AS BIGINT) AS AttackVolumeByCountry__attackCount FROM by_country GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
+        "semantic_hourly": GOLD + """ SELECT event_type AS HourlyEventSummary__eventType, event_hour AS HourlyEventSummary__eventHour,
+          CAST(SUM(event_count) AS BIGINT) AS HourlyEventSummary__eventCount, CAST(SUM(unique_ips) AS BIGINT) AS HourlyEventSummary__uniqueIps,
+          CAST(SUM(unique_users) AS BIGINT) AS HourlyEventSummary__uniqueUsers FROM hourly
+          WHERE event_hour >= TIMESTAMP '2024-01-24' AND event_hour < TIMESTAMP '2024-01-31' GROUP BY 1, 2""",
+        "semantic_events": SILVER + """ SELECT event_type AS SecurityEvents__eventType, COUNT(*) AS SecurityEvents__count,
+          COUNT(*) FILTER (WHERE is_attack_event) AS SecurityEvents__attackCount FROM silver
+          WHERE severity IN ('critical','high') AND country IN ('KP','IR','SY')
+            AND event_time >= TIMESTAMP '2024-01-01' AND event_time < TIMESTAMP '2024-01-31' GROUP BY 1""",
+        "semantic_distinct": SILVER + """ SELECT department AS SecurityEvents__department, is_business_hours AS SecurityEvents__isBusinessHours,
+          COUNT(DISTINCT src_ip) AS SecurityEvents__uniqueIps, COUNT(DISTINCT username) AS SecurityEvents__uniqueUsers,
+          COUNT(*) FILTER (WHERE event_type = 'failed_login') AS SecurityEvents__failedLoginCount FROM silver GROUP BY 1, 2""",
+        "semantic_anomalies": FEATURES + """ SELECT 'attack_event_count' AS AnomalyResults__topContributingFeature, 'fixed' AS AnomalyResults__modelVersion,
+          window_start AS AnomalyResults__windowStart, AVG(ROUND(avg_severity_rank, 6)) AS AnomalyResults__anomalyScore,
+          CAST(SUM(total_event_count) AS BIGINT) AS AnomalyResults__totalEventCount FROM features
+          WHERE attack_event_count >= 4 GROUP BY 1, 2, 3""",
+        "semantic_date_filter": GOLD + """ SELECT CAST(event_date AS TIMESTAMP) AS AttackVolumeByDay__eventDate,
+          CAST(SUM(attack_count) AS BIGINT) AS AttackVolumeByDay__attackCount,
+          MAX(cumulative_attack_count) AS AttackVolumeByDay__cumulativeAttackCount FROM by_day
+          WHERE event_date > DATE '2024-01-01' AND event_date < DATE '2024-01-31' GROUP BY 1""",
+    }
+    q["dashboard_filters"] = SILVER + """ SELECT event_type, COUNT(*) AS event_count FROM silver
+      WHERE event_type IN ('malware_alert','failed_login','vpn_login') AND severity IN ('low','high') AND country IN ('US','GB','KP')
+        AND event_time >= TIMESTAMP '2024-01-01' AND event_time < TIMESTAMP '2024-01-31' GROUP BY 1"""
+    q["calendar_filters"] = SILVER + """ SELECT hour_of_day, COUNT(*) AS event_count FROM silver
+      WHERE department IN ('IT','Legal') AND hour_of_day IN (9, 10, 22) AND day_of_week IN (1, 7) AND EXTRACT(MONTH FROM event_time) = 1 GROUP BY 1"""
+    q["rollup_daily"] = SILVER + """ SELECT CAST(CAST(event_time AS DATE) AS TIMESTAMP) AS period, event_type, COUNT(*) AS event_count,
+      COUNT(*) FILTER (WHERE is_attack_event) AS attack_count, COUNT(*) FILTER (WHERE event_type = 'failed_login') AS failed_login_count,
+      CAST(DATE_TRUNC('month', event_time) AS DATE) AS month FROM silver GROUP BY 1, 2, 6"""
+    return q
+
+
+def _check(check: str, table: str, column: str, count: str) -> str:
+    return (
+        f"SELECT '{check}' AS \"check\", '{table}' AS \"table\", '{column}' AS \"column\", "
+        f"CAST(n AS BIGINT) AS failing_rows, n = 0 AS passed FROM ({count})"
+    )
+
+
+_TYPES = "('failed_login','successful_login','malware_alert','privilege_escalation','suspicious_ip_activity','vpn_login','account_lockout','brute_force_attempt')"
+_LEVELS = "('low','medium','high','critical')"
+
+
+def _null_checks(source: str, table: str, columns: list[str]) -> list[str]:
+    return [
+        _check("not_null", table, c, f"SELECT COUNT(*) FILTER (WHERE {c} IS NULL) AS n FROM {source}") for c in columns
+    ]
+
+
+def _repeats(source: str, table: str, column: str) -> str:
+    return _check("unique", table, column, f"SELECT COUNT(*) AS n FROM (SELECT {column} FROM {source} GROUP BY 1 HAVING COUNT(*) > 1)")
+
+
+def _accepted(source: str, table: str) -> list[str]:
+    return [
+        _check("accepted_values", table, c, f"SELECT COUNT(*) FILTER (WHERE {c} NOT IN {v}) AS n FROM {source}")
+        for c, v in (("event_type", _TYPES), ("severity", _LEVELS))
+    ]
+
+
+def _orphans(child: str, table: str, column: str) -> str:
+    return _check("relationship", table, column,
+                  f"SELECT COUNT(*) AS n FROM {child} WHERE {column} NOT IN (SELECT {column} FROM silver)")
+
+
+def checking() -> dict[str, str]:
+    silver_name = "silver.silver_events"
+    required = ("event_id event_time username src_ip hostname event_type severity severity_rank status country operating_system "
+                "department hour_of_day day_of_week is_business_hours is_internal_ip is_attack_event _ingested_at _source_file _batch_id").split()
+    silver_rows = [
+        _repeats("silver", silver_name, "event_id"), *_null_checks("silver", silver_name, required),
+        *_accepted("silver", silver_name),
+        _check("range", silver_name, "severity_rank", "SELECT COUNT(*) FILTER (WHERE severity_rank NOT BETWEEN 1 AND 4) AS n FROM silver"),
+    ]
+    contract = [f"SELECT 'contract' AS \"check\", '{silver_name}' AS \"table\", '*' AS \"column\", CAST(0 AS BIGINT) AS failing_rows, TRUE AS passed"]
+    kpi = "gold.kpi_summary"
+    day, country, hour = "gold.attack_volume_by_day", "gold.attack_volume_by_country", "gold.hourly_event_summary"
+    gold_rows = [
+        *_null_checks("kpi", kpi, ["total_attacks", "failed_login_rate"]),
+        *[_check("range", kpi, c, f"SELECT COUNT(*) FILTER (WHERE {c} < 0 OR {c} > 1) AS n FROM kpi") for c in ("failed_login_rate", "sla_compliance")],
+        _repeats("by_day", day, "event_date"), *_null_checks("by_day", day, ["event_date", "attack_count", "cumulative_attack_count"]),
+        _repeats("by_country", country, "country"), *_null_checks("by_country", country, ["country", "attack_count", "percentage_of_total"]),
+        *_null_checks("hourly", hour, ["event_hour", "event_type", "event_count", "unique_ips", "unique_users"]),
+        _orphans("by_country", country, "country"), _orphans("hourly", hour, "event_type"),
+    ]
+    bronze_name = "bronze.security_events"
+    bronze_rows = [
+        _repeats("bronze", bronze_name, "event_id"),
+        *_null_checks("bronze", bronze_name, ["event_id", "event_time", "src_ip", "destination_ip", "detection_time"]),
+        *_accepted("bronze", bronze_name), _orphans("bronze", bronze_name, "event_id"),
+    ]
+
+    def age(layer: str, latest: str, limit: int) -> str:
+        return (f"SELECT '{layer}' AS layer, latest, ROUND(CAST(epoch_us(TIMESTAMP '2024-01-31 00:04:00') - epoch_us(latest) AS DOUBLE) / 60000000.0, 3) AS age_minutes, "
+                f"{limit} AS limit_minutes, epoch_us(TIMESTAMP '2024-01-31 00:04:00') - epoch_us(latest) <= {limit} * 60000000 AS fresh FROM ({latest})")
+
+    return {
+        "dq_bronze": SILVER + " " + " UNION ALL ".join(bronze_rows),
+        "dq_silver": SILVER + " " + " UNION ALL ".join(silver_rows),
+        "dq_report": GOLD + " " + " UNION ALL ".join(silver_rows + contract + gold_rows),
+        "freshness": GOLD + " " + " UNION ALL ".join([
+            age("bronze", "SELECT MAX(_ingested_at) AS latest FROM bronze", 5),
+            age("silver", "SELECT MAX(event_time) AS latest FROM silver", 10),
+            age("gold", "SELECT MAX(event_hour) AS latest FROM hourly", 15)]),
+    }
+
+
+# Streams see every version of an event: no deduplication before the rules.
+STREAMED = BRONZE + f""",
+clean_ok AS (
+  SELECT * FROM bronze WHERE TRY_CAST(event_time AS TIMESTAMP) IS NOT NULL AND src_ip IS NOT NULL AND {_IP_OK}
+    AND severity IN {_LEVELS}),
+clean AS (SELECT {SILVER_COLUMNS} FROM clean_ok)"""
+
+
+def streams() -> dict[str, str]:
+    return {
+        "stream_hourly_counts": STREAMED + """ SELECT DATE_TRUNC('hour', event_time) AS event_hour, event_type, COUNT(*) AS event_count
+          FROM clean GROUP BY 1, 2""",
+        "stream_bursts": STREAMED + """,
+f AS (SELECT src_ip, event_time, UNNEST(range(4)) AS i FROM clean WHERE event_type = 'failed_login'),
+w AS (SELECT src_ip, time_bucket(INTERVAL 3 HOURS, event_time, TIMESTAMP '1970-01-01') - i * INTERVAL 3 HOURS AS window_start FROM f)
+SELECT src_ip, window_start, window_start + INTERVAL 12 HOURS AS window_end, COUNT(*) AS failed_logins
+FROM w GROUP BY 1, 2 HAVING COUNT(*) >= 2""",
+        "stream_lockouts": STREAMED + """
+SELECT l.event_id AS lockout_id, l.country, l.department, l.operating_system, l.event_time AS lockout_time
+FROM clean l WHERE l.event_type = 'account_lockout' AND EXISTS (
+  SELECT 1 FROM clean b WHERE b.event_type = 'brute_force_attempt' AND b.country = l.country AND b.department = l.department
+    AND b.operating_system = l.operating_system
+    AND b.event_time BETWEEN l.event_time - INTERVAL 86400 SECONDS AND l.event_time - INTERVAL 60 SECONDS)""",
+        "stream_dedup": STREAMED + """ SELECT event_id, ANY_VALUE(event_type) AS event_type FROM bronze
+          WHERE TRY_CAST(event_time AS TIMESTAMP) IS NOT NULL GROUP BY 1""",
+        "stream_silver": SILVER + " SELECT * FROM silver",
+        "stream_late_split": BRONZE + """ SELECT event_id, 'on_time' AS outcome FROM bronze
+          WHERE TRY_CAST(event_time AS TIMESTAMP) IS NOT NULL""",
+    }

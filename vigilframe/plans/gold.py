@@ -202,9 +202,8 @@ def geographic_anomaly_score(silver: DataFrame) -> DataFrame:
 
 def event_type_categories(spark) -> DataFrame:
     """The eight-row lookup of category and attack flag."""
-    return spark.createDataFrame(
-        list(EVENT_TYPE_CATEGORIES), "event_type string, category string, is_attack boolean"
-    )
+    rows = ", ".join(f"('{t}', '{c}', {str(a).lower()})" for t, c, a in EVENT_TYPE_CATEGORIES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS m(event_type, category, is_attack)")
 
 
 def events_by_category(silver: DataFrame) -> DataFrame:
