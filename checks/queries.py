@@ -141,18 +141,17 @@ def _internal_split(rows: DataFrame) -> DataFrame:
 
 
 def _ingest_jsonl(spark: SparkSession, folder: str) -> DataFrame:
-    """Write the events as raw lines, ingest them twice, show both tables' contents."""
+    """Write the events as files of raw lines, ingest them twice, show Bronze."""
     raw, base = work_path(spark, "raw"), work_path(spark, "base")
-    lines = bridge.raw_json_lines(bridge.read_events(use_utc(spark), folder))
-    lines.repartition(4).write.text(f"{raw}/text")
-    # The writer names its files .txt; the reader takes what the glob names.
-    ingest_lines = lambda: ingest.ingest_lines(
-        spark, spark.read.text(f"{raw}/text").select("value", F.lit("events.jsonl").alias("_source_file"),
-                                                     F.lit("batch_20240101_001").alias("_batch_id")), base)
-    ingest_lines()
-    ingest_lines()
+    bridge.raw_json_lines(bridge.read_events(use_utc(spark), folder)).write.text(raw)
+    for _ in range(2):
+        ingest.ingest(spark, raw, base, now=datetime(2024, 2, 1), pattern="*.txt")
     rows = tables.read_table(spark, tables.table_path(base, "bronze.security_events"), contracts.BRONZE)
-    return rows.select("event_id", "event_time", "event_type", "username", "_source_file", "_batch_id")
+    return rows.select(
+        "event_id", "event_time", "event_type", "username", "_ingested_at",
+        F.col("_source_file").endswith(".txt").alias("file_is_named"),
+        F.col("_batch_id").rlike("^batch_20240201_[0-9]{3}$").alias("batch_is_named"),
+    )
 
 
 def ingesting() -> dict[str, Query]:

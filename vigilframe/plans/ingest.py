@@ -28,29 +28,29 @@ class IngestResult:
     batch_id: str
 
 
-def read_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of all ``*.jsonl`` files directly in ``folder`` with their file; none if there are none."""
+def read_lines(spark: SparkSession, folder: str, pattern: str = "*.jsonl") -> DataFrame:
+    """Lines of all matching files directly in ``folder`` with their file; none if there are none."""
     use_utc(spark)
     if not files.exists(spark, folder):
         return spark.createDataFrame([], "value string, _source_file string")
-    lines = spark.read.option("pathGlobFilter", "*.jsonl").text(folder)
+    lines = spark.read.option("pathGlobFilter", pattern).text(folder)
     return lines.select("value", F.col("_metadata.file_path").alias("_source_file"))
 
 
-def batch_ids(spark: SparkSession, folder: str, day: str) -> DataFrame:
+def batch_ids(spark: SparkSession, folder: str, day: str, pattern: str = "*.jsonl") -> DataFrame:
     """One row per file: ``batch_YYYYMMDD_NNN``, NNN the file's position in path order.
 
     Reads the listing only (``content`` is pruned), so its size is the number of files.
     """
     listing = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl").load(folder)
+        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
         .select(F.col("_metadata.file_path").alias("_source_file"))
     )
     position = F.row_number().over(Window.orderBy("_source_file"))
     return listing.select("_source_file", F.format_string("batch_%s_%03d", F.lit(day), position).alias("_batch_id"))
 
 
-def with_batch_ids(lines: DataFrame, folder: str, day: str) -> DataFrame:
+def with_batch_ids(lines: DataFrame, folder: str, day: str, pattern: str = "*.jsonl") -> DataFrame:
     """Attach each line's batch id.
 
     Few files: broadcast. Otherwise a plain join, where AQE splits a file that holds
@@ -59,7 +59,7 @@ def with_batch_ids(lines: DataFrame, folder: str, day: str) -> DataFrame:
     spark = lines.sparkSession
     if not files.exists(spark, folder):
         return lines.withColumn("_batch_id", F.lit(None).cast("string"))
-    ids = batch_ids(spark, folder, day)
+    ids = batch_ids(spark, folder, day, pattern)
     if ids.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES:
         ids = F.broadcast(ids)
     return lines.join(ids, "_source_file")
@@ -91,10 +91,11 @@ def ingest(
     now: datetime | None = None,
     extra: dict[str, str] | None = None,
     append_once: bool = False,
+    pattern: str = "*.jsonl",
 ) -> IngestResult:
-    """Load the ``*.jsonl`` files of ``folder`` into the tables below ``base``."""
+    """Load the matching files of ``folder`` into the tables below ``base``."""
     now = now or datetime.now(timezone.utc)
-    lines = with_batch_ids(read_lines(spark, folder), folder, now.strftime("%Y%m%d"))
+    lines = with_batch_ids(read_lines(spark, folder, pattern), folder, now.strftime("%Y%m%d"), pattern)
     return ingest_lines(spark, lines, base, now, extra, append_once)
 
 

@@ -48,14 +48,16 @@ def refresh_gold(spark: SparkSession, base: str, silver: DataFrame) -> dict[str,
     return {name: replace_from(spark, base, name, lambda plan=plan: plan(silver)) for name, plan in plans.items()}
 
 
-def run_pipeline(spark: SparkSession, folder: str, base: str, slow_after: float = SLOW_STAGE_SECONDS) -> dict:
+def run_pipeline(
+    spark: SparkSession, folder: str, base: str, slow_after: float = SLOW_STAGE_SECONDS, pattern: str = "*.jsonl"
+) -> dict:
     """Run all stages in order; append a record to ``pipeline_runs`` whether or not one fails."""
     from vigilframe.plans.anomalies import detect_anomalies
 
     state: dict = {}
 
     def do_ingest():
-        state["ingest"] = ingest(spark, folder, base)
+        state["ingest"] = ingest(spark, folder, base, pattern=pattern)
 
     def do_silver():
         state["silver"] = refresh_silver(spark, base)

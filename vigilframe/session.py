@@ -23,6 +23,8 @@ def build_session(app: str = "vigilframe", master: str | None = None, **conf) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Collecting a Python stack trace per column call is most of the time to build a query.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         # State larger than executor memory, and sessions merged before their shuffle.
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

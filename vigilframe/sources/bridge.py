@@ -7,9 +7,9 @@ malformed addresses, wrong-case and unknown severities.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigilframe.sources.contracts import ATTACK_TYPES
+from vigilframe.sources.contracts import ATTACK_TYPES, SOURCE_FIELDS
 
 COUNTRIES = ("US", "GB", "DE", "JP", "AU", "CA", "FR", "IN", "BR", "SG", "KP", "IR")
 DEPARTMENTS = ("IT", "Finance", "Engineering", "HR", "Marketing", "Sales", "Legal", "Operations")
@@ -20,84 +20,84 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/events.parquet")
 
 
-def _pick(words: tuple[str, ...], number: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(w) for w in words]), (number % len(words) + 1).cast("int"))
+def _quoted(words: tuple[str, ...]) -> str:
+    return ", ".join(f"'{w}'" for w in words)
 
 
-def _even_odd(k: Column, even: str, odd: str) -> Column:
-    return F.when(k % 2 == 0, even).otherwise(odd)
-
-
-def _dotted(*parts) -> Column:
-    return F.concat_ws(".", *[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
+def _pick(words: tuple[str, ...], number: str) -> str:
+    return f"element_at(array({_quoted(words)}), CAST({number} % {len(words)} + 1 AS INT))"
 
 
 def typed_events(events: DataFrame) -> DataFrame:
     """``events`` with the key ``k`` from its props and the security type ``etype``."""
-    kind, k = F.col("event_type"), F.col("k")
-    return events.withColumn("k", F.regexp_extract("props", "([0-9]+)", 1).cast("int")).withColumn(
-        "etype",
-        F.when(kind == "error", _even_odd(k, "failed_login", "brute_force_attempt"))
-        .when(kind == "click", _even_odd(k, "successful_login", "vpn_login"))
-        .when(kind == "view", _even_odd(k, "malware_alert", "suspicious_ip_activity"))
-        .when(kind == "signup", _even_odd(k, "account_lockout", "privilege_escalation"))
-        .otherwise("successful_login"),
+    pairs = (
+        ("error", "failed_login", "brute_force_attempt"),
+        ("click", "successful_login", "vpn_login"),
+        ("view", "malware_alert", "suspicious_ip_activity"),
+        ("signup", "account_lockout", "privilege_escalation"),
+    )
+    cases = " ".join(f"WHEN '{kind}' THEN if(k % 2 = 0, '{even}', '{odd}')" for kind, even, odd in pairs)
+    return events.selectExpr("*", "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k").selectExpr(
+        "*", f"CASE event_type {cases} ELSE 'successful_login' END AS etype"
     )
 
 
 def bronze_from_events(events: DataFrame) -> DataFrame:
-    """Bronze rows, one per event plus a later second version of every 20th."""
-    k, user, ts, etype = F.col("k"), F.col("user_id"), F.col("ts"), F.col("etype")
-    low = user % 256
-    address = (
-        F.when(k == 93, F.lit(None).cast("string"))
-        .when(k == 92, "bad_ip")
-        .when(k % 5 == 0, _dotted("10", low, k, "7"))
-        .when(k % 5 == 1, _dotted("172", k % 30 + 8, low, "9"))
-        .when(k % 5 == 2, _dotted("192", _even_odd(k, "168", "169"), low, "1"))
-        .otherwise(_dotted("203", k, low, "5"))
-    )
-    incident = etype.isin(*ATTACK_TYPES)
-    detected = ts + F.make_dt_interval(secs=60 + k * 35)
-    resolved = detected + F.make_dt_interval(secs=600 + F.floor(F.col("value") * 97).cast("int"))
-    day = F.to_date(ts)
-    shaped = typed_events(events).select(
-        F.concat(F.lit("ev-"), F.col("event_id")).alias("event_id"),
-        F.when(k == 94, "not-a-time").otherwise(ts.cast("string")).alias("event_time"),
-        F.concat(F.lit("User_"), user).alias("username"),
-        address.alias("src_ip"),
-        F.when(k % 3 == 0, _dotted("10", "0", low, "20")).alias("destination_ip"),
-        F.concat(F.lit("ws-"), user % 50).alias("hostname"),
-        etype.alias("event_type"),
-        F.when(k <= 39, "low").when(k <= 69, "medium").when(k <= 89, "high")
-        .when(k <= 97, "critical").when(k == 98, "HIGH").otherwise("unknown").alias("severity"),
-        F.when(etype.isin("failed_login", "account_lockout"), "failure")
-        .when(etype.isin("successful_login", "vpn_login"), "success")
-        .otherwise(_even_odd(k, "detected", "blocked")).alias("status"),
-        _pick(COUNTRIES, user).alias("country"),
-        _pick(SYSTEMS, user).alias("operating_system"),
-        _pick(DEPARTMENTS, user).alias("department"),
-        F.when(incident | ((etype == "failed_login") & (k % 10 == 0)), detected).alias("detection_time"),
-        F.when(incident & (k % 9 != 0), resolved).alias("resolution_time"),
-        day.alias("_day"),
-        F.col("event_id").alias("_n"),
-        F.col("k").alias("_k"),
-    )
-    # One pass: every row carries an array of its versions (one or two) to explode.
-    versions = F.when(F.col("_n") % 20 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    second = F.col("_v") == 2
-    arrived = F.date_add(F.col("_day"), F.col("_v") - 1)
-    return (
-        shaped.withColumn("_v", F.explode(versions))
-        .withColumn("username", F.when(second, F.concat("username", F.lit("_v2"))).otherwise(F.col("username")))
-        .withColumn("src_ip", F.when(second & (F.col("_k") == 10), "bad_ip").otherwise(F.col("src_ip")))
-        .withColumn("_ingested_at", arrived.cast("timestamp_ntz"))
-        .withColumn("_source_file", F.concat(F.lit("events-"), F.date_format(arrived, "yyyyMMdd"), F.lit(".jsonl")))
-        .withColumn("_batch_id", F.format_string("batch_%s_%03d", F.date_format(arrived, "yyyyMMdd"), F.col("_v")))
-        .drop("_day", "_n", "_k", "_v")
+    """Bronze rows, one per event plus a later second version of every 20th.
+
+    Written as SQL expressions: this runs in front of every query, and one parsed text is
+    quicker to build than a tree of calls.
+    """
+    incident = f"etype IN ({_quoted(ATTACK_TYPES)})"
+    detected = "ts + make_dt_interval(0, 0, 0, 60 + k * 35)"
+    resolved = f"{detected} + make_dt_interval(0, 0, 0, 600 + CAST(floor(value * 97) AS INT))"
+    shaped = typed_events(events).selectExpr(
+        "concat('ev-', event_id) AS event_id",
+        "if(k = 94, 'not-a-time', CAST(ts AS STRING)) AS event_time",
+        "concat('User_', user_id) AS username",
+        """CASE WHEN k = 93 THEN NULL WHEN k = 92 THEN 'bad_ip'
+           WHEN k % 5 = 0 THEN concat('10.', user_id % 256, '.', k, '.7')
+           WHEN k % 5 = 1 THEN concat('172.', k % 30 + 8, '.', user_id % 256, '.9')
+           WHEN k % 5 = 2 THEN concat('192.', if(k % 2 = 0, '168', '169'), '.', user_id % 256, '.1')
+           ELSE concat('203.', k, '.', user_id % 256, '.5') END AS src_ip""",
+        "if(k % 3 = 0, concat('10.0.', user_id % 256, '.20'), NULL) AS destination_ip",
+        "concat('ws-', user_id % 50) AS hostname",
+        "etype AS event_type",
+        """CASE WHEN k <= 39 THEN 'low' WHEN k <= 69 THEN 'medium' WHEN k <= 89 THEN 'high'
+           WHEN k <= 97 THEN 'critical' WHEN k = 98 THEN 'HIGH' ELSE 'unknown' END AS severity""",
+        """CASE WHEN etype IN ('failed_login', 'account_lockout') THEN 'failure'
+           WHEN etype IN ('successful_login', 'vpn_login') THEN 'success'
+           WHEN k % 2 = 0 THEN 'detected' ELSE 'blocked' END AS status""",
+        f"{_pick(COUNTRIES, 'user_id')} AS country",
+        f"{_pick(SYSTEMS, 'user_id')} AS operating_system",
+        f"{_pick(DEPARTMENTS, 'user_id')} AS department",
+        f"if({incident} OR (etype = 'failed_login' AND k % 10 = 0), {detected}, NULL) AS detection_time",
+        f"if({incident} AND k % 9 <> 0, {resolved}, NULL) AS resolution_time",
+        "CAST(ts AS DATE) AS _day",
+        "k AS _k",
+        # One pass: every row carries an array of its versions (one or two) to explode.
+        "explode(if(event_id % 20 = 0, array(1, 2), array(1))) AS _v",
+    ).selectExpr("*", "date_add(_day, _v - 1) AS _arrived")
+    changed = {
+        "username": "if(_v = 2, concat(username, '_v2'), username)",
+        "src_ip": "if(_v = 2 AND _k = 10, 'bad_ip', src_ip)",
+    }
+    return shaped.selectExpr(
+        *[f"{changed.get(c, c)} AS {c}" for c in SOURCE_FIELDS],
+        "CAST(_arrived AS TIMESTAMP_NTZ) AS _ingested_at",
+        "concat('events-', replace(CAST(_arrived AS STRING), '-', ''), '.jsonl') AS _source_file",
+        "concat('batch_', replace(CAST(_arrived AS STRING), '-', ''), '_00', _v) AS _batch_id",
     )
 
 
+def raw_records(events: DataFrame) -> DataFrame:
+    """Bronze rows as raw JSON lines, without the metadata columns: what a collector would send."""
+    fields = [F.col(c).cast("string").alias(c) for c in SOURCE_FIELDS]
+    record = F.struct(*fields)
+    first = bronze_from_events(events).filter(F.col("_batch_id").endswith("_001"))
+    return first.select(F.to_json(record, {"ignoreNullFields": "false"}).alias("value"))
+
+
 def raw_json_lines(events: DataFrame) -> DataFrame:
     """The same events as raw JSON lines, some of them broken (see FIXTURES section 6).
 
