@@ -203,6 +203,21 @@ def _top_contributors(spark: SparkSession, folder: str) -> DataFrame:
     return anomalies.top_contributors(anomalies.score_windows(rows, nodes), nodes)
 
 
+def _forest_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold for any forest: range, threshold, names, one row per window."""
+    results = _contributions(spark, folder)
+    why = F.col("top_contributing_feature")
+    named = F.when(F.col("is_anomaly"), why.isin(*contracts.FEATURES)).otherwise(why == "none")
+    return results.agg(
+        F.count("*").alias("n_windows"),
+        F.countDistinct("window_start").alias("n_distinct_windows"),
+        F.min("anomaly_score").alias("lowest"),
+        F.max("anomaly_score").alias("highest"),
+        F.bool_and(F.col("is_anomaly") == (F.col("anomaly_score") < -0.5)).alias("flags_match"),
+        F.bool_and(named).alias("names_match"),
+    )
+
+
 def _anomaly_timeline(spark: SparkSession, folder: str) -> DataFrame:
     rows, nodes = _forest_parts(spark, folder)
     return gold.anomaly_timeline(anomalies.score_windows(rows, nodes))
@@ -229,6 +244,7 @@ def models() -> dict[str, Query]:
         "anomaly_contributions": _contributions,
         "anomaly_top_features": _top_contributors,
         "anomaly_timeline": _anomaly_timeline,
+        "iforest_invariants": _forest_invariants,
     }
 
 
@@ -333,6 +349,22 @@ def _stored_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return rollups.query_rollup(rollups.read_rollup(spark, path))
 
 
+def _rollup_error(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly totals from the stored daily rollup; estimates as "within 3 % of exact"."""
+    exact = silver(spark, folder).groupBy(F.to_date(F.trunc("event_time", "month")).alias("month")).agg(
+        F.countDistinct("src_ip").alias("ips"), F.countDistinct("username").alias("users")
+    )
+
+    def near(estimate: str, true: str):
+        return F.abs(F.col(estimate) - F.col(true)) <= F.col(true) * 0.03
+
+    return _stored_rollup(spark, folder).join(exact, "month").select(
+        "month", "event_count", "attack_count", "failed_login_count",
+        near("approx_unique_ips", "ips").alias("ips_are_near"),
+        near("approx_unique_users", "users").alias("users_are_near"),
+    )
+
+
 def semantic() -> dict[str, Query]:
     found = {name: _semantic(query) for name, query in SEMANTIC.items()}
     return found | {
@@ -340,6 +372,7 @@ def semantic() -> dict[str, Query]:
         "calendar_filters": _on_silver(_calendar),
         "rollup_daily": _on_silver(_rollup),
         "approx_daily_rollup": _stored_rollup,
+        "rollup_monthly": _rollup_error,
     }
 
 
@@ -348,8 +381,11 @@ def _dq_bronze(spark: SparkSession, folder: str) -> DataFrame:
     name = "bronze.security_events"
     return quality.report(
         quality.unique(rows, name, "event_id"),
-        quality.not_null(rows, name, ["event_id", "event_time", "src_ip", "destination_ip", "detection_time"]),
-        quality.accepted_values(rows, name, {"event_type": contracts.EVENT_TYPES, "severity": contracts.SEVERITIES}),
+        quality.row_checks(
+            rows, name,
+            quality.not_null(["event_id", "event_time", "src_ip", "destination_ip", "detection_time"])
+            + quality.accepted_values({"event_type": contracts.EVENT_TYPES, "severity": contracts.SEVERITIES}),
+        ),
         quality.relationship(rows, name, "event_id", silver(spark, folder), "event_id"),
     )
 
@@ -435,6 +471,10 @@ def streams() -> dict[str, Query]:
             lambda r: windows.hourly_stream(r).drop("approx_unique_ips", "approx_unique_users"),
             ["event_hour", "event_type"], "stream-counts"),
         "stream_features": _stream_upsert(windows.feature_stream, ["window_start"], "stream-features"),
+        "stream_features_exact": _stream_upsert(
+            lambda r: windows.feature_stream(r).drop("unique_src_ips", "unique_users", "unique_countries")
+            .withColumn("avg_severity_rank", F.round("avg_severity_rank", 6)),
+            ["window_start"], "stream-features"),
         "stream_bursts": _stream_upsert(
             lambda r: windows.burst_stream(r, threshold=2, window="12 hours", slide="3 hours"),
             ["src_ip", "window_start"], "stream-bursts"),

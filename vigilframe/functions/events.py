@@ -6,8 +6,12 @@ from pyspark.sql import Column, functions as F
 
 from vigilframe.sources.contracts import ATTACK_TYPES, SEVERITIES
 
-# Whitespace as the record format understands it: ASCII, separators, Unicode spaces.
-_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+# The characters a JSON-lines reader strips, ASCII controls and Unicode spaces.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Fixed patterns. ``\z``: ``$`` would also match before a final line break.
 IPV4_SHAPE = r"^[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\z"
@@ -16,11 +20,11 @@ UUID_V4 = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{_SPACE}+|{_SPACE}+\\z", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def is_blank(text: Column) -> Column:
-    return text.rlike(f"^{_SPACE}*\\z")
+    return strip(text) == ""
 
 
 def looks_like_ipv4(ip: Column) -> Column:
@@ -37,12 +41,10 @@ def is_uuid_v4(text: Column) -> Column:
     return text.isNotNull() & text.rlike(UUID_V4)
 
 
-def _octet(ip: Column, n: int) -> Column:
-    return F.split_part(ip, F.lit("."), F.lit(n)).try_cast("int")
-
-
 def is_rfc1918(ip: Column) -> Column:
-    first, second = _octet(ip, 1), _octet(ip, 2)
+    """Private ranges 10/8, 172.16/12 and 192.168/16."""
+    first = F.substring_index(ip, ".", 1).try_cast("int")
+    second = F.substring_index(F.substring_index(ip, ".", 2), ".", -1).try_cast("int")
     return (
         (first == 10)
         | ((first == 172) & second.between(16, 31))
@@ -64,15 +66,15 @@ def is_attack(event_type: Column) -> Column:
 def parse_time(text: Column) -> Column:
     """ISO-like text to a UTC wall-clock timestamp, NULL when it is not one.
 
-    The text must begin with a full date: Spark alone would also read a bare year,
-    a year and month, or a time of day.
+    The text must hold a full date (two separators): Spark alone would also read a bare
+    year, a year and month, or a time of day.
     """
     dated = F.when(
         F.contains(text, F.lit("/")),
         F.regexp_replace(text, r"^(\s*[0-9]+)/([0-9]+)/([0-9]+)", "$1-$2-$3"),
     ).otherwise(text)
     return F.when(
-        text.rlike(r"^\s*[0-9]{1,6}[-/][0-9]{1,2}[-/][0-9]{1,2}"),
+        F.substring_index(dated, "-", 2) != dated,
         dated.try_cast("timestamp").cast("timestamp_ntz"),
     )
 

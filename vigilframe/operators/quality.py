@@ -12,10 +12,10 @@ from vigilframe.sources.contracts import contract_violations
 _RESULT = "check string, table string, column string, failing_rows bigint, passed boolean"
 
 
-def _result(df: DataFrame, check: str, table: str) -> DataFrame:
+def _result(df: DataFrame, check: str | Column, table: str) -> DataFrame:
     """Label (column, failing_rows) rows."""
     return df.select(
-        F.lit(check).alias("check"),
+        (check if isinstance(check, Column) else F.lit(check)).alias("check"),
         F.lit(table).alias("table"),
         F.col("column"),
         F.coalesce("failing_rows", F.lit(0)).cast("long").alias("failing_rows"),
@@ -23,24 +23,28 @@ def _result(df: DataFrame, check: str, table: str) -> DataFrame:
     )
 
 
-def row_checks(df: DataFrame, table: str, check: str, failing: dict[str, Column]) -> DataFrame:
-    """Count rows for which a condition holds, all conditions in one pass over ``df``."""
-    counted = df.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in failing.items()])
-    cells = F.array(*[F.struct(F.lit(n).alias("column"), F.col(n).alias("failing_rows")) for n in failing])
-    return _result(counted.select(F.explode(cells).alias("c")).select("c.*"), check, table)
+def row_checks(df: DataFrame, table: str, checks: list[tuple[str, str, Column]]) -> DataFrame:
+    """Count the rows for which each (check, column, condition) holds, all in one pass over ``df``."""
+    names = [f"_{i}" for i in range(len(checks))]
+    counted = df.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, (_, _, c) in zip(names, checks)])
+    cells = F.array(*[
+        F.struct(F.lit(check).alias("check"), F.lit(column).alias("column"), F.col(n).alias("failing_rows"))
+        for n, (check, column, _) in zip(names, checks)
+    ])
+    return _result(counted.select(F.explode(cells).alias("c")).select("c.*"), F.col("check"), table)
 
 
-def not_null(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    return row_checks(df, table, "not_null", {c: F.col(c).isNull() for c in columns})
+def not_null(columns: list[str]) -> list[tuple[str, str, Column]]:
+    return [("not_null", c, F.col(c).isNull()) for c in columns]
 
 
-def accepted_values(df: DataFrame, table: str, allowed: dict[str, tuple]) -> DataFrame:
-    return row_checks(df, table, "accepted_values", {c: ~F.col(c).isin(*v) for c, v in allowed.items()})
+def accepted_values(allowed: dict[str, tuple]) -> list[tuple[str, str, Column]]:
+    return [("accepted_values", c, ~F.col(c).isin(*v)) for c, v in allowed.items()]
 
 
-def in_range(df: DataFrame, table: str, ranges: dict[str, tuple[float, float]]) -> DataFrame:
+def in_range(ranges: dict[str, tuple[float, float]]) -> list[tuple[str, str, Column]]:
     """NULL is not out of range."""
-    return row_checks(df, table, "range", {c: ~F.col(c).between(*r) for c, r in ranges.items()})
+    return [("range", c, ~F.col(c).between(*r)) for c, r in ranges.items()]
 
 
 def unique(df: DataFrame, table: str, column: str) -> DataFrame:

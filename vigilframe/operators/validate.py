@@ -32,30 +32,43 @@ def validate_events(records: DataFrame) -> DataFrame:
     return records.withColumn("error_reason", error_reason(*[F.col(c) for c in REQUIRED_FIELDS]))
 
 
+# Python's reader rejects single quotes; Spark's accepts them unless told otherwise.
+_JSON_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+
+
 def parse_lines(lines: DataFrame, extra: dict[str, str] | None = None) -> DataFrame:
     """Lines in column ``value`` to source fields plus ``raw_record`` and ``error_reason``.
 
-    Blank lines are dropped. Each line is parsed once, into a VARIANT; text that is not
-    JSON, or is JSON but not an object, gets a reason and NULL fields. ``extra`` names
-    further fields to keep, with their types.
+    Blank lines are dropped and each line is parsed once. Text that is not JSON, or is JSON
+    but not an object, gets a reason and NULL fields. ``extra`` names further fields to
+    keep, with their types.
+
+    from_json stops at the end of the first value, so the line is parsed as a member of an
+    outer object whose next member is the line's hash: anything after the record makes the
+    hash unreadable.
     """
+    extra = extra or {}
+    fields = ", ".join(f"`{name}`: string" for name in (*SOURCE_FIELDS, *extra))
     text = lines.withColumn("raw_record", strip(F.col("value"))).filter("raw_record <> ''")
-    parsed = text.withColumn("_json", F.try_parse_json("raw_record"))
-    wanted = {name: "string" for name in SOURCE_FIELDS} | (extra or {})
-    # A field is present if its variant is, even when that variant is JSON null.
-    fields = parsed.select(
+    outer = F.concat(F.lit('{"r":'), "raw_record", F.lit(',"after":'), F.xxhash64("raw_record"), F.lit("}"))
+    parsed = text.withColumn("_json", F.from_json(outer, f"r struct<{fields}>, after bigint", _JSON_OPTIONS))
+    record = parsed.select(
         *[c for c in lines.columns if c != "value"],
         "raw_record",
-        F.col("_json").isNull().alias("_malformed"),
-        F.col("raw_record").startswith("{").alias("_object"),
-        F.try_variant_get("_json", "$.event_id", "variant").isNotNull().alias("_has_id"),
-        *[F.try_variant_get("_json", f"$.{name}", kind).alias(name) for name, kind in wanted.items()],
+        (F.col("_json.r").isNotNull() & F.col("_json.after").eqNullSafe(F.xxhash64("raw_record"))).alias("_readable"),
+        F.col("_json.r").alias("_r"),
+    )
+    rows = record.select(
+        *record.columns[:-1],
+        *[F.when(F.col("_readable"), F.col(f"_r.{name}")).alias(name) for name in SOURCE_FIELDS],
+        *[F.when(F.col("_readable"), F.col(f"_r.{name}").try_cast(kind)).alias(name) for name, kind in extra.items()],
     )
-    return fields.withColumn(
+    # Reached by unreadable lines only.
+    why = F.when(F.try_parse_json("raw_record").isNotNull() & ~F.col("raw_record").startswith("{"),
+                 "Record is not a JSON object").otherwise("JSON parse error: the line is not valid JSON")
+    return rows.withColumn(
         "error_reason",
-        F.when(F.col("_malformed"), "JSON parse error: the line is not valid JSON")
-        .when(~F.col("_object"), "Record is not a JSON object")
-        .otherwise(error_reason(*[F.col(c) for c in REQUIRED_FIELDS])),
+        F.when(~F.col("_readable"), why).otherwise(error_reason(*[F.col(c) for c in REQUIRED_FIELDS])),
     )
 
 
@@ -65,10 +78,14 @@ def valid_rows(parsed: DataFrame) -> DataFrame:
 
 def rejected_rows(parsed: DataFrame) -> DataFrame:
     """Dead letters. A missing id reads "unknown"; an id that is null stays null."""
-    readable = ~F.col("_malformed") & F.col("_object") & F.col("_has_id")
+    has_id = F.array_contains(F.json_object_keys("raw_record"), "event_id")
+    metadata = [c for c in parsed.columns if c.startswith("_") and c != "_readable"]
     return parsed.filter("error_reason <> ''").select(
-        F.when(readable, F.col("event_id")).otherwise("unknown").alias("event_id"),
-        *[c for c in parsed.columns if c.startswith("_") and c not in ("_malformed", "_object", "_has_id")],
+        F.when(F.col("event_id").isNotNull(), F.col("event_id"))
+        .when(F.col("_readable") & has_id, F.lit(None))
+        .otherwise("unknown")
+        .alias("event_id"),
+        *metadata,
         "raw_record",
         "error_reason",
     )

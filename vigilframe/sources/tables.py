@@ -102,8 +102,8 @@ def merge_table(
             target = target.withColumn(partition, F.col(partition).cast(batch.schema[partition].dataType))
     else:
         touched, target = [], spark.read.option("mergeSchema", "true").parquet(path)
-    spark.createDataFrame([(partition or "", touched)], "partition string, directories array<string>").coalesce(
-        1
+    spark.range(1).select(
+        F.lit(partition or "").alias("partition"), F.lit(touched).cast("array<string>").alias("directories")
     ).write.mode("overwrite").parquet(work.touched)
     _write(fresh if target is None else merge_upsert(target, fresh, keys), work.incoming, partition)
     _publish(spark, path)

@@ -115,21 +115,21 @@ def split_late(
     """Write on-time and late rows to ``path/on_time`` and ``path/late``.
 
     A row is late when its ``ts`` is more than the delay behind the newest time of earlier
-    micro-batches. Each micro-batch owns one directory per output and notes its newest
-    time, so a replay overwrites its own output and decides the same way.
+    micro-batches. Each micro-batch owns one directory per output and notes the newest
+    time so far, so a replay overwrites its own output and decides the same way.
     """
 
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        marks = f"{path}/marks"
-        high = None
-        if files.exists(spark, marks):
-            high = spark.read.schema("high timestamp, stream_batch bigint").parquet(marks).filter(
-                F.col("stream_batch") < number
-            ).agg(F.max("high")).first()[0]
+        earlier = [int(n.split("=")[1]) for n in files.children(spark, f"{path}/marks") if "=" in n]
+        earlier = sorted(n for n in earlier if n < number)
+        high = spark.read.parquet(f"{path}/marks/stream_batch={earlier[-1]}").first()[0] if earlier else None
         late = F.lit(False) if high is None else F.col("ts") < F.lit(high) - F.make_dt_interval(secs=F.lit(delay_seconds))
         batch.filter(~late).write.mode("overwrite").parquet(f"{path}/on_time/stream_batch={number}")
         batch.filter(late).write.mode("overwrite").parquet(f"{path}/late/stream_batch={number}")
-        batch.agg(F.max("ts").alias("high")).write.mode("overwrite").parquet(f"{marks}/stream_batch={number}")
+        newest = F.greatest(F.max("ts"), F.lit(high).cast("timestamp"))
+        batch.agg(newest.alias("high")).write.mode("overwrite").parquet(f"{path}/marks/stream_batch={number}")
+        for old in earlier[:-1]:
+            files.remove(spark, f"{path}/marks/stream_batch={old}")
 
     return _start(rows, checkpoint, "append", each, interval)
