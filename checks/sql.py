@@ -229,7 +229,7 @@ WHERE l.event_type = 'account_lockout' AND b.event_type = 'brute_force_attempt'
 GROUP BY 1, 2, 3, 4, 5"""
     q["failure_sessions"] = SILVER + """,
 f AS (SELECT src_ip, event_time, LAG(event_time) OVER (PARTITION BY src_ip ORDER BY event_time) AS prev FROM silver WHERE event_type = 'failed_login'),
-g AS (SELECT src_ip, event_time, SUM(CASE WHEN prev IS NULL OR event_time - prev >= INTERVAL 2 DAYS THEN 1 ELSE 0 END)
+g AS (SELECT src_ip, event_time, SUM(CASE WHEN prev IS NULL OR event_time - prev > INTERVAL 2 DAYS THEN 1 ELSE 0 END)
         OVER (PARTITION BY src_ip ORDER BY event_time) AS session FROM f)
 SELECT src_ip, MIN(event_time) AS session_start, MAX(event_time) + INTERVAL 2 DAYS AS session_end, COUNT(*) AS failed_logins
 FROM g GROUP BY src_ip, session"""
@@ -464,7 +464,7 @@ def streams() -> dict[str, str]:
           FROM clean GROUP BY 1, 2""",
         "stream_sessions": STREAMED + """,
 f AS (SELECT src_ip, event_time, LAG(event_time) OVER (PARTITION BY src_ip ORDER BY event_time) AS prev FROM clean WHERE event_type = 'failed_login'),
-g AS (SELECT src_ip, event_time, SUM(CASE WHEN prev IS NULL OR event_time - prev >= INTERVAL 2 DAYS THEN 1 ELSE 0 END)
+g AS (SELECT src_ip, event_time, SUM(CASE WHEN prev IS NULL OR event_time - prev > INTERVAL 2 DAYS THEN 1 ELSE 0 END)
         OVER (PARTITION BY src_ip ORDER BY event_time) AS session FROM f),
 s AS (SELECT src_ip, MIN(event_time) AS session_start, MAX(event_time) + INTERVAL 2 DAYS AS session_end, COUNT(*) AS failed_logins FROM g GROUP BY src_ip, session)
 SELECT * FROM s WHERE session_end <= (SELECT MAX(event_time) - INTERVAL 10 MINUTES FROM clean WHERE event_type = 'failed_login')""",

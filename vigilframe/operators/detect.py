@@ -156,9 +156,9 @@ def lockout_correlation(
 
 
 def failure_sessions(silver: DataFrame, gap_minutes: int = 5) -> DataFrame:
-    """Runs of failed logins of one source with less than ``gap_minutes`` between neighbours.
+    """Runs of failed logins of one source with at most ``gap_minutes`` between neighbours.
 
-    A session starts where the previous failure is ``gap_minutes`` or more back, which is
+    A session starts where the previous failure is more than ``gap_minutes`` back, which is
     what ``session_window`` does; here the previous failure and the start of the current
     session are running maxima, so a busy source is spread over many tasks.
     """
@@ -169,7 +169,7 @@ def failure_sessions(silver: DataFrame, gap_minutes: int = 5) -> DataFrame:
         .agg(F.count("*").alias("_n"))
     )
     linked = running_over_time(moments, ["src_ip"], "_t", before={"_prev": F.col("_t")})
-    starts = F.when(F.col("_prev").isNull() | (F.col("_t") - F.col("_prev") >= gap), F.col("_t"))
+    starts = F.when(F.col("_prev").isNull() | (F.col("_t") - F.col("_prev") > gap), F.col("_t"))
     sessions = running_over_time(linked, ["src_ip"], "_t", maxes={"_start": starts})
     return (
         sessions.groupBy("src_ip", "_start")

@@ -108,8 +108,12 @@ def _forest_arrays(nodes: DataFrame, n_trees_limit: int = 10_000) -> dict:
     A tree over s sampled rows has fewer than 2s nodes, so the size is bounded by the
     parameters of the fit, whatever the size of the data.
     """
-    size = nodes.agg(F.countDistinct("tree").alias("t"), F.count("*").alias("n"), F.max("sample_size").alias("s")).first()
-    if not size["t"] or size["t"] > n_trees_limit or size["n"] >= 2 * size["t"] * max(size["s"], 1):
+    size = nodes.agg(
+        F.countDistinct("tree").alias("t"), F.countDistinct("tree", "node").alias("d"),
+        F.count("*").alias("n"), F.max("sample_size").alias("s"),
+    ).first()
+    bound = 2 * size["t"] * max(size["s"] or 0, 1)
+    if not 0 < size["t"] <= n_trees_limit or size["n"] != size["d"] or size["n"] >= bound:
         raise ValueError(f"not a forest: {size['n']} nodes in {size['t']} trees of {size['s']} rows")
     pdf = nodes.toPandas().sort_values(["tree", "node"])
     starts = pdf["node"].to_numpy() == 0

@@ -13,7 +13,7 @@ from vigilframe.operators.validate import parse_lines, rejected_rows, valid_rows
 from vigilframe.session import use_utc
 from vigilframe.sources import files
 from vigilframe.sources.contracts import BRONZE, DEAD_LETTER, conform
-from vigilframe.sources.tables import merge_table, table_path
+from vigilframe.sources.tables import merge_table, read_table, table_path
 
 # Up to this many files their batch ids are joined as a broadcast (about 20 MB).
 BROADCAST_FILES = 100_000
@@ -166,5 +166,5 @@ def _unknown_only(spark: SparkSession, rows: DataFrame, base: str) -> DataFrame:
     path = table_path(base, "bronze.dead_letter_events")
     if not files.exists(spark, path):
         return rows
-    known = spark.read.parquet(path).select("_source_file", "raw_record")
+    known = read_table(spark, path, DEAD_LETTER).select("_source_file", "raw_record")
     return rows.join(known, ["_source_file", "raw_record"], "left_anti")

@@ -26,7 +26,7 @@ def refresh_silver(spark: SparkSession, base: str) -> DataFrame:
     date directories and Parquet row groups as a literal.
     """
     bronze_path, silver_path = (table_path(base, n) for n in ("bronze.security_events", "silver.silver_events"))
-    rows = read_table(spark, bronze_path, BRONZE, keep=("ingest_date",)) if files.exists(spark, bronze_path) else None
+    rows = read_table(spark, bronze_path, BRONZE, "ingest_date") if files.exists(spark, bronze_path) else None
     if rows is not None:
         high = read_table(spark, silver_path, SILVER).agg(F.max("_ingested_at")).first()[0]
         if high is not None:

@@ -19,16 +19,18 @@ def table_path(base: str, name: str) -> str:
 
 
 def read_table(
-    spark: SparkSession, path: str, contract: T.StructType, keep: tuple[str, ...] = ()
+    spark: SparkSession, path: str, contract: T.StructType, partition: str | None = None
 ) -> DataFrame:
     """The contract's columns of the table; an empty table when it has never been written.
 
-    Files written before a column was added give NULL for it. ``keep`` names partition
-    columns to show as well, so that filters on them prune directories.
+    Files written before a column was added give NULL for it. ``partition`` names a date
+    partition column to show as well, so that filters on it prune directories.
     """
+    extra = [T.StructField(partition, T.DateType())] if partition else []
+    schema = T.StructType(_nullable(contract).fields + extra)
     if not files.exists(spark, path):
-        return spark.createDataFrame([], contract)
-    return spark.read.schema(_nullable(contract)).parquet(path).select(*contract.fieldNames(), *keep)
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def _nullable(contract: T.StructType) -> T.StructType:
@@ -39,7 +41,7 @@ def row_count(spark: SparkSession, path: str) -> int:
     """Rows in the table, 0 when it does not exist (answered from Parquet footers)."""
     if not files.exists(spark, path):
         return 0
-    return spark.read.parquet(path).count()
+    return spark.read.schema("_any string").parquet(path).count()
 
 
 def write_table(
@@ -95,6 +97,9 @@ def merge_table(
     work = _Work(path)
     _write(deduplicated, work.batch, None)
     fresh = spark.read.schema(deduplicated.schema).parquet(work.batch)
+    if fresh.isEmpty():
+        files.remove(spark, work.batch)
+        return
     if partition:
         touched = _touched_directories(spark, path, fresh, keys, partition, key_keeps_partition)
         target = _read_directories(spark, path, touched)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vigilframe.operators.dedup import newest_first
@@ -12,7 +12,8 @@ from vigilframe.operators.validate import parse_lines
 from vigilframe.plans.ingest import append_dead_letters, bronze_rows, dead_letters
 from vigilframe.plans.silver import silver_events
 from vigilframe.sources import files
-from vigilframe.sources.tables import merge_table, table_path
+from vigilframe.sources.contracts import BRONZE, DEAD_LETTER
+from vigilframe.sources.tables import merge_table, read_table, table_path
 
 
 def _start(
@@ -43,13 +44,13 @@ def upsert_stream(
     return _start(stream, checkpoint, "update", each, interval)
 
 
-def _holds_batch(batch: DataFrame, path: str, day_column: str, batch_id: str, day: str) -> bool:
+def _holds_batch(
+    batch: DataFrame, path: str, contract: T.StructType, day_column: str, batch_id: str, day: str
+) -> bool:
     """Whether an earlier attempt at this micro-batch already wrote the table."""
-    spark = batch.sparkSession
-    if not files.exists(spark, path):
-        return False
-    stored = spark.read.parquet(path).filter((F.col(day_column) >= F.lit(day).cast("date")) & (F.col("_batch_id") == batch_id))
-    return not stored.limit(1).isEmpty()
+    stored = read_table(batch.sparkSession, path, contract, day_column)
+    recent = stored.filter((F.col(day_column) >= F.lit(day).cast("date")) & (F.col("_batch_id") == batch_id))
+    return not recent.limit(1).isEmpty()
 
 
 def ingest_stream(lines: DataFrame, base: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
@@ -77,12 +78,12 @@ def ingest_stream(lines: DataFrame, base: str, checkpoint: str, interval: str |
         stamped.write.mode("overwrite").partitionBy("_ok").parquet(staging)
         staged = spark.read.schema(stamped.schema).parquet(staging)
         bronze_path = table_path(base, "bronze.security_events")
-        if not _holds_batch(batch, bronze_path, "ingest_date", batch_id, day):
+        if not _holds_batch(batch, bronze_path, BRONZE, "ingest_date", batch_id, day):
             bronze_rows(staged.filter("_ok").drop("_ok")).withColumn(
                 "ingest_date", F.to_date("_ingested_at")
             ).write.mode("append").partitionBy("ingest_date").parquet(bronze_path)
         dead_path = table_path(base, "bronze.dead_letter_events")
-        if not _holds_batch(batch, dead_path, "reject_date", batch_id, day):
+        if not _holds_batch(batch, dead_path, DEAD_LETTER, "reject_date", batch_id, day):
             append_dead_letters(dead_letters(staged.filter("NOT _ok").drop("_ok")), base)
         files.remove(spark, staging)
 
