@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.helpers import at, silver
 from vigilframe.functions.events import from_micros, micros
 from vigilframe.operators import detect
-from vigilframe.operators.running import running_over_time
+from vigilframe.operators.sweep import look_back
 
 
 def logins(spark, times, ip="10.0.0.1", kind="failed_login"):
@@ -59,15 +59,17 @@ def test_bursts_against_brute_force_with_a_hot_source(spark):
     assert got == brute_bursts(events, 4, 300) and got
 
 
-def test_running_over_time_with_null_keys(spark):
-    rng = random.Random(2)
-    data = {(rng.choice(["a", "b", None]), rng.randrange(0, 10**9)): rng.randrange(-5, 6) for _ in range(200)}
-    df = spark.createDataFrame([(k, t, v) for (k, t), v in data.items()], "k string, t long, v long")
-    out = running_over_time(df, ["k"], "t", {"total": F.col("v")}, {"top": F.col("v")}, {"prev": F.col("t")})
-    for r in out.collect():
-        same = [(t, v) for (k, t), v in data.items() if k == r["k"] and t <= r["t"]]
-        assert r["total"] == sum(v for _, v in same) and r["top"] == max(v for _, v in same)
-        assert r["prev"] == max((t for t, _ in same if t < r["t"]), default=None)
+@pytest.mark.parametrize("lo, hi", [(0, 50), (7, 60), (40, 45)])
+def test_look_back(spark, lo, hi):
+    rng = random.Random(hi)
+    data = {(rng.choice("ab"), rng.randrange(0, 2000)): (rng.randrange(0, 4), rng.random() < 0.5) for _ in range(200)}
+    df = spark.createDataFrame([(k, t, n, a) for (k, t), (n, a) in data.items()], "k string, _t long, _n long, _ask boolean")
+    got = {(r["k"], r["_t"]): (r["live"], r["latest"]) for r in look_back(df, ["k"], lo, hi).collect()}
+    assert set(got) == {kt for kt, (_, ask) in data.items() if ask}
+    for (key, t), (live, latest) in got.items():
+        near = {u: n for (k, u), (n, _) in data.items() if k == key and n and t - hi <= u <= t - lo}
+        assert live == sum(near.values())
+        assert not near or latest == max(near)
 
 
 def chains(spark, events):

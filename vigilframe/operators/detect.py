@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from vigilframe.functions.events import from_micros, micros
-from vigilframe.operators.running import running_over_time
+from vigilframe.operators.sweep import bucket_of, look_back
 from vigilframe.sources.contracts import WATCHLIST_COUNTRIES
 
 _SECOND = 1_000_000
@@ -19,30 +19,29 @@ def burst_moments(
 ) -> DataFrame:
     """Every moment at which a source has ``threshold`` or more events in the trailing window.
 
-    One row per (src_ip, event_time). Each event counts from its own time until the
-    window has passed, so the trailing count is a running sum of +1 and -1 marks: linear,
-    and no source is gathered in one task.
+    One row per (src_ip, event_time). Counting per source and pair of neighbouring time
+    buckets comes first: only where that reaches the threshold can a window reach it, so
+    the events themselves are shuffled for those few groups alone.
     """
     window_us = minutes * 60 * _SECOND
-    arrivals = (
-        silver.filter(F.col("event_type") == event_type)
-        .groupBy("src_ip", micros(F.col("event_time")).alias("_t"))
-        .agg(F.count("*").alias("_n"))
+    failures = silver.filter(F.col("event_type") == event_type).select(
+        "src_ip", micros(F.col("event_time")).alias("_t")
     )
-    # One pass over the arrivals: each yields its mark and its expiry.
-    marks = arrivals.select(
-        "src_ip",
-        F.explode(
-            F.array(
-                F.struct(F.col("_t").alias("_t"), F.col("_n").alias("_d"), F.col("_n").alias("_here")),
-                F.struct((F.col("_t") + window_us + 1).alias("_t"), (-F.col("_n")).alias("_d"), F.lit(0).cast("long").alias("_here")),
-            )
-        ).alias("m"),
-    ).select("src_ip", "m.*")
-    per_moment = marks.groupBy("src_ip", "_t").agg(F.sum("_d").alias("_d"), F.sum("_here").alias("_here"))
-    counted = running_over_time(per_moment, ["src_ip"], "_t", sums={"events_in_window": F.col("_d")})
-    return counted.filter((F.col("_here") > 0) & (F.col("events_in_window") >= threshold)).select(
-        "src_ip", from_micros(F.col("_t")).alias("event_time"), "events_in_window"
+    own = bucket_of(F.col("_t"), window_us + 1)
+    paired = failures.withColumn("_bucket", F.explode(F.array(own, own + 1)))
+    busy = paired.groupBy("src_ip", "_bucket").agg(F.count("*").alias("_n")).filter(F.col("_n") >= threshold)
+    busy = busy.select("src_ip", "_bucket")
+    moments = (
+        paired.join(busy, ["src_ip", "_bucket"], "left_semi")
+        .groupBy("src_ip", "_t")
+        .agg(F.countDistinct("_bucket").alias("_b"), F.count("*").alias("_all"))
+        # An event kept through both of its buckets is still one event.
+        .select("src_ip", "_t", F.expr("_all DIV _b").alias("_n"), F.lit(True).alias("_ask"))
+    )
+    return (
+        look_back(moments, ["src_ip"], 0, window_us, busy)
+        .filter(F.col("live") >= threshold)
+        .select("src_ip", from_micros(F.col("_t")).alias("event_time"), F.col("live").alias("events_in_window"))
     )
 
 
@@ -100,57 +99,30 @@ def lockout_correlation(
     """Lockouts that follow a brute-force attempt on the same user, source and host.
 
     One row per lockout, with the number of attempts between ``min_seconds`` and
-    ``max_seconds`` before it and the latest of them. An attempt is "live" from
-    min_seconds to max_seconds after it, so both values are running values over attempt
-    and lockout marks in time order; attempts and lockouts are never paired up.
+    ``max_seconds`` before it and the latest of them. Attempts and lockouts are reduced to
+    moments and swept in time order; they are never paired up.
     """
     keys = ["username", "src_ip", "hostname"]
-    lo, hi = min_seconds * _SECOND, max_seconds * _SECOND
-    kinds = silver.filter(F.col("event_type").isin("brute_force_attempt", "account_lockout")).select(
-        *keys, "event_id", "event_type", "event_time", micros(F.col("event_time")).alias("_t")
-    )
+    kinds = silver.filter(F.col("event_type").isin("brute_force_attempt", "account_lockout"))
     for key in keys:
         kinds = kinds.filter(F.col(key).isNotNull())
-    attempts = (
-        kinds.filter("event_type = 'brute_force_attempt'")
-        .groupBy(*keys, "_t")
-        .agg(F.count("*").alias("_n"))
-        .select(
-            *keys,
-            F.explode(
-                F.array(
-                    F.struct((F.col("_t") + lo).alias("_at"), F.col("_n").alias("_d"), F.col("_t").alias("_seen")),
-                    F.struct((F.col("_t") + hi + 1).alias("_at"), (-F.col("_n")).alias("_d"), F.lit(None).cast("long").alias("_seen")),
-                )
-            ).alias("m"),
-        )
-        .select(*keys, "m.*", F.lit(0).alias("_ask"))
-    )
-    lockouts = kinds.filter("event_type = 'account_lockout'")
-    # A lockout asks for the running values at its time; asking adds nothing to them.
-    asks = lockouts.select(
-        *keys, F.col("_t").alias("_at"), F.lit(0).cast("long").alias("_d"),
-        F.lit(None).cast("long").alias("_seen"), F.lit(1).alias("_ask"),
+    kinds = kinds.withColumn("_t", micros(F.col("event_time")))
+    moments = kinds.groupBy(*keys, "_t").agg(
+        F.count_if(F.col("event_type") == "brute_force_attempt").alias("_n"),
+        F.bool_or(F.col("event_type") == "account_lockout").alias("_ask"),
     )
-    per_moment = (
-        attempts.unionByName(asks)
-        .groupBy(*keys, "_at")
-        .agg(F.sum("_d").alias("_d"), F.max("_seen").alias("_seen"), F.max("_ask").alias("_ask"))
-    )
-    live = running_over_time(
-        per_moment, keys, "_at",
-        sums={"attempt_count": F.col("_d")}, maxes={"_last": F.col("_seen")},
-    ).filter("_ask = 1 AND attempt_count > 0")
+    found = look_back(moments, keys, min_seconds * _SECOND, max_seconds * _SECOND).filter("live > 0")
     # Several lockouts may share one moment; each gets that moment's values back.
     return (
-        lockouts.withColumnRenamed("_t", "_at")
-        .join(live.select(*keys, "_at", "attempt_count", "_last"), [*keys, "_at"])
+        kinds.filter("event_type = 'account_lockout'")
+        .select("event_id", "event_time", *keys, "_t")
+        .join(found.drop("_n"), [*keys, "_t"])
         .select(
             F.col("event_id").alias("lockout_id"), *keys,
             F.col("event_time").alias("lockout_time"),
-            from_micros(F.col("_last")).alias("last_attempt_time"),
-            ((F.col("_at") - F.col("_last")) / _SECOND).alias("delay_seconds"),
-            "attempt_count",
+            from_micros(F.col("latest")).alias("last_attempt_time"),
+            ((F.col("_t") - F.col("latest")) / _SECOND).alias("delay_seconds"),
+            F.col("live").alias("attempt_count"),
         )
     )
 
@@ -158,26 +130,27 @@ def lockout_correlation(
 def failure_sessions(silver: DataFrame, gap_minutes: int = 5) -> DataFrame:
     """Runs of failed logins of one source with at most ``gap_minutes`` between neighbours.
 
-    A session starts where the previous failure is more than ``gap_minutes`` back, which is
-    what ``session_window`` does; here the previous failure and the start of the current
-    session are running maxima, so a busy source is spread over many tasks.
+    The result of ``session_window``, for sources of any size: failures of one source in
+    one gap-wide time bucket always belong together, so they are first reduced to their
+    first, last and number. What is chained per source is one row per bucket, bounded by
+    the clock.
     """
     gap = gap_minutes * 60 * _SECOND
-    moments = (
-        silver.filter("event_type = 'failed_login'")
-        .groupBy("src_ip", micros(F.col("event_time")).alias("_t"))
-        .agg(F.count("*").alias("_n"))
+    failures = silver.filter("event_type = 'failed_login'").select("src_ip", micros(F.col("event_time")).alias("_t"))
+    pieces = failures.groupBy("src_ip", bucket_of(F.col("_t"), gap).alias("_bucket")).agg(
+        F.min("_t").alias("_first"), F.max("_t").alias("_last"), F.count("*").alias("_n")
     )
-    linked = running_over_time(moments, ["src_ip"], "_t", before={"_prev": F.col("_t")})
-    starts = F.when(F.col("_prev").isNull() | (F.col("_t") - F.col("_prev") > gap), F.col("_t"))
-    sessions = running_over_time(linked, ["src_ip"], "_t", maxes={"_start": starts})
+    in_time = Window.partitionBy("src_ip").orderBy("_bucket")
+    previous = F.lag("_last").over(in_time)
+    begins = F.when(previous.isNull() | (F.col("_first") - previous > gap), F.col("_first"))
+    chained = pieces.withColumn("_begin", begins).withColumn("_start", F.max("_begin").over(in_time))
     return (
-        sessions.groupBy("src_ip", "_start")
-        .agg(F.sum("_n").alias("failed_logins"), F.max("_t").alias("_last"))
+        chained.groupBy("src_ip", "_start")
+        .agg(F.sum("_n").alias("failed_logins"), F.max("_last").alias("_end"))
         .select(
             "src_ip",
             from_micros(F.col("_start")).alias("session_start"),
-            from_micros(F.col("_last") + gap).alias("session_end"),
+            from_micros(F.col("_end") + gap).alias("session_end"),
             "failed_logins",
         )
     )
