@@ -172,6 +172,8 @@ def test_hourly_features(spark):
     got = hourly_features(df).orderBy("window_start").collect()
     assert [r["window_start"] for r in got] == [at(0), at(3 * 3600)]
     assert tuple(got[0])[2:] == (2, 1, 2, 1, 0.5, 1, 2.5, 1, 2, 0.5)
+    estimated = hourly_features(df, approximate=True).orderBy("window_start").collect()
+    assert [tuple(r) for r in estimated] == [tuple(r) for r in got]
     filled = hourly_features(df, fill_gaps=True).orderBy("window_start").collect()
     assert [r["total_event_count"] for r in filled] == [2, 0, 0, 1]
     assert filled[1]["window_end"] == at(2 * 3600) and filled[1]["failed_login_ratio"] == 0.0

@@ -110,3 +110,8 @@ def minutes_between(start: Column, end: Column) -> Column:
 def ratio(part: Column, whole: Column) -> Column:
     """32-bit share, NULL when the whole is zero."""
     return (part / F.nullif(whole, F.lit(0))).cast("float")
+
+
+def distinct_count(column: str, approximate: bool) -> Column:
+    """Exact, or a HyperLogLog estimate, which needs no second shuffle."""
+    return F.approx_count_distinct(column) if approximate else F.countDistinct(column)

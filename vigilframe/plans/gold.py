@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vigilframe.functions.events import hour_start, minutes_between, ratio
+from vigilframe.functions.events import distinct_count, hour_start, minutes_between, ratio
 from vigilframe.sources.contracts import EVENT_TYPE_CATEGORIES
 
 SLA_MINUTES = 240
@@ -72,13 +72,14 @@ def _with_share(grouped: DataFrame, count: str, share: str) -> DataFrame:
     return grouped.withColumn(share, ratio(F.col(count), total))
 
 
-def hourly_event_summary(silver: DataFrame) -> DataFrame:
+def hourly_event_summary(silver: DataFrame, approximate: bool = False) -> DataFrame:
+    """Events, sources and users per hour and type."""
     return (
         silver.groupBy(hour_start(F.col("event_time")).alias("event_hour"), "event_type")
         .agg(
             F.count("*").alias("event_count"),
-            F.countDistinct("src_ip").alias("unique_ips"),
-            F.countDistinct("username").alias("unique_users"),
+            distinct_count("src_ip", approximate).alias("unique_ips"),
+            distinct_count("username", approximate).alias("unique_users"),
         )
     )
 

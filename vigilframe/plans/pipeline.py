@@ -19,9 +19,12 @@ from vigilframe.sources.tables import merge_table, read_table, replace_from, row
 SLOW_STAGE_SECONDS = 300
 
 
-def refresh_silver(spark: SparkSession, base: str) -> DataFrame:
+def refresh_silver(spark: SparkSession, base: str, event_time_is_fixed: bool = False) -> DataFrame:
     """Bring Silver up to date from Bronze rows newer than anything it holds.
 
+    ``event_time_is_fixed`` promises that all versions of an event share its date; replaced
+    rows are then looked for in the dates of the new rows only.
+
     The newest ingest time is one value, fetched first so that it prunes Bronze's
     date directories and Parquet row groups as a literal.
     """
@@ -33,7 +36,10 @@ def refresh_silver(spark: SparkSession, base: str) -> DataFrame:
             mark = F.lit(high)
             rows = rows.filter((F.col("ingest_date") >= F.to_date(mark)) & (F.col("_ingested_at") > mark))
         fresh = silver_events(rows.drop("ingest_date")).withColumn("event_date", F.to_date("event_time"))
-        merge_table(fresh, silver_path, ["event_id"], newest_first(fresh), partition="event_date")
+        merge_table(
+            fresh, silver_path, ["event_id"], newest_first(fresh), partition="event_date",
+            key_keeps_partition=event_time_is_fixed,
+        )
     return read_table(spark, silver_path, SILVER)
 
 

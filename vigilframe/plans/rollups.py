@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from vigilframe.plans.cubes import CUBES
+
 _GRAINS = {"hour": "1 hour", "day": "1 day"}
 _SKETCHES = {"ips_sketch": "src_ip", "users_sketch": "username"}
 
@@ -46,3 +48,38 @@ def query_rollup(rollup: DataFrame, by: tuple[str, ...] = ("month",)) -> DataFra
         F.hll_sketch_estimate(F.hll_union_agg("ips_sketch")).alias("approx_unique_ips"),
         F.hll_sketch_estimate(F.hll_union_agg("users_sketch")).alias("approx_unique_users"),
     )
+
+
+def pre_aggregate(table: DataFrame, cube: str, name: str) -> DataFrame:
+    """The rollup a cube declares: one row per period with every measure of the cube.
+
+    Counts, sums and maxima are stored as they are; a distinct count is stored as a
+    sketch. A monthly partitioned rollup also gets its ``month``.
+    """
+    spec = CUBES[cube].pre_aggregations[name]
+    time = F.col(CUBES[cube].dimensions[spec["time"]].column).cast("timestamp_ntz")
+    stored = [
+        (F.hll_sketch_agg(m.column, 14) if m.kind == "countDistinct" else m.expression()).alias(member)
+        for member, m in CUBES[cube].measures.items()
+    ]
+    rows = table.groupBy(F.window(time, _GRAINS[spec["granularity"]])["start"].alias("period")).agg(*stored)
+    return rows.withColumn("month", F.trunc("period", "month")) if spec.get("partition") == "month" else rows
+
+
+def query_pre_aggregate(rollup: DataFrame, cube: str, measures: list[str], granularity: str) -> DataFrame:
+    """Measures of a cube per coarser period, from its rollup instead of its table.
+
+    Averages are not additive and cannot be asked for; distinct counts are estimates.
+    """
+    values = []
+    for member in measures:
+        kind = CUBES[cube].measures[member].kind
+        if kind in ("count", "sum"):
+            values.append(F.sum(member).alias(member))
+        elif kind in ("max", "number"):
+            values.append(F.max(member).alias(member))
+        elif kind == "countDistinct":
+            values.append(F.hll_sketch_estimate(F.hll_union_agg(member)).alias(member))
+        else:
+            raise ValueError(f"{cube}.{member} ({kind}) cannot be computed from a rollup")
+    return rollup.groupBy(F.date_trunc(granularity, "period").cast("timestamp_ntz").alias("period")).agg(*values)

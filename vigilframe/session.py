@@ -72,3 +72,10 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = work_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Remove all working tables below the shared folder; call when no job uses them."""
+    from vigilframe.sources.files import remove
+
+    remove(spark, f"{shared_dir(spark)}/vigilframe")
