@@ -7,12 +7,22 @@ from pyspark.sql import DataFrame, functions as F
 from vigilframe.streaming.sources import naive
 
 
-def dedup_stream(rows: DataFrame, delay: str = "2 days") -> DataFrame:
+def dedup_stream(rows: DataFrame, delay: str = "2 days", salts: int = 16) -> DataFrame:
     """The first row seen of each event_id, remembered for ``delay`` of event time.
 
+    Two steps: first per id and reading task, which leaves a much repeated id with at most
+    ``salts`` rows, then per id. ``salts=1`` skips the first step and its state.
+
     Silver keeps the latest version instead; that answer comes from the upsert stream.
     """
-    return rows.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"])
+    marked = rows.withWatermark("ts", delay)
+    if salts > 1:
+        marked = (
+            marked.withColumn("_salt", F.spark_partition_id() % salts)
+            .dropDuplicatesWithinWatermark(["event_id", "_salt"])
+            .drop("_salt")
+        )
+    return marked.dropDuplicatesWithinWatermark(["event_id"])
 
 
 def hourly_stream(rows: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -94,15 +104,18 @@ def failure_session_stream(rows: DataFrame, gap: str = "5 minutes", delay: str =
 def lockout_stream(
     attempts: DataFrame, lockouts: DataFrame,
     min_seconds: int = 60, max_seconds: int = 299, delay: str = "10 minutes",
-    keys: tuple[str, ...] = ("username", "src_ip", "hostname"),
+    keys: tuple[str, ...] = ("username", "src_ip", "hostname"), salts: int = 8,
 ) -> DataFrame:
     """Lockouts preceded by a brute-force attempt on the same user, source and host.
 
-    A semi join: a lockout comes out once however many attempts match. The time bucket in
-    the join key spreads a busy user's state over many partitions; an attempt is kept in
-    its own bucket and the next, since a match is at most one bucket later.
+    A semi join: a lockout comes out once however many attempts match. Two parts of the
+    join key spread a busy user's state: a time bucket (an attempt is kept in its own and
+    the next, since a match is at most one bucket later) and a salt, by which the many
+    attempts are divided and the few lockouts repeated; the last step drops the repeats
+    of a row. Versions of one lockout stay apart, as they came.
     """
     width = max_seconds + 1
+    row = F.xxhash64(*lockouts.columns)
     tries = (
         attempts.filter("event_type = 'brute_force_attempt'")
         .withColumnRenamed("ts", "attempt_time")
@@ -110,21 +123,29 @@ def lockout_stream(
     )
     at = F.floor(F.unix_seconds("attempt_time") / width)
     tries = tries.select(
-        *[F.col(k).alias(f"a_{k}") for k in keys], "attempt_time", F.explode(F.array(at, at + 1)).alias("a_bucket")
+        *[F.col(k).alias(f"a_{k}") for k in keys], "attempt_time",
+        F.pmod(F.xxhash64("attempt_time"), F.lit(salts)).alias("a_salt"),
+        F.explode(F.array(at, at + 1)).alias("a_bucket"),
     )
     locked = (
         lockouts.filter("event_type = 'account_lockout'")
+        .withColumn("_row", row)
         .withColumnRenamed("ts", "lockout_time")
         .withWatermark("lockout_time", delay)
-        .select("event_id", *keys, "lockout_time", F.floor(F.unix_seconds("lockout_time") / width).alias("bucket"))
+        .select(
+            "event_id", *keys, "lockout_time", "_row",
+            F.floor(F.unix_seconds("lockout_time") / width).alias("bucket"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"),
+        )
     )
-    match = F.col("bucket") == F.col("a_bucket")
+    match = (F.col("bucket") == F.col("a_bucket")) & (F.col("salt") == F.col("a_salt"))
     for k in keys:
         match = match & (F.col(k) == F.col(f"a_{k}"))
     match = match & F.expr(
         f"attempt_time BETWEEN lockout_time - INTERVAL {max_seconds} SECONDS "
         f"AND lockout_time - INTERVAL {min_seconds} SECONDS"
     )
-    return locked.join(tries, match, "left_semi").select(
+    found = locked.join(tries, match, "left_semi").dropDuplicatesWithinWatermark(["event_id", "_row"])
+    return found.select(
         F.col("event_id").alias("lockout_id"), *keys, naive(F.col("lockout_time")).alias("lockout_time")
     )
