@@ -413,7 +413,8 @@ def _dq_bronze(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _dq_report(spark: SparkSession, folder: str) -> DataFrame:
-    rows = silver(spark, folder)
+    """The checks read stored tables, so Silver is stored first."""
+    rows = settle(silver(spark, folder), "silver")
     table = _table_of(rows)
     names = ("kpi_summary", "attack_volume_by_day", "attack_volume_by_country", "hourly_event_summary")
     return quality_plan.dq_report(rows, {f"gold.{n}": table(f"gold.{n}") for n in names})
