@@ -8,7 +8,7 @@ import pytest
 
 from tests.test_validate import GOOD
 from vigilframe.plans.ingest import ingest
-from vigilframe.plans.pipeline import run_pipeline
+from vigilframe.plans.pipeline import register_views, run_pipeline
 from vigilframe.sources.contracts import BRONZE, DEAD_LETTER, PIPELINE_RUNS, TABLES
 from vigilframe.sources.tables import read_table, row_count, table_path
 
@@ -122,6 +122,14 @@ def test_whole_pipeline_twice(spark, write, base):
     assert kpi["avg_mttd_minutes"] == 5.0 and kpi["avg_mttr_minutes"] == 240.0 and kpi["sla_compliance"] == 1.0
     for name in TABLES:
         assert read_table(spark, table_path(base, name), TABLES[name]).count() > 0, name
+    assert len(register_views(spark, base)) == len(TABLES) + 3
+    joined = spark.sql("""
+        SELECT k.total_attacks, s.n, a.windows FROM kpi_summary k
+        CROSS JOIN (SELECT count(*) AS n FROM silver_events WHERE is_attack_event) s
+        CROSS JOIN (SELECT count(*) AS windows FROM anomaly_view) a
+    """).first()
+    assert tuple(joined)[:2] == (30, 30) and joined["windows"] > 0
+    assert spark.table("stg_security_events").columns == BRONZE.fieldNames()
     runs = read_table(spark, table_path(base, "pipeline_runs"), PIPELINE_RUNS).collect()
     assert len(runs) == 2 and {r["stages_completed"] for r in runs} == {"ingest,silver,gold,anomalies"}
     assert all(r["records_ingested"] == 60 and r["records_rejected"] == 1 and r["stages_failed"] is None for r in runs)
@@ -133,3 +141,18 @@ def test_failed_stage_is_recorded(spark, write, base):
         run_pipeline(spark, folder, base, slow_after=0.0)
     run = read_table(spark, table_path(base, "pipeline_runs"), PIPELINE_RUNS).first()
     assert run["stages_failed"] == "anomalies" and run["slow_stages"].startswith("ingest")
+
+
+def test_shuffle_size_follows_the_input(spark):
+    from vigilframe.session import size_shuffles
+
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")}
+    try:
+        assert size_shuffles(spark, 10) == 8
+        assert size_shuffles(spark, 100 << 30) == 200
+        assert size_shuffles(spark, 1 << 30) == 200  # never lowered
+        assert size_shuffles(spark, 100 << 40) == 40_000
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(512 << 20)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vigilframe.operators.dedup import newest_first
 from vigilframe.plans import gold
 from vigilframe.plans.ingest import ingest
-from vigilframe.plans.silver import silver_events
+from vigilframe.plans.silver import silver_events, staging_events
+from vigilframe.session import size_shuffles
 from vigilframe.sources import files
-from vigilframe.sources.contracts import BRONZE, PIPELINE_RUNS, SILVER, conform
+from vigilframe.sources.contracts import ANOMALY_VIEW, BRONZE, PIPELINE_RUNS, SILVER, TABLES, conform
 from vigilframe.sources.tables import merge_table, read_table, replace_from, row_count, table_path
 
 SLOW_STAGE_SECONDS = 300
@@ -60,6 +61,7 @@ def run_pipeline(
     """Run all stages in order; append a record to ``pipeline_runs`` whether or not one fails."""
     from vigilframe.plans.anomalies import detect_anomalies
 
+    size_shuffles(spark, files.total_bytes(spark, folder))
     state: dict = {}
 
     def do_ingest():
@@ -113,3 +115,18 @@ def record_run(
         table_path(base, "pipeline_runs")
     )
     return run_id
+
+
+def register_views(spark: SparkSession, base: str) -> list[str]:
+    """Temporary views over all tables below ``base``, for use in ``spark.sql``.
+
+    Each is named like its table; ``stg_security_events`` is the staging projection of
+    Bronze and ``anomaly_view`` the seven promised columns of the anomaly results.
+    """
+    views = {name.split(".")[1]: read_table(spark, table_path(base, name), c) for name, c in TABLES.items()}
+    views["stg_security_events"] = staging_events(views["security_events"])
+    views["anomaly_view"] = views["anomaly_results"].select(*ANOMALY_VIEW)
+    views["pipeline_runs"] = read_table(spark, table_path(base, "pipeline_runs"), PIPELINE_RUNS)
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return sorted(views)

@@ -42,6 +42,27 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_PARTITION_BYTES = 512 << 20
+_MOST_PARTITIONS = 40_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the shuffle partitions to fit the input; returns the number in force.
+
+    About half a gigabyte each, which spills gracefully, and never more than 40,000: with
+    many thousands of map tasks the blocks between them would become too small. AQE merges
+    what turns out smaller and splits skewed joins. A large input is also read in larger
+    pieces, for the same reason. A higher setting of the session is left alone.
+    """
+    wanted = min(-(-input_bytes // _PARTITION_BYTES), _MOST_PARTITIONS)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", wanted)
+        if wanted == _MOST_PARTITIONS:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", _PARTITION_BYTES)
+    return max(wanted, current)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can read: what the cluster names, else a local one.
 

@@ -29,3 +29,9 @@ def remove(spark: SparkSession, path: str) -> None:
 def children(spark: SparkSession, path: str) -> list[str]:
     fs, where = _fs(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes below ``path``, 0 when it does not exist."""
+    fs, where = _fs(spark, path)
+    return fs.getContentSummary(where).getLength() if fs.exists(where) else 0
