@@ -451,11 +451,13 @@ def _drained(spark: SparkSession, name: str, start: Callable[[str, str], object]
     return path
 
 
-def _stream_upsert(build: Callable[[DataFrame], DataFrame], keys: list[str], name: str) -> Query:
+def _stream_upsert(
+    build: Callable[[DataFrame], DataFrame], keys: list[str], name: str, day_of: str | None = None
+) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         rows = build(stream.stream_clean(_bronze_stream(spark, folder)))
-        path = _drained(spark, name, lambda p, c: sinks.upsert_stream(rows, p, c, keys))
-        return spark.read.parquet(path)
+        path = _drained(spark, name, lambda p, c: sinks.upsert_stream(rows, p, c, keys, day_of))
+        return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
 
     return run
 
@@ -492,7 +494,7 @@ def streams() -> dict[str, Query]:
         "stream_hourly": _stream_upsert(windows.hourly_stream, ["event_hour", "event_type"], "stream-hourly"),
         "stream_hourly_counts": _stream_upsert(
             lambda r: windows.hourly_stream(r).drop("approx_unique_ips", "approx_unique_users"),
-            ["event_hour", "event_type"], "stream-counts"),
+            ["event_hour", "event_type"], "stream-counts", day_of="event_hour"),
         "stream_features": _stream_upsert(windows.feature_stream, ["window_start"], "stream-features"),
         "stream_features_exact": _stream_upsert(
             lambda r: windows.feature_stream(r).drop("unique_src_ips", "unique_users", "unique_countries")

@@ -91,11 +91,13 @@ def test_silver_stream_equals_batch(spark, inbox, out):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_hourly_updates_accumulate(spark, inbox, out):
+@pytest.mark.parametrize("day_of", [None, "event_hour"])
+def test_hourly_updates_accumulate(spark, inbox, out, day_of):
     inbox(silver(spark, {"event_time": at(0)}, {"event_time": at(10), "src_ip": "10.0.0.2"}))
     inbox(silver(spark, {"event_time": at(20), "username": "bo"}, {"event_time": at(3600)}))
-    sinks.upsert_stream(windows.hourly_stream(events(spark, inbox)), *out, ["event_hour", "event_type"]).awaitTermination()
-    got = spark.read.parquet(out[0]).orderBy("event_hour").collect()
+    rows = windows.hourly_stream(events(spark, inbox))
+    sinks.upsert_stream(rows, *out, ["event_hour", "event_type"], day_of).awaitTermination()
+    got = spark.read.parquet(out[0]).drop("day").orderBy("event_hour").collect()
     assert [tuple(r) for r in got] == [(at(0), "failed_login", 3, 2, 2), (at(3600), "failed_login", 1, 1, 1)]
 
 

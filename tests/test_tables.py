@@ -86,6 +86,25 @@ def test_dispositions(spark, path):
         tables.write_table(df, path, "upsert")
 
 
+def test_replace_survives_a_crash(spark, path, monkeypatch):
+    contract = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.IntegerType()), T.StructField("day", T.DateType())])
+    read = lambda: [r["v"] for r in tables.read_table(spark, path, contract).collect()]
+    tables.write_table(dated(spark, ("a", 1, D1)), path)
+    bad = dated(spark, ("a", 2, D1)).withColumn("v", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        tables.write_table(bad, path)
+    assert read() == [1]
+    rename = files.rename
+    monkeypatch.setattr(files, "rename", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        tables.write_table(dated(spark, ("a", 3, D1)), path)
+    assert read() == [3]
+    monkeypatch.setattr(files, "rename", rename)
+    tables.finish_interrupted(spark, path)
+    tables.write_table(tables.read_table(spark, path, contract).withColumn("v", F.lit(4)), path)
+    assert read() == [4]
+
+
 def test_upsert_with_new_column(spark, rows):
     old, new = dated(spark, ("a", 1, D1)), dated(spark, ("b", 2, D2)).withColumn("extra", F.lit(9))
     assert rows(merge_upsert(old, new, ["k"])) == [("a", 1, D1, None), ("b", 2, D2, 9)]

@@ -26,6 +26,12 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, where = _fs(spark, source)
+    if not fs.rename(where, _fs(spark, target)[1]):
+        raise OSError(f"could not rename {source} to {target}")
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     fs, where = _fs(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []

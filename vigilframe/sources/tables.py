@@ -29,7 +29,9 @@ def read_table(
     extra = [T.StructField(partition, T.DateType())] if partition else []
     schema = T.StructType(_nullable(contract).fields + extra)
     if not files.exists(spark, path):
-        return spark.createDataFrame([], schema)
+        if not files.is_complete(spark, f"{path}__next"):
+            return spark.createDataFrame([], schema)
+        path = f"{path}__next"  # a replacement was cut off before its last step
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
@@ -60,8 +62,17 @@ def write_table(
             raise ValueError("merge needs keys")
         merge_table(df, path, keys, order or [], partition)
         return
-    writer = df.write.mode("append" if disposition == "append" else "overwrite")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    if disposition == "append":
+        writer = df.write.mode("append")
+        (writer.partitionBy(partition) if partition else writer).parquet(path)
+        return
+    # Spark's overwrite removes the old files first; here they stay until the new ones are
+    # complete, so a failed job loses nothing and a table may be replaced from itself.
+    spark = df.sparkSession
+    finish_interrupted(spark, path)
+    _write(df, f"{path}__next", partition)
+    files.remove(spark, path)
+    files.rename(spark, f"{path}__next", path)
 
 
 def merge_table(
@@ -172,7 +183,9 @@ def _publish(spark: SparkSession, path: str) -> None:
 
 
 def finish_interrupted(spark: SparkSession, path: str) -> None:
-    """Complete a merge that was cut off after its copy was committed."""
+    """Complete a merge or a replacement that was cut off after its new content was committed."""
+    if files.is_complete(spark, f"{path}__next") and not files.exists(spark, path):
+        files.rename(spark, f"{path}__next", path)
     if files.is_complete(spark, _Work(path).incoming):
         _publish(spark, path)
 

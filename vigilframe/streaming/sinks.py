@@ -34,12 +34,17 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str, interval: str |
 
 def upsert_stream(
     stream: DataFrame, path: str, checkpoint: str, keys: list[str],
-    partition: str | None = None, interval: str | None = None,
+    day_of: str | None = None, interval: str | None = None,
 ) -> StreamingQuery:
-    """Changed aggregate rows, merged by key; a key stays in its partition."""
+    """Changed aggregate rows, merged by key.
+
+    ``day_of`` names a time column among the keys: the table is then partitioned by its
+    ``day``, and a micro-batch rewrites only the days it changes.
+    """
 
     def each(batch: DataFrame, _: int) -> None:
-        merge_table(batch, path, keys, [], partition, key_keeps_partition=True)
+        rows = batch.withColumn("day", F.to_date(day_of)) if day_of else batch
+        merge_table(rows, path, keys, [], "day" if day_of else None, key_keeps_partition=True)
 
     return _start(stream, checkpoint, "update", each, interval)
 
