@@ -8,7 +8,8 @@ import pytest
 
 from tests.test_validate import GOOD
 from vigilframe.plans.ingest import ingest
-from vigilframe.plans.pipeline import register_views, run_pipeline
+from vigilframe.plans.pipeline import register_views, run_pipeline, stored_tables
+from vigilframe.plans.semantic import semantic_query
 from vigilframe.sources.contracts import BRONZE, DEAD_LETTER, PIPELINE_RUNS, TABLES
 from vigilframe.sources.tables import read_table, row_count, table_path
 
@@ -129,6 +130,14 @@ def test_whole_pipeline_twice(spark, write, base):
         CROSS JOIN (SELECT count(*) AS windows FROM anomaly_view) a
     """).first()
     assert tuple(joined)[:2] == (30, 30) and joined["windows"] > 0
+    query = {
+        "measures": ["SecurityEvents.count"],
+        "timeDimensions": [{"dimension": "SecurityEvents.eventTime", "dateRange": ["2024-01-15", "2024-01-15"]}],
+    }
+    day = semantic_query(stored_tables(spark, base), query)
+    assert day.first()["SecurityEvents.count"] == 20
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "(event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert spark.table("stg_security_events").columns == BRONZE.fieldNames()
     runs = read_table(spark, table_path(base, "pipeline_runs"), PIPELINE_RUNS).collect()
     assert len(runs) == 2 and {r["stages_completed"] for r in runs} == {"ingest,silver,gold,anomalies"}

@@ -31,6 +31,15 @@ def within(time: Column, bounds: tuple[date, date]) -> Column:
     return (time >= first) & (time < after)
 
 
+def restrict(df: DataFrame, column: str, bounds: tuple[date, date]) -> DataFrame:
+    """Rows whose ``column`` lies in the bounds; stored events are also pruned by date directory."""
+    df = df.filter(within(F.col(column).cast("timestamp_ntz"), bounds))
+    if column == "event_time" and "event_date" in df.columns:
+        first, after = (F.lit(d) for d in bounds)
+        df = df.filter((F.col("event_date") >= first) & (F.col("event_date") < after))
+    return df
+
+
 @dataclass(frozen=True)
 class FilterSpec:
     """Empty means no restriction; several restrictions must all hold."""
@@ -65,5 +74,5 @@ def apply_filters(df: DataFrame, spec: FilterSpec) -> DataFrame:
     if spec.is_anomaly is not None:
         df = df.filter(F.col("is_anomaly") == spec.is_anomaly)
     if spec.date_range is not None:
-        df = df.filter(within(F.col(spec.time_column), date_bounds(spec.date_range, spec.as_of)))
+        df = restrict(df, spec.time_column, date_bounds(spec.date_range, spec.as_of))
     return df

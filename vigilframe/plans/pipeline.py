@@ -117,13 +117,24 @@ def record_run(
     return run_id
 
 
+def stored_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """All contract tables below ``base`` by name, as ``semantic_query`` takes them.
+
+    Silver also shows its partition column ``event_date``, so date ranges skip directories.
+    """
+    return {
+        name: read_table(spark, table_path(base, name), contract, "event_date" if contract is SILVER else None)
+        for name, contract in TABLES.items()
+    }
+
+
 def register_views(spark: SparkSession, base: str) -> list[str]:
     """Temporary views over all tables below ``base``, for use in ``spark.sql``.
 
     Each is named like its table; ``stg_security_events`` is the staging projection of
     Bronze and ``anomaly_view`` the seven promised columns of the anomaly results.
     """
-    views = {name.split(".")[1]: read_table(spark, table_path(base, name), c) for name, c in TABLES.items()}
+    views = {name.split(".")[1]: df for name, df in stored_tables(spark, base).items()}
     views["stg_security_events"] = staging_events(views["security_events"])
     views["anomaly_view"] = views["anomaly_results"].select(*ANOMALY_VIEW)
     views["pipeline_runs"] = read_table(spark, table_path(base, "pipeline_runs"), PIPELINE_RUNS)

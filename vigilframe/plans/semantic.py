@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vigilframe.operators.filters import date_bounds, within
+from vigilframe.operators.filters import date_bounds, restrict
 from vigilframe.plans.cubes import CUBES, Cube
 
 Tables = Mapping[str, DataFrame] | Callable[[str], DataFrame]
@@ -74,11 +74,11 @@ def semantic_query(tables: Tables, query: Mapping, as_of: date | None = None, se
     for name in dimensions:
         keys[name] = F.col(cube.dimensions[_member(name, "dimensions")[1]].column)
     for spec in times:
-        time = F.col(cube.dimensions[_member(spec["dimension"], "dimensions")[1]].column).cast("timestamp_ntz")
+        column = cube.dimensions[_member(spec["dimension"], "dimensions")[1]].column
         if spec.get("dateRange"):
-            df = df.filter(within(time, date_bounds(spec["dateRange"], as_of)))
+            df = restrict(df, column, date_bounds(spec["dateRange"], as_of))
         if spec.get("granularity"):
-            keys[spec["dimension"]] = _truncate(time, spec["granularity"])
+            keys[spec["dimension"]] = _truncate(F.col(column).cast("timestamp_ntz"), spec["granularity"])
 
     def label(name: str) -> str:
         return name.replace(".", sep)
