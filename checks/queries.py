@@ -136,6 +136,12 @@ def _address_checks(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _failing_fields(spark: SparkSession, folder: str) -> DataFrame:
+    return validate.failing_fields(bronze(spark, folder)).groupBy("failing_fields").agg(F.count("*").alias("n")).select(
+        F.concat_ws(",", "failing_fields").alias("failing_fields"), "n"
+    )
+
+
 def _internal_split(rows: DataFrame) -> DataFrame:
     return rows.groupBy("is_internal_ip").agg(F.count("*").alias("event_count"))
 
@@ -161,6 +167,7 @@ def ingesting() -> dict[str, Query]:
         "route_dead_letter": _route_dead_letter,
         "ingest_jsonl": _ingest_jsonl,
         "address_checks": _address_checks,
+        "strict_schema": _failing_fields,
         "internal_ip_split": _on_silver(_internal_split),
     }
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vigilframe.functions import events as ev
-from vigilframe.operators.validate import parse_lines, rejected_rows, valid_rows
+from vigilframe.operators.validate import failing_fields, parse_lines, rejected_rows, valid_rows
 from vigilframe.sources.contracts import EVENT_TYPES
 
 GOOD = {
@@ -110,6 +110,19 @@ def test_addresses(spark, ip, shape, strict):
     assert tuple(df.select(ev.looks_like_ipv4(F.col("ip")), ev.is_strict_ipv4(F.col("ip"))).first()) == (shape, strict)
 
 
+def test_declared_schema(spark):
+    from tests.helpers import bronze
+
+    uid = GOOD["event_id"]
+    df = bronze(
+        spark, {"event_id": uid}, {"event_id": uid, "destination_ip": "256.1.1.1", "severity": "HIGH", "country": None},
+        {"event_id": "x", "event_time": "never", "src_ip": None, "event_type": "nope"},
+    )
+    assert [r["failing_fields"] for r in failing_fields(df).collect()] == [
+        [], ["destination_ip", "severity", "country"], ["event_id", "event_time", "src_ip", "event_type"],
+    ]
+
+
 def test_uuid(spark):
     values = [GOOD["event_id"], GOOD["event_id"].upper(), "a1b2c3d4-e5f6-1890-abcd-ef1234567890", "x", None]
     df = spark.createDataFrame([(v,) for v in values], "v string")

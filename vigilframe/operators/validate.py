@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vigilframe.functions.events import is_blank, strip
-from vigilframe.sources.contracts import EVENT_TYPES, REQUIRED_FIELDS, SOURCE_FIELDS
+from vigilframe.functions.events import is_blank, is_strict_ipv4, is_uuid_v4, parse_time, strip
+from vigilframe.sources.contracts import EVENT_TYPES, REQUIRED_FIELDS, SEVERITIES, SOURCE_FIELDS
 
 _ALLOWED = "[" + ", ".join(f"'{name}'" for name in sorted(EVENT_TYPES)) + "]"
 
@@ -32,6 +34,33 @@ def validate_events(records: DataFrame) -> DataFrame:
     return records.withColumn("error_reason", error_reason(*[F.col(c) for c in REQUIRED_FIELDS]))
 
 
+_MAY_BE_NULL = ("destination_ip", "detection_time", "resolution_time")
+
+
+def failing_fields(records: DataFrame) -> DataFrame:
+    """Add ``failing_fields``: names of the fields that break the declared record schema.
+
+    Stricter than ingest: a UUID v4 id, addresses with octets up to 255, readable times,
+    known type and severity, and no NULL outside the three optional fields.
+    """
+    rules: dict[str, Callable[[Column], Column]] = {
+        "event_id": is_uuid_v4,
+        "src_ip": is_strict_ipv4,
+        "destination_ip": is_strict_ipv4,
+        "event_type": lambda c: c.isin(*EVENT_TYPES),
+        "severity": lambda c: c.isin(*SEVERITIES),
+    }
+    rules |= {name: lambda c: parse_time(c.cast("string")).isNotNull() for name in ("event_time", "detection_time", "resolution_time")}
+
+    def breaks(name: str) -> Column:
+        value = F.col(name)
+        good = rules[name](value) if name in rules else F.lit(True)
+        return F.when(value.isNull(), F.lit(name not in _MAY_BE_NULL)).otherwise(~good)
+
+    names = F.array(*[F.when(breaks(name), F.lit(name)) for name in SOURCE_FIELDS])
+    return records.withColumn("failing_fields", F.array_compact(names))
+
+
 # Python's reader rejects single quotes; Spark's accepts them unless told otherwise.
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
