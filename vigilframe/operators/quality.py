@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vigilframe.sources.contracts import contract_violations
 
@@ -110,7 +110,3 @@ def slow_stages(runs: DataFrame) -> DataFrame:
 
 def report(*checks: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
-
-
-def empty_report(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], _RESULT)

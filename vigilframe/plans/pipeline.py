@@ -8,7 +8,6 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigilframe.operators.dedup import newest_first
 from vigilframe.plans import gold
 from vigilframe.plans.ingest import ingest
 from vigilframe.plans.silver import silver_events, staging_events
@@ -38,7 +37,7 @@ def refresh_silver(spark: SparkSession, base: str, event_time_is_fixed: bool = F
             rows = rows.filter((F.col("ingest_date") >= F.to_date(mark)) & (F.col("_ingested_at") > mark))
         fresh = silver_events(rows.drop("ingest_date")).withColumn("event_date", F.to_date("event_time"))
         merge_table(
-            fresh, silver_path, ["event_id"], newest_first(fresh), partition="event_date",
+            fresh, silver_path, ["event_id"], None, partition="event_date",
             key_keeps_partition=event_time_is_fixed,
         )
     return read_table(spark, silver_path, SILVER)

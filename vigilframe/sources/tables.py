@@ -60,7 +60,7 @@ def write_table(
     if disposition == "merge":
         if not keys:
             raise ValueError("merge needs keys")
-        merge_table(df, path, keys, order or [], partition)
+        merge_table(df if order else df.dropDuplicates(keys), path, keys, order, partition)
         return
     if disposition == "append":
         writer = df.write.mode("append")
@@ -79,13 +79,13 @@ def merge_table(
     batch: DataFrame,
     path: str,
     keys: list[str],
-    order: list[Column],
+    order: list[Column] | None,
     partition: str | None = None,
     key_keeps_partition: bool = False,
 ) -> None:
     """Upsert ``batch`` into the table at ``path``, rewriting only touched partitions.
 
-    ``order`` decides among several batch rows of one key. With ``partition`` (a date or
+    ``order`` decides among several batch rows of one key; None says each key is there once. With ``partition`` (a date or
     integer column) only partitions that hold a key of the batch or receive one are
     rewritten; ``key_keeps_partition`` says a key never changes partition, which saves
     looking the keys up in the whole table. Columns only the table or only the batch has
@@ -100,7 +100,7 @@ def merge_table(
     if partition and batch.schema[partition].dataType.typeName() not in ("date", "integer", "long"):
         raise ValueError(f"partition column {partition} must be a date or an integer")
     finish_interrupted(spark, path)
-    deduplicated = latest_per_key(batch, keys, order) if order else batch.dropDuplicates(keys)
+    deduplicated = latest_per_key(batch, keys, order) if order else batch
     if not files.is_complete(spark, path):
         _write(deduplicated, path, partition)
         return

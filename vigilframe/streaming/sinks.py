@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from vigilframe.operators.dedup import newest_first
 from vigilframe.operators.validate import parse_lines
 from vigilframe.plans.ingest import append_dead_letters, bronze_rows, dead_letters
 from vigilframe.plans.silver import silver_events
@@ -44,7 +43,7 @@ def upsert_stream(
 
     def each(batch: DataFrame, _: int) -> None:
         rows = batch.withColumn("day", F.to_date(day_of)) if day_of else batch
-        merge_table(rows, path, keys, [], "day" if day_of else None, key_keeps_partition=True)
+        merge_table(rows, path, keys, None, "day" if day_of else None, key_keeps_partition=True)
 
     return _start(stream, checkpoint, "update", each, interval)
 
@@ -108,7 +107,7 @@ def silver_stream(
     def each(batch: DataFrame, _: int) -> None:
         fresh = silver_events(batch).withColumn("event_date", F.to_date("event_time"))
         merge_table(
-            fresh, path, ["event_id"], newest_first(fresh), partition="event_date",
+            fresh, path, ["event_id"], None, partition="event_date",
             key_keeps_partition=event_time_is_fixed,
         )
 
