@@ -69,6 +69,22 @@ def test_merge_keeps_added_columns(spark, path, rows):
     assert rows(spark.read.parquet(path).select("k", "note")) == [("a", "n"), ("b", None)]
 
 
+def test_merge_never_mistakes_a_table_for_a_failed_load(spark, path, rows):
+    """Success markers may be switched off; existing files still count as the table."""
+    tables.merge_table(dated(spark, ("a", 1, D1)), path, ["k"], None, "day")
+    files.remove(spark, f"{path}/_SUCCESS")
+    tables.merge_table(dated(spark, ("b", 1, D1)), path, ["k"], None, "day")
+    assert rows(spark.read.parquet(path).select("k")) == [("a",), ("b",)]
+
+
+def test_merge_of_nothing(spark, path):
+    empty = dated(spark, ("a", 1, D1)).filter("false")
+    tables.merge_table(empty, path, ["k"], None, "day")
+    tables.merge_table(dated(spark, ("a", 1, D1)), path, ["k"], None, "day")
+    tables.merge_table(empty, path, ["k"], None, "day")
+    assert tables.row_count(spark, path) == 1
+
+
 def test_merge_refuses_wide_partitions(spark, path):
     with pytest.raises(ValueError, match="date or an integer"):
         tables.merge_table(dated(spark, ("a", 1, D1)), path, ["k"], [], "k")

@@ -37,6 +37,11 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds anything but markers and temporary folders."""
+    return any(name[0] not in "_." for name in children(spark, path))
+
+
 def total_bytes(spark: SparkSession, path: str) -> int:
     """Bytes below ``path``, 0 when it does not exist."""
     fs, where = _fs(spark, path)

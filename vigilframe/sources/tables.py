@@ -101,8 +101,8 @@ def merge_table(
         raise ValueError(f"partition column {partition} must be a date or an integer")
     finish_interrupted(spark, path)
     deduplicated = latest_per_key(batch, keys, order) if order else batch
-    if not files.is_complete(spark, path):
-        _write(deduplicated, path, partition)
+    if not files.has_data(spark, path):
+        write_table(deduplicated, path, "replace", partition=partition)
         return
     # The batch is read several times below; keep the copy that was deduplicated once.
     work = _Work(path)
