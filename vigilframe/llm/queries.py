@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigilframe.llm import exact_dedup, mixing, packing
+from vigilframe.llm import exact_dedup, mixing, packing, pii, toxicity
 from vigilframe.llm.common import table
 
 
@@ -21,6 +21,20 @@ def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
         F.col("_mix_target").alias("target"), (F.col("_mix_copies") * F.col("_mix_size")).alias("taken"))
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.fit(docs))
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = toxicity.fit(docs, table(spark, folder, "labels"), ~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
@@ -29,5 +43,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_exact_dedup": op2_exact_dedup,
         "op4_source_mix": op4_source_mix,
+        "op7_pii": op7_pii,
+        "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
     }
