@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigilframe.llm import exact_dedup, mixing, packing, pii, toxicity
+from vigilframe.llm import exact_dedup, langid, mixing, packing, pages, pii, toxicity
 from vigilframe.llm.common import table
 
 
+def op1_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages"))
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents")).drop("row")
 
@@ -21,6 +25,13 @@ def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
         F.col("_mix_target").alias("target"), (F.col("_mix_copies") * F.col("_mix_size")).alias("taken"))
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    found = langid.identify(docs, langid.fit(docs, ~held_out))
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return pii.find(docs, pii.fit(docs))
@@ -41,8 +52,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_page_text": op1_page_text,
         "op2_exact_dedup": op2_exact_dedup,
         "op4_source_mix": op4_source_mix,
+        "op5_language_id": op5_language_id,
         "op7_pii": op7_pii,
         "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
