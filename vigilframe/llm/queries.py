@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigilframe.llm import exact_dedup, langid, mixing, packing, pages, pii, toxicity
+from vigilframe.llm import exact_dedup, langid, minhash, mixing, packing, pages, pii, toxicity
 from vigilframe.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_groups(table(spark, folder, "documents"))
+
+
 def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return pii.find(docs, pii.fit(docs))
@@ -56,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_exact_dedup": op2_exact_dedup,
         "op4_source_mix": op4_source_mix,
         "op5_language_id": op5_language_id,
+        "op6_near_dedup": op6_near_dedup,
         "op7_pii": op7_pii,
         "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
