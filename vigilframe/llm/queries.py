@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigilframe.llm import exact_dedup, langid, minhash, mixing, packing, pages, pii, toxicity
+from vigilframe.llm import exact_dedup, langid, minhash, mixing, packing, pages, pii, repeats, toxicity
 from vigilframe.llm.common import table
 
 
@@ -41,6 +41,10 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(docs, pii.fit(docs))
 
 
+def op8_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, folder, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -62,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_language_id": op5_language_id,
         "op6_near_dedup": op6_near_dedup,
         "op7_pii": op7_pii,
+        "op8_repeated_strings": op8_repeated_strings,
         "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
     }
