@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigilframe.llm import exact_dedup, langid, minhash, mixing, packing, pages, pii, repeats, toxicity
+from vigilframe.llm import exact_dedup, langid, minhash, mixing, neighbours, packing, pages, pii, repeats, toxicity
 from vigilframe.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents")).drop("row")
 
 
+def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.with_copies(table(spark, folder, "documents").select("doc_id", "source", "text"))
     return mixed.select(
@@ -62,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_page_text": op1_page_text,
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_neighbours": op3_neighbours,
         "op4_source_mix": op4_source_mix,
         "op5_language_id": op5_language_id,
         "op6_near_dedup": op6_near_dedup,
