@@ -125,10 +125,13 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 PRINT = ["print_a", "print_b", "n_bytes"]
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, row, n_chars (null: 0), print_a, print_b, n_bytes, text_sha256 of every row."""
+def digests(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, row, n_chars (null: 0), print_a, print_b, n_bytes, text_sha256 of every row.
+
+    ``row`` names a column that numbers the rows; without one they are numbered here.
+    """
     read = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"), (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
         F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), F.col("text").cast("string").alias("text"))
     return read.mapInArrow(
         _digests, "doc_id long, row long, n_chars long, print_a long, print_b long, n_bytes long, text_sha256 string")
@@ -149,14 +152,14 @@ def unequal_prints(docs: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
-def exact_groups(docs: DataFrame) -> DataFrame:
+def exact_groups(docs: DataFrame, row: str | None = None) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row.
 
     Of equal texts the row with the most code points stays, then the smallest id, then
     the first row. The rows of a hot group are counted per map task first, and join one
     row of their group; AQE splits the hot partition of that join.
     """
-    held = settle(digests(docs), "digests")
+    held = settle(digests(docs, row), "digests")
     counted = held.groupBy(*PRINT).agg(F.count("*").alias("n")).where("n > 1")
     shared = settle(held.join(counted, PRINT, "left_semi").select("doc_id").distinct(), "shared-ids")
     unequal = settle(unequal_prints(docs, shared), "unequal-prints").withColumn("unequal", F.lit(True))
@@ -175,7 +178,11 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that ``exact_groups`` doesn't keep."""
-    numbered = docs.withColumn("_exact_row", F.monotonically_increasing_id())
-    gone = settle(exact_groups(docs).where("NOT kept").select(F.col("row").alias("_exact_row")), "copies")
-    return numbered.join(gone, "_exact_row", "left_anti").select(*docs.columns)
+    """``docs`` without the rows that ``exact_groups`` doesn't keep.
+
+    The numbered rows are written first: numbers of a second scan could differ, for example
+    after the loss of an executor.
+    """
+    numbered = settle(docs.withColumn("_exact_row", F.monotonically_increasing_id()), "numbered")
+    gone = exact_groups(numbered, "_exact_row").where("NOT kept").select(F.col("row").alias("_exact_row"))
+    return numbered.join(settle(gone, "copies"), "_exact_row", "left_anti").select(*docs.columns)

@@ -175,5 +175,18 @@ def identify(docs: DataFrame, parser: Parser) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, parser: Parser) -> DataFrame:
-    """``docs`` without the rows that are ``und``: those without a letter, or all if nothing was learned."""
-    return docs.where(F.col("text").rlike(r"\p{L}")) if parser.names else docs.limit(0)
+    """``docs`` without the rows that are ``und``. Where nothing was learned, all with a letter stay."""
+    columns = docs.columns
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lettered = batch.column("_lang_lettered")
+            if parser.names:
+                ids = pa.array(range(batch.num_rows), pa.int64())
+                seen = pa.RecordBatch.from_arrays([ids, batch.column("text"), lettered], ["doc_id", "text", "lettered"])
+                named = next(parser.run(iter([seen]))).column("lang_pred").to_pylist()
+                lettered = pa.array([x != UNKNOWN for x in named], pa.bool_())
+            yield batch.select(columns).filter(lettered)
+
+    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return docs.withColumn("_lang_lettered", lettered).mapInArrow(keep, docs.schema)
