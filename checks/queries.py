@@ -156,7 +156,7 @@ def _ingest_jsonl(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(
         "event_id", "event_time", "event_type", "username", "_ingested_at",
         F.col("_source_file").endswith(".txt").alias("file_is_named"),
-        F.col("_batch_id").rlike("^batch_20240201_[0-9]{3}$").alias("batch_is_named"),
+        F.col("_batch_id").rlike("^batch_20240201_[0-9]{3,}_[0-9a-f]{8}$").alias("batch_is_named"),
     )
 
 
@@ -464,7 +464,7 @@ def _stream_upsert(
     def run(spark: SparkSession, folder: str) -> DataFrame:
         rows = build(stream.stream_clean(_bronze_stream(spark, folder)))
         path = _drained(spark, name, lambda p, c: sinks.upsert_stream(rows, p, c, keys, day_of))
-        return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+        return tables.scan(spark, path).select(*rows.columns)
 
     return run
 

@@ -8,10 +8,11 @@ import pytest
 
 from tests.test_validate import GOOD
 from vigilframe.plans.ingest import ingest
-from vigilframe.plans.pipeline import register_views, run_pipeline, stored_tables
+from vigilframe.plans.pipeline import refresh_silver, register_views, run_pipeline, stored_tables
 from vigilframe.plans.semantic import semantic_query
+from vigilframe.sources import files
 from vigilframe.sources.contracts import BRONZE, DEAD_LETTER, PIPELINE_RUNS, TABLES
-from vigilframe.sources.tables import read_table, row_count, table_path
+from vigilframe.sources.tables import read_table, row_count, scan, table_path
 
 
 def record(i, **changes):
@@ -65,10 +66,10 @@ def test_fields_and_metadata(spark, write, base):
     ingest(spark, folder, base, now=datetime(2024, 1, 15, 8))
     got = {r["event_id"]: r for r in bronze(spark, base).collect()}
     assert got["id-1"]["hostname"] == "WS-É" and got["id-1"]["username"] == GOOD["username"]
-    assert [got[k]["_batch_id"] for k in ("id-1", "id-2")] == ["batch_20240115_001", "batch_20240115_002"]
+    assert [got[k]["_batch_id"][:18] for k in ("id-1", "id-2")] == ["batch_20240115_001", "batch_20240115_002"]
     for r in got.values():
         assert r["_ingested_at"] == datetime(2024, 1, 15, 8) and r["_source_file"].endswith(".jsonl")
-        assert re.fullmatch(r"batch_\d{8}_\d{3}", r["_batch_id"])
+        assert re.fullmatch(r"batch_\d{8}_\d{3}_[0-9a-f]{8}", r["_batch_id"])
 
 
 @pytest.mark.parametrize("times", [2, 3])
@@ -97,7 +98,7 @@ def test_nothing_to_read(spark, tmp_path, write, base):
 def test_extra_field_is_kept_and_survives_later_runs(spark, write, base):
     ingest(spark, write("a.jsonl", record(1, score=5)), base, extra={"score": "int"})
     ingest(spark, write("a.jsonl", record(2)), base)
-    stored = spark.read.option("mergeSchema", "true").parquet(table_path(base, "bronze.security_events"))
+    stored = scan(spark, table_path(base, "bronze.security_events"))
     assert {r["event_id"]: r["score"] for r in stored.collect()} == {"id-1": 5, "id-2": None}
 
 
@@ -141,7 +142,70 @@ def test_whole_pipeline_twice(spark, write, base):
     assert spark.table("stg_security_events").columns == BRONZE.fieldNames()
     runs = read_table(spark, table_path(base, "pipeline_runs"), PIPELINE_RUNS).collect()
     assert len(runs) == 2 and {r["stages_completed"] for r in runs} == {"ingest,silver,gold,anomalies"}
-    assert all(r["records_ingested"] == 60 and r["records_rejected"] == 1 and r["stages_failed"] is None for r in runs)
+    assert sorted((r["records_ingested"], r["records_rejected"]) for r in runs) == [(0, 0), (60, 1)]
+    assert all(r["stages_failed"] is None for r in runs)
+    top = scan(spark, table_path(base, "gold.anomaly_top_features"))
+    flagged = read_table(spark, table_path(base, "gold.anomaly_results"), TABLES["gold.anomaly_results"]).filter("is_anomaly")
+    assert {r["window_start"] for r in top.collect()} == {r["window_start"] for r in flagged.collect()}
+    assert all(len(r["top_features"]) == 3 for r in top.collect())
+
+
+def test_a_run_takes_new_files_only(spark, write, base):
+    run = lambda folder: ingest(spark, folder, base, only_new=True)
+    first = run(write("a.jsonl", *[full(i, "failed_login") for i in range(40)], "broken"))
+    stamp = {r["event_id"]: r["_ingested_at"] for r in bronze(spark, base).collect()}
+    silver_before = refresh_silver(spark, base).count()
+    second = run(write("b c+%[1].jsonl", full(1, "malware_alert"), full(99, "failed_login")))
+    third = run(write("skip.txt", "x"))
+    assert [(r.records_ingested, r.records_rejected) for r in (first, second, third)] == [(40, 1), (2, 0), (0, 0)]
+    got = {r["event_id"]: r for r in bronze(spark, base).collect()}
+    assert len(got) == 41 and got["id-1"]["event_type"] == "malware_alert" and dead(spark, base).count() == 1
+    assert all(got[k]["_ingested_at"] == t for k, t in stamp.items() if k != "id-1")
+    assert refresh_silver(spark, base).count() == silver_before + 1
+
+
+def test_a_run_that_was_cut_off_is_finished_first(spark, write, base, monkeypatch):
+    from vigilframe.plans import ingest as module
+
+    folder = write("a.jsonl", record(1), record(2), "broken")
+    real = module.write_table
+    with monkeypatch.context() as m:
+        def dying(df, path, *a, **kw):
+            if path.endswith("ingested_files"):
+                raise RuntimeError("lost")
+            real(df, path, *a, **kw)
+
+        m.setattr(module, "write_table", dying)
+        with pytest.raises(RuntimeError):
+            ingest(spark, folder, base, only_new=True)
+    ids = {r["_batch_id"] for r in bronze(spark, base).collect()}
+    write("b.jsonl", record(3))
+    ingest(spark, folder, base, only_new=True)
+    got = bronze(spark, base).collect()
+    assert len(got) == 3 and dead(spark, base).count() == 1 and ids < {r["_batch_id"] for r in got}
+    assert ingest(spark, folder, base, only_new=True).records_ingested == 0
+
+
+def test_the_last_batch_id_is_by_number(spark, write, base):
+    from vigilframe.plans.ingest import batch_ids, ingest_lines
+
+    names = batch_ids([(f"f{i:05d}", 1, 1) for i in range(1002)], "20240201", "0a0a0a0a")
+    lines = spark.createDataFrame([(record(i), n[0], n[3]) for i, n in enumerate(names[-5:])], "value string, _source_file string, _batch_id string")
+    assert ingest_lines(spark, lines, base).batch_id == "batch_20240201_1002_0a0a0a0a"
+
+
+def test_no_exchange_above_the_text_scan(spark, tmp_path, monkeypatch):
+    from vigilframe.plans import ingest as module
+
+    monkeypatch.setattr(module, "FILES_AT_ONCE", 2)
+    for i in range(5):
+        (tmp_path / f"{i}.jsonl").write_text(record(i))
+    found = files.listing(spark, str(tmp_path), "*.jsonl")
+    lines = module.lines_with_ids(spark, module.batch_ids(found, "20240201", "0a0a0a0a"))
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 3 and plan.count("BroadcastHashJoin") == 3
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert lines.count() == 5
 
 
 def test_failed_stage_is_recorded(spark, write, base):

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from tests.helpers import BASE, at, bronze, silver
 from tests.test_ingest import bronze as read_bronze, dead as read_dead, record
 from vigilframe.operators.detect import failure_sessions, lockout_correlation
+from vigilframe.plans.ingest import ingest
 from vigilframe.plans.silver import silver_events
 from vigilframe.sources.contracts import BRONZE, SILVER
-from vigilframe.sources.tables import read_table, table_path
+from vigilframe.sources.tables import read_table, scan, table_path
 from vigilframe.streaming import sinks, sources, windows
 
 
@@ -46,35 +47,80 @@ def events(spark, inbox, schema=SILVER):
     return rows.withColumn("ts", F.col("event_time").cast("timestamp")) if schema is SILVER else rows
 
 
+def ingest_once(spark, folder, base, check):
+    sinks.ingest_stream(sources.stream_lines(spark, str(folder)), base, check).awaitTermination()
+
+
 def test_ingest_continues_where_it_stopped(spark, tmp_path):
     folder, base, check = tmp_path / "in", str(tmp_path / "base"), str(tmp_path / "check")
     folder.mkdir()
-
-    def run():
-        sinks.ingest_stream(sources.stream_lines(spark, str(folder)), base, check).awaitTermination()
-
     (folder / "a.jsonl").write_text("\n".join([record(1), record(2), "broken", ""]))
-    run()
+    ingest_once(spark, folder, base, check)
     (folder / "b.jsonl").write_text("\n".join([record(3), '{"event_id":"x"}']))
     (folder / "skip.txt").write_text(record(9))
-    run()
-    run()
+    ingest_once(spark, folder, base, check)
+    ingest_once(spark, folder, base, check)
     got = {r["event_id"]: r["_batch_id"] for r in read_bronze(spark, base).collect()}
     assert set(got) == {"id-1", "id-2", "id-3"}
-    assert got["id-1"].endswith("_001") and got["id-3"].endswith("_002")
+    assert [got[k].split("_")[2] for k in ("id-1", "id-3")] == ["001", "002"]
+    assert len({x.split("_")[3] for x in got.values()}) == 1
     assert sorted(r["event_id"] for r in read_dead(spark, base).collect()) == ["unknown", "x"]
 
 
-def test_replayed_ingest_batch_writes_once(spark, tmp_path):
-    """The tables were written but the stream's commit was lost."""
-    folder, base = tmp_path / "in", str(tmp_path / "base")
+def lose_commit(check, number):
+    for name in (f"{number}", f".{number}.crc"):
+        os.remove(f"{check}/commits/{name}")
+
+
+@pytest.mark.parametrize("far_off", [False, True])
+def test_replayed_ingest_batch_writes_once(spark, tmp_path, far_off):
+    """The tables were written but the stream's commit was lost; a file's time may lie in the future."""
+    folder, base, check = tmp_path / "in", str(tmp_path / "base"), str(tmp_path / "check")
     folder.mkdir()
     (folder / "a.jsonl").write_text("\n".join([record(1), "broken"]))
-    for attempt in range(2):
-        sinks.ingest_stream(sources.stream_lines(spark, str(folder)), base, str(tmp_path / f"check{attempt}")).awaitTermination()
+    if far_off:
+        os.utime(folder / "a.jsonl", (4_000_000_000, 4_000_000_000))
+    ingest_once(spark, folder, base, check)
+    lose_commit(check, 0)
+    ingest_once(spark, folder, base, check)
     assert read_bronze(spark, base).count() == 1 and read_dead(spark, base).count() == 1
 
 
+def test_an_append_that_was_cut_off_starts_over(spark, tmp_path, monkeypatch):
+    folder, base, check = tmp_path / "in", str(tmp_path / "base"), str(tmp_path / "check")
+    folder.mkdir()
+    (folder / "a.jsonl").write_text("\n".join([*map(record, range(8)), "broken"]))
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "append_dead_letters", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(Exception, match="lost"):
+            ingest_once(spark, folder, base, check)
+    assert read_bronze(spark, base).count() == 8
+    ingest_once(spark, folder, base, check)
+    assert read_bronze(spark, base).count() == 8 and read_dead(spark, base).count() == 1
+
+
+def test_streams_and_batch_runs_into_one_base_lose_nothing(spark, tmp_path):
+    base = str(tmp_path / "base")
+    for k in range(3):
+        folder = tmp_path / f"in{k}"
+        folder.mkdir()
+        (folder / "a.jsonl").write_text("\n".join([record(10 * k + i) for i in range(k + 2)] + [f"broken {k}"]))
+        if k == 0:
+            ingest(spark, str(folder), base)
+        else:
+            ingest_once(spark, folder, base, str(tmp_path / f"check{k}"))
+    assert read_bronze(spark, base).count() == 2 + 3 + 4 and read_dead(spark, base).count() == 3
+    assert len({r["_batch_id"] for r in read_bronze(spark, base).collect()}) == 3
+
+
+def test_an_older_version_that_comes_later_changes_nothing(spark, inbox, out):
+    for day, name in ((2, "new"), (1, "old")):
+        inbox(bronze(spark, {"event_id": "e", "username": name, "_ingested_at": at(86400 * day)}))
+    sinks.silver_stream(events(spark, inbox, BRONZE), *out).awaitTermination()
+    got = read_table(spark, table_path(out[0], "silver.silver_events"), SILVER).collect()
+    assert [r["username"] for r in got] == ["new"]
+
+
 def test_silver_stream_equals_batch(spark, inbox, out):
     rng = random.Random(1)
     everything = []
@@ -97,7 +143,7 @@ def test_hourly_updates_accumulate(spark, inbox, out, day_of):
     inbox(silver(spark, {"event_time": at(20), "username": "bo"}, {"event_time": at(3600)}))
     rows = windows.hourly_stream(events(spark, inbox))
     sinks.upsert_stream(rows, *out, ["event_hour", "event_type"], day_of).awaitTermination()
-    got = spark.read.parquet(out[0]).drop("day").orderBy("event_hour").collect()
+    got = scan(spark, out[0]).drop("day").orderBy("event_hour").collect()
     assert [tuple(r) for r in got] == [(at(0), "failed_login", 3, 2, 2), (at(3600), "failed_login", 1, 1, 1)]
 
 
@@ -105,7 +151,7 @@ def test_bursts(spark, inbox, out):
     inbox(silver(spark, *[{"event_time": at(i * 4)} for i in range(30)]))
     inbox(silver(spark, *[{"event_time": at(120 + i * 4)} for i in range(30)], {"event_time": at(150), "src_ip": "10.0.0.9"}))
     sinks.upsert_stream(windows.burst_stream(events(spark, inbox)), *out, ["src_ip", "window_start"]).awaitTermination()
-    got = spark.read.parquet(out[0])
+    got = scan(spark, out[0])
     assert {r["src_ip"] for r in got.collect()} == {"10.0.0.1"}
     assert got.agg(F.max("failed_logins")).first()[0] == 60
 
@@ -156,7 +202,7 @@ def test_feature_stream_matches_batch_counts(spark, inbox, out):
     inbox(silver(spark, *rows[:17]))
     inbox(silver(spark, *rows[17:]))
     sinks.upsert_stream(windows.feature_stream(events(spark, inbox)), *out, ["window_start"]).awaitTermination()
-    got = spark.read.parquet(out[0])
+    got = scan(spark, out[0])
     want = hourly_features(silver(spark, *rows))
     assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
 

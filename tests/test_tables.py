@@ -25,56 +25,123 @@ D1, D2, D3 = (date(2024, 1, d) for d in (1, 2, 3))
 def test_merge_replaces_and_inserts(spark, path, rows):
     for batch in ([("a", 1, D1), ("b", 1, D1)], [("b", 2, D1), ("c", 2, D1)]):
         tables.write_table(dated(spark, *batch), path, "merge", ["k"], [F.desc("v")])
-    assert rows(spark.read.parquet(path)) == [("a", 1, D1), ("b", 2, D1), ("c", 2, D1)]
+    assert rows(tables.scan(spark, path)) == [("a", 1, D1), ("b", 2, D1), ("c", 2, D1)]
 
 
 @pytest.mark.parametrize("partition", [None, "day"])
 def test_merge_moves_keys_between_partitions(spark, path, rows, partition):
     tables.merge_table(dated(spark, ("a", 1, D1), ("b", 1, D2)), path, ["k"], [F.desc("v")], partition)
     tables.merge_table(dated(spark, ("a", 2, D3)), path, ["k"], [F.desc("v")], partition)
-    got = spark.read.parquet(path).select("k", "v", "day")
+    got = tables.scan(spark, path).select("k", "v", "day")
     assert rows(got) == [("a", 2, D3), ("b", 1, D2)]
 
 
 def test_merge_leaves_other_partitions_alone(spark, path):
     tables.merge_table(dated(spark, ("a", 1, D1), ("b", 1, D2)), path, ["k"], [F.desc("v")], "day")
-    before = files.children(spark, f"{path}/day=2024-01-01")
+    before = tables.snapshot(spark, path).directories
     tables.merge_table(dated(spark, ("b", 2, D2)), path, ["k"], [F.desc("v")], "day")
-    assert files.children(spark, f"{path}/day=2024-01-01") == before
+    after = tables.snapshot(spark, path).directories
+    assert {d for d in before if "01-01" in d} == {d for d in after if "01-01" in d}
+    assert {d for d in before if "01-02" in d}.isdisjoint(after)
+
+
+@pytest.mark.parametrize("partition", [None, "day"])
+def test_an_older_version_that_comes_later_changes_nothing(spark, path, rows, partition):
+    for batch in ([("a", 5, D2)], [("a", 3, D1), ("b", 1, D1)], [("a", 4, D3)]):
+        tables.merge_table(dated(spark, *batch), path, ["k"], [F.desc("v")], partition)
+    assert rows(tables.scan(spark, path).select("k", "v", "day")) == [("a", 5, D2), ("b", 1, D1)]
+
+
+@pytest.mark.parametrize("order", [None, "v"])
+@pytest.mark.parametrize("partition", [None, "day"])
+def test_null_keys_are_one_key(spark, path, rows, partition, order):
+    for v in (1, 2, 3):
+        batch = dated(spark, (None, v, D1), ("x", v, None))
+        tables.merge_table(batch, path, ["k"], [F.desc(order)] if order else None, partition)
+    assert rows(tables.scan(spark, path).select("k", "v", "day")) == [("x", 3, None), (None, 3, D1)]
 
 
 def test_merge_deduplicates_its_batch(spark, path, rows):
     tables.merge_table(dated(spark, ("a", 1, D1), ("a", 3, D1), ("a", 2, D1)), path, ["k"], [F.desc("v")])
-    assert rows(spark.read.parquet(path)) == [("a", 3, D1)]
+    assert rows(tables.scan(spark, path)) == [("a", 3, D1)]
+
+
+class Lost(RuntimeError):
+    pass
+
+
+def cut_off(monkeypatch, after: int):
+    """The job dies at its n-th action on the file system, which isn't carried out."""
+    left = [after]
+
+    def dying(action):
+        def run(*a, **kw):
+            left[0] -= 1
+            if left[0] < 0:
+                raise Lost
+            return action(*a, **kw)
+
+        return run
+
+    for name in ("create", "remove"):
+        monkeypatch.setattr(files, name, dying(getattr(files, name)))
+    monkeypatch.setattr(tables, "_write", dying(tables._write))
 
 
 @pytest.mark.parametrize("partition", [None, "day"])
-def test_merge_finishes_after_a_crash(spark, path, rows, partition, monkeypatch):
-    """Cut off between writing the new content and replacing the old: the next merge completes it."""
-    merge = lambda *r: tables.merge_table(dated(spark, *r), path, ["k"], [F.desc("v")], partition)
-    merge(("a", 1, D1), ("b", 1, D1))
-    publish = tables._publish
-    monkeypatch.setattr(tables, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
-    with pytest.raises(RuntimeError):
-        merge(("a", 2, D2))
-    monkeypatch.setattr(tables, "_publish", publish)
-    merge(("c", 3, D3))
-    assert rows(spark.read.parquet(path).select("k", "v", "day")) == [("a", 2, D2), ("b", 1, D1), ("c", 3, D3)]
-    assert not files.exists(spark, f"{path}__incoming")
+@pytest.mark.parametrize("write", ["replace", "append", "merge"])
+def test_a_job_that_dies_anywhere_loses_nothing(spark, path, rows, monkeypatch, partition, write):
+    old, new = [("a", 1, D1), ("b", 1, D2)], [("a", 2, D2), ("c", 2, D3)]
+    whole = {"replace": new, "append": old + new, "merge": [("a", 2, D2), ("b", 1, D2), ("c", 2, D3)]}[write]
+    read = lambda: rows(tables.scan(spark, path).select("k", "v", "day"))
+    for step in range(20):
+        where = f"{path}{step}"
+        path, kept = where, path
+        tables.write_table(dated(spark, ("z", 0, D1)), path, partition=partition)
+        tables.write_table(dated(spark, *old), path, partition=partition)
+        with monkeypatch.context() as m:
+            cut_off(m, step)
+            try:
+                tables.write_table(dated(spark, *new), path, write, ["k"], [F.desc("v")], partition)
+                died = False
+            except Lost:
+                died = True
+        assert read() in (sorted(old), sorted(whole))
+        tables.write_table(dated(spark, ("d", 9, D1)), path, "merge", ["k"], [F.desc("v")], partition)
+        assert read() in (sorted([*old, ("d", 9, D1)]), sorted([*whole, ("d", 9, D1)]))
+        path = kept
+        if not died:
+            break
+    assert not died and step > 2
+
+
+def test_a_snapshot_cut_off_in_its_writing_does_not_count(spark, path, rows):
+    tables.write_table(dated(spark, ("a", 1, D1)), path)
+    files.create(spark, f"{path}/_table/000000000002.json", '{"directories": ["gen')
+    assert rows(tables.scan(spark, path)) == [("a", 1, D1)]
+    tables.write_table(dated(spark, ("b", 1, D1)), path, "append")
+    assert rows(tables.scan(spark, path)) == [("a", 1, D1), ("b", 1, D1)]
+
+
+def test_readers_keep_their_snapshot_for_one_write(spark, path, rows):
+    tables.write_table(dated(spark, ("a", 1, D1)), path)
+    reader = tables.scan(spark, path)
+    tables.write_table(dated(spark, ("b", 1, D1)), path)
+    assert rows(reader) == [("a", 1, D1)]
+    tables.write_table(dated(spark, ("c", 1, D1)), path)
+    assert len([n for n in files.children(spark, path) if n.startswith("gen=")]) == 2
+
+
+def test_a_named_append_happens_once(spark, path, rows):
+    for v in (1, 2):
+        tables.write_table(dated(spark, ("a", v, D1)), path, "append", name="batch-7")
+    assert rows(tables.scan(spark, path)) == [("a", 1, D1)]
 
 
 def test_merge_keeps_added_columns(spark, path, rows):
     tables.merge_table(dated(spark, ("a", 1, D1)).withColumn("note", F.lit("n")), path, ["k"], [F.desc("v")], "day")
     tables.merge_table(dated(spark, ("b", 1, D1)), path, ["k"], [F.desc("v")], "day")
-    assert rows(spark.read.parquet(path).select("k", "note")) == [("a", "n"), ("b", None)]
-
-
-def test_merge_never_mistakes_a_table_for_a_failed_load(spark, path, rows):
-    """Success markers may be switched off; existing files still count as the table."""
-    tables.merge_table(dated(spark, ("a", 1, D1)), path, ["k"], None, "day")
-    files.remove(spark, f"{path}/_SUCCESS")
-    tables.merge_table(dated(spark, ("b", 1, D1)), path, ["k"], None, "day")
-    assert rows(spark.read.parquet(path).select("k")) == [("a",), ("b",)]
+    assert rows(tables.scan(spark, path).select("k", "note")) == [("a", "n"), ("b", None)]
 
 
 def test_merge_of_nothing(spark, path):
@@ -102,23 +169,19 @@ def test_dispositions(spark, path):
         tables.write_table(df, path, "upsert")
 
 
-def test_replace_survives_a_crash(spark, path, monkeypatch):
+def test_a_table_may_be_replaced_from_itself(spark, path):
     contract = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.IntegerType()), T.StructField("day", T.DateType())])
-    read = lambda: [r["v"] for r in tables.read_table(spark, path, contract).collect()]
-    tables.write_table(dated(spark, ("a", 1, D1)), path)
+    tables.write_table(dated(spark, ("a", 3, D1)), path)
     bad = dated(spark, ("a", 2, D1)).withColumn("v", F.raise_error(F.lit("lost")).cast("int"))
     with pytest.raises(Exception, match="lost"):
         tables.write_table(bad, path)
-    assert read() == [1]
-    rename = files.rename
-    monkeypatch.setattr(files, "rename", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
-    with pytest.raises(RuntimeError):
-        tables.write_table(dated(spark, ("a", 3, D1)), path)
-    assert read() == [3]
-    monkeypatch.setattr(files, "rename", rename)
-    tables.finish_interrupted(spark, path)
-    tables.write_table(tables.read_table(spark, path, contract).withColumn("v", F.lit(4)), path)
-    assert read() == [4]
+    tables.write_table(tables.read_table(spark, path, contract).withColumn("v", F.col("v") + 1), path)
+    assert [r["v"] for r in tables.read_table(spark, path, contract).collect()] == [4]
+
+
+def test_merge_wants_an_order(spark, path):
+    with pytest.raises(ValueError, match="order"):
+        tables.write_table(dated(spark, ("a", 1, D1)), path, "merge", ["k"])
 
 
 def test_upsert_with_new_column(spark, rows):

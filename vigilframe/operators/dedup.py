@@ -39,13 +39,20 @@ def newer_than(df: DataFrame, target: DataFrame, column: str = "_ingested_at") -
     return df.filter(high.isNull() | (F.col(column) > high))
 
 
+def same_keys(target: DataFrame, keys: list[str]) -> Column:
+    """Whether a target row has the key in ``_key_0``, ``_key_1`` ...; NULL equals NULL."""
+    condition = F.lit(True)
+    for i, key in enumerate(keys):
+        condition = condition & target[key].eqNullSafe(F.col(f"_key_{i}"))
+    return condition
+
+
 def merge_upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``batch`` replace rows of ``target`` with the same key.
+    """Rows of ``batch`` replace rows of ``target`` with the same key, NULL included.
 
     ``batch`` must hold each key once (see ``latest_per_key``). Only the key columns
     of the batch take part in the anti join, so a small batch is broadcast by AQE and
     the target is not shuffled.
     """
-    return target.join(batch.select(*keys), keys, "left_anti").unionByName(
-        batch, allowMissingColumns=True
-    )
+    held = batch.select(*(F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)))
+    return target.join(held, same_keys(target, keys), "left_anti").unionByName(batch, allowMissingColumns=True)

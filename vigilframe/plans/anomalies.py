@@ -14,7 +14,7 @@ from vigilframe.plans.features import check_feature_columns, hourly_features, va
 from vigilframe.session import settle
 from vigilframe.sources import files
 from vigilframe.sources.contracts import ANOMALY_RESULTS, ANOMALY_VIEW, FEATURES, conform
-from vigilframe.sources.tables import read_table, table_path, write_table
+from vigilframe.sources.tables import read_table, row_count, table_path, write_table
 
 KEY = "window_start"
 KEEP_MODELS = 5
@@ -75,25 +75,33 @@ def load_model(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(forest.NODE_SCHEMA).parquet(path)
 
 
-def score_windows(features: DataFrame, nodes: DataFrame, threshold: float = -0.5) -> DataFrame:
+def scorer_of(nodes: DataFrame | forest.Scorer) -> forest.Scorer:
+    """A forest read and shipped once; the functions below take one in place of its nodes."""
+    return nodes if isinstance(nodes, forest.Scorer) else forest.Scorer(nodes, list(FEATURES))
+
+
+def score_windows(features: DataFrame, nodes: DataFrame | forest.Scorer, threshold: float = -0.5) -> DataFrame:
     """Features plus ``anomaly_score`` in [-1, 1] and ``is_anomaly`` (strictly below the threshold)."""
     check_feature_columns(features)
-    raw = settle(forest.Scorer(nodes, list(FEATURES)).add(features), "scores")
+    raw = settle(scorer_of(nodes).add(features), "scores")
     scored = forest.minmax_scores(raw, "raw_score", "anomaly_score")
     return scored.withColumn("is_anomaly", F.col("anomaly_score") < threshold)
 
 
-def explain_windows(scored: DataFrame, nodes: DataFrame, seed: int = 42) -> DataFrame:
+def explain_windows(scored: DataFrame, nodes: DataFrame | forest.Scorer, seed: int = 42) -> DataFrame:
     """(window_start, importances) of the anomalous windows."""
-    return feature_importances(scored.filter("is_anomaly"), forest.Scorer(nodes, list(FEATURES)), KEY, seed=seed)
+    return feature_importances(scored.filter("is_anomaly"), scorer_of(nodes), KEY, seed=seed)
 
 
-def predict_anomalies(features: DataFrame, nodes: DataFrame, threshold: float = -0.5) -> DataFrame:
+def predict_anomalies(features: DataFrame, nodes: DataFrame | forest.Scorer, threshold: float = -0.5) -> DataFrame:
     """Scored windows with their top contributing feature ("none" where not anomalous)."""
-    scored = score_windows(features, nodes, threshold)
-    why = explain_windows(scored, nodes).select(
-        KEY, top_feature(F.col("importances"), list(FEATURES)).alias("top_contributing_feature")
-    )
+    scorer = scorer_of(nodes)
+    scored = score_windows(features, scorer, threshold)
+    return with_top_feature(scored, explain_windows(scored, scorer))
+
+
+def with_top_feature(scored: DataFrame, explained: DataFrame) -> DataFrame:
+    why = explained.select(KEY, top_feature(F.col("importances"), list(FEATURES)).alias("top_contributing_feature"))
     return scored.join(why, KEY, "left").select(
         "window_start", "window_end", "anomaly_score", "is_anomaly",
         F.coalesce("top_contributing_feature", F.lit("none")).alias("top_contributing_feature"),
@@ -101,11 +109,13 @@ def predict_anomalies(features: DataFrame, nodes: DataFrame, threshold: float =
     )
 
 
-def top_contributors(scored: DataFrame, nodes: DataFrame, n: int = 3) -> DataFrame:
+def top_contributors(scored: DataFrame, nodes: DataFrame | forest.Scorer, n: int = 3) -> DataFrame:
     """The ``n`` features that contribute most to each anomalous window."""
-    return explain_windows(scored, nodes).select(
-        KEY, top_features(F.col("importances"), list(FEATURES), n).alias("top_features")
-    )
+    return top_of(explain_windows(scored, nodes), n)
+
+
+def top_of(explained: DataFrame, n: int = 3) -> DataFrame:
+    return explained.select(KEY, top_features(F.col("importances"), list(FEATURES), n).alias("top_features"))
 
 
 def persist_results(results: DataFrame, base: str, version: str) -> int:
@@ -113,19 +123,26 @@ def persist_results(results: DataFrame, base: str, version: str) -> int:
     path = table_path(base, "gold.anomaly_results")
     rows = conform(results.withColumn("model_version", F.lit(version)), ANOMALY_RESULTS)
     write_table(rows, path)
-    return results.sparkSession.read.parquet(path).count()
+    return row_count(results.sparkSession, path)
 
 
 def detect_anomalies(
     spark: SparkSession, base: str, silver: DataFrame,
     config: TrainingConfig = TrainingConfig(), threshold: float = -0.5,
 ) -> dict:
-    """Features, training, scoring and storing in one go."""
+    """Features, training, scoring and storing in one go.
+
+    The results go to ``gold.anomaly_results``, the three features that contribute most to
+    each anomalous window to ``gold.anomaly_top_features``.
+    """
     features = settle(hourly_features(silver), "features")
     validate_features(features)
     trained = train_model(features, f"{base.rstrip('/')}/models", config)
-    results = predict_anomalies(features, load_model(spark, trained.model_path), threshold)
-    written = persist_results(results, base, trained.model_version)
+    scorer = scorer_of(load_model(spark, trained.model_path))
+    scored = settle(score_windows(features, scorer, threshold), "scored")
+    explained = settle(explain_windows(scored, scorer), "explained")
+    written = persist_results(with_top_feature(scored, explained), base, trained.model_version)
+    write_table(top_of(explained), table_path(base, "gold.anomaly_top_features"))
     return {"training": trained, "rows_written": written}
 
 

@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import re
 import time
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from vigilframe.operators.dedup import newest_first
 from vigilframe.operators.validate import parse_lines, rejected_rows, valid_rows
 from vigilframe.session import use_utc
 from vigilframe.sources import files
 from vigilframe.sources.contracts import BRONZE, DEAD_LETTER, conform
-from vigilframe.sources.tables import merge_table, read_table, table_path
+from vigilframe.sources.tables import merge_table, read_table, snapshot, table_path, write_table
 
-# Up to this many files their batch ids are joined as a broadcast (about 20 MB).
-BROADCAST_FILES = 100_000
+FILES_AT_ONCE = 50_000
+"""Files of one read; their batch ids are a broadcast of about 10 MB."""
+
+FileInfo = tuple[str, int, int]
+_FILE = "path string, length long, modified long, _batch_id string"
 
 
 @dataclass(frozen=True)
@@ -37,32 +42,33 @@ def read_lines(spark: SparkSession, folder: str, pattern: str = "*.jsonl") -> Da
     return lines.select("value", F.col("_metadata.file_path").alias("_source_file"))
 
 
-def batch_ids(spark: SparkSession, folder: str, day: str, pattern: str = "*.jsonl") -> DataFrame:
-    """One row per file: ``batch_YYYYMMDD_NNN``, NNN the file's position in path order.
-
-    Reads the listing only (``content`` is pruned), so its size is the number of files.
-    """
-    listing = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-        .select(F.col("_metadata.file_path").alias("_source_file"))
-    )
-    position = F.row_number().over(Window.orderBy("_source_file"))
-    return listing.select("_source_file", F.format_string("batch_%s_%03d", F.lit(day), position).alias("_batch_id"))
+def batch_ids(found: list[FileInfo], day: str, run: str) -> list[tuple]:
+    """(path, length, modified, id) of every file; the id is ``batch_YYYYMMDD_NNN_run``, NNN the file's position in path order."""
+    return [(*info, f"batch_{day}_{n:03d}_{run}") for n, info in enumerate(sorted(found), 1)]
 
 
-def with_batch_ids(lines: DataFrame, folder: str, day: str, pattern: str = "*.jsonl") -> DataFrame:
-    """Attach each line's batch id.
+def lines_with_ids(spark: SparkSession, named: list[tuple]) -> DataFrame:
+    """Lines of these files (path, length, modified, id) with their file and batch id.
 
-    Few files: broadcast. Otherwise a plain join, where AQE splits a file that holds
-    much of the input.
+    Raw lines are never shuffled: files are read in lots, each joined with its own ids, whose number is bounded.
     """
-    spark = lines.sparkSession
-    if not files.exists(spark, folder):
-        return lines.withColumn("_batch_id", F.lit(None).cast("string"))
-    ids = batch_ids(spark, folder, day, pattern)
-    if ids.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES:
-        ids = F.broadcast(ids)
-    return lines.join(ids, "_source_file")
+    use_utc(spark)
+    lines = None
+    for at in range(0, len(named), FILES_AT_ONCE):
+        lot = named[at:at + FILES_AT_ONCE]
+        paths = [re.sub(r"([\\*?\[\]{}])", r"\\\1", row[0]) for row in lot]  # names aren't patterns
+        ids = spark.createDataFrame(lot, _FILE).select(_one_slash(F.col("path")).alias("_path"), "_batch_id")
+        part = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("_source_file"))
+        # A scan shows a file's URI, with escapes, a listing its path.
+        unescaped = F.url_decode(F.replace(_one_slash(F.col("_source_file")), F.lit("+"), F.lit("%2B")))
+        part = part.join(F.broadcast(ids), unescaped == F.col("_path")).drop("_path")
+        lines = part if lines is None else lines.unionAll(part)
+    return spark.createDataFrame([], "value string, _source_file string, _batch_id string") if lines is None else lines
+
+
+def _one_slash(path):
+    """With one slash after the scheme, where a listing and a scan write different numbers of them."""
+    return F.regexp_replace(path, "^([a-z0-9]+:)/+", "$1/")
 
 
 def stamped_records(lines: DataFrame, now: datetime, extra: dict[str, str] | None = None) -> DataFrame:
@@ -92,11 +98,44 @@ def ingest(
     extra: dict[str, str] | None = None,
     append_once: bool = False,
     pattern: str = "*.jsonl",
+    only_new: bool = False,
 ) -> IngestResult:
-    """Load the matching files of ``folder`` into the tables below ``base``."""
+    """Load the matching files of ``folder`` into the tables below ``base``.
+
+    ``only_new`` leaves out files that an earlier such run has loaded, by path, length and
+    modification time. A run that was cut off is finished first, with its own files and ids,
+    and what it had appended already is not appended again.
+    """
     now = now or datetime.now(timezone.utc)
-    lines = with_batch_ids(read_lines(spark, folder, pattern), folder, now.strftime("%Y%m%d"), pattern)
-    return ingest_lines(spark, lines, base, now, extra, append_once)
+    found = files.listing(spark, folder, pattern)
+    if not only_new:
+        named = batch_ids(found, now.strftime("%Y%m%d"), uuid.uuid4().hex[:8])
+        return ingest_lines(spark, lines_with_ids(spark, named), base, now, extra, append_once)
+    ledger, pending = (table_path(base, f"bronze.{n}") for n in ("ingested_files", "pending_files"))
+    schema = spark.createDataFrame([], _FILE).schema
+    results = []
+    held = [tuple(r) for r in read_table(spark, pending, schema).collect()]
+    if held:
+        results.append(_load(spark, held, base, now, extra, ledger, pending))
+    offered = spark.createDataFrame(found, "path string, length long, modified long")
+    known = read_table(spark, ledger, schema).select("path", "length", "modified")
+    fresh = [tuple(r) for r in offered.join(known, ["path", "length", "modified"], "left_anti").collect()]
+    if fresh:
+        named = batch_ids(fresh, now.strftime("%Y%m%d"), uuid.uuid4().hex[:8])
+        write_table(spark.createDataFrame(named, _FILE), pending)
+        results.append(_load(spark, named, base, now, extra, ledger, pending))
+    ok, bad, seconds = (sum(getattr(r, f) for r in results) for f in ("records_ingested", "records_rejected", "elapsed_seconds"))
+    return IngestResult(ok, bad, round(seconds, 3), round(ok / seconds, 2) if seconds else 0.0, results[-1].batch_id if results else "")
+
+
+def _load(spark: SparkSession, named: list[tuple], base: str, now: datetime, extra, ledger: str, pending: str) -> IngestResult:
+    """One run over pending files; they are in the ledger once both tables hold them."""
+    run = named[0][3].rpartition("_")[2]
+    result = ingest_lines(spark, lines_with_ids(spark, named), base, now, extra, run=run)
+    rows = spark.createDataFrame(named, _FILE)
+    write_table(rows, ledger, "append", name=f"run-{run}")
+    write_table(rows.limit(0), pending)
+    return result
 
 
 def ingest_lines(
@@ -106,17 +145,19 @@ def ingest_lines(
     now: datetime | None = None,
     extra: dict[str, str] | None = None,
     append_once: bool = False,
+    run: str | None = None,
 ) -> IngestResult:
     """Load lines (value, _source_file, _batch_id): valid rows merge by event_id, others are appended.
 
     The raw text is read and parsed once, into a staging copy split by outcome; both
     tables are filled from that copy and the run's counts come from the same pass.
-    Running again with the same files leaves Bronze unchanged; dead letters are appended
-    again unless ``append_once``, which skips a (file, record) that is already there.
+    Running again with the same files leaves Bronze unchanged but for the newer ingest time;
+    dead letters are appended again unless ``append_once``, which skips a (file, record) that
+    is already there, or unless the append has the name of an earlier ``run``.
     ``extra`` names further fields to keep, with their types.
     """
     started, now = time.time(), now or datetime.now(timezone.utc)
-    staging = table_path(base, f"_staging.ingest_{now.strftime('%Y%m%d%H%M%S%f')}")
+    staging = table_path(base, f"_staging.ingest_{run or uuid.uuid4().hex}")
     seen = Observation("ingest")
     parsed = stamped_records(lines, now, extra)
     ok = F.col("error_reason") == ""
@@ -125,7 +166,7 @@ def ingest_lines(
             seen,
             F.count_if(ok).alias("ok"),
             F.count_if(~ok).alias("bad"),
-            F.max("_batch_id").alias("batch"),
+            F.max_by("_batch_id", F.split_part("_batch_id", F.lit("_"), F.lit(3)).cast("long")).alias("batch"),
         )
         .withColumn("_ok", ok)
         .write.mode("overwrite").partitionBy("_ok").parquet(staging)
@@ -141,7 +182,7 @@ def ingest_lines(
         )
     if counts["bad"]:
         rows = dead_letters(staged.filter("NOT _ok").drop("_ok"))
-        append_dead_letters(_unknown_only(spark, rows, base) if append_once else rows, base)
+        append_dead_letters(_unknown_only(spark, rows, base) if append_once else rows, base, run and f"run-{run}")
     files.remove(spark, staging)
     elapsed = time.time() - started
     return IngestResult(
@@ -150,21 +191,25 @@ def ingest_lines(
     )
 
 
+def clear_staging(spark: SparkSession, base: str) -> None:
+    """Remove the staging copies of runs that failed; call when no run is under way."""
+    files.remove(spark, f"{base.rstrip('/')}/_staging")
+
+
 def _batch_day(batch_id: str = "_batch_id"):
-    """The date inside ``batch_YYYYMMDD_NNN``."""
+    """The date inside ``batch_YYYYMMDD_NNN_run``."""
     return F.to_date(F.substring(batch_id, 7, 8), "yyyyMMdd")
 
 
-def append_dead_letters(rows: DataFrame, base: str) -> None:
-    rows.withColumn("reject_date", _batch_day()).write.mode("append").partitionBy("reject_date").parquet(
-        table_path(base, "bronze.dead_letter_events")
-    )
+def append_dead_letters(rows: DataFrame, base: str, name: str | None = None) -> None:
+    path = table_path(base, "bronze.dead_letter_events")
+    write_table(rows.withColumn("reject_date", _batch_day()), path, "append", partition="reject_date", name=name)
 
 
 def _unknown_only(spark: SparkSession, rows: DataFrame, base: str) -> DataFrame:
     """Dead letters whose (file, record) is not stored yet."""
     path = table_path(base, "bronze.dead_letter_events")
-    if not files.exists(spark, path):
+    if not snapshot(spark, path).directories:
         return rows
     known = read_table(spark, path, DEAD_LETTER).select("_source_file", "raw_record")
     return rows.join(known, ["_source_file", "raw_record"], "left_anti")

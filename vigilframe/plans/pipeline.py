@@ -8,13 +8,14 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from vigilframe.operators.dedup import newest_first
 from vigilframe.plans import gold
 from vigilframe.plans.ingest import ingest
 from vigilframe.plans.silver import silver_events, staging_events
 from vigilframe.session import size_shuffles
 from vigilframe.sources import files
 from vigilframe.sources.contracts import ANOMALY_VIEW, BRONZE, PIPELINE_RUNS, SILVER, TABLES, conform
-from vigilframe.sources.tables import merge_table, read_table, replace_from, row_count, table_path
+from vigilframe.sources.tables import merge_table, read_table, replace_from, row_count, snapshot, table_path, write_table
 
 SLOW_STAGE_SECONDS = 300
 
@@ -25,20 +26,21 @@ def refresh_silver(spark: SparkSession, base: str, event_time_is_fixed: bool = F
     ``event_time_is_fixed`` promises that all versions of an event share its date; replaced
     rows are then looked for in the dates of the new rows only.
 
-    The newest ingest time is one value, fetched first so that it prunes Bronze's
+    The newest ingest time that Silver has seen is kept with its snapshot. It prunes Bronze's
     date directories and Parquet row groups as a literal.
     """
     bronze_path, silver_path = (table_path(base, n) for n in ("bronze.security_events", "silver.silver_events"))
-    rows = read_table(spark, bronze_path, BRONZE, "ingest_date") if files.exists(spark, bronze_path) else None
-    if rows is not None:
-        high = read_table(spark, silver_path, SILVER).agg(F.max("_ingested_at")).first()[0]
-        if high is not None:
-            mark = F.lit(high)
-            rows = rows.filter((F.col("ingest_date") >= F.to_date(mark)) & (F.col("_ingested_at") > mark))
-        fresh = silver_events(rows.drop("ingest_date")).withColumn("event_date", F.to_date("event_time"))
+    rows = read_table(spark, bronze_path, BRONZE, "ingest_date")
+    seen = snapshot(spark, silver_path).marks.get("ingested_at")
+    if seen:
+        mark = F.lit(seen).cast("timestamp_ntz")
+        rows = rows.filter((F.col("ingest_date") >= F.to_date(mark)) & (F.col("_ingested_at") > mark))
+    newest = rows.agg(F.max("_ingested_at")).first()[0]
+    if newest is not None:
+        fresh = silver_events(rows.drop("ingest_date"))
         merge_table(
-            fresh, silver_path, ["event_id"], None, partition="event_date",
-            key_keeps_partition=event_time_is_fixed,
+            fresh.withColumn("event_date", F.to_date("event_time")), silver_path, ["event_id"], newest_first(fresh),
+            partition="event_date", key_keeps_partition=event_time_is_fixed, marks={"ingested_at": newest.isoformat(sep=" ")},
         )
     return read_table(spark, silver_path, SILVER)
 
@@ -64,7 +66,7 @@ def run_pipeline(
     state: dict = {}
 
     def do_ingest():
-        state["ingest"] = ingest(spark, folder, base, pattern=pattern)
+        state["ingest"] = ingest(spark, folder, base, pattern=pattern, only_new=True)
 
     def do_silver():
         state["silver"] = refresh_silver(spark, base)
@@ -110,9 +112,8 @@ def record_run(
         run_id, begun.replace(tzinfo=None), ended.replace(tzinfo=None), (ended - begun).total_seconds(),
         ",".join(done), ",".join(failed) or None, ingested, transformed, rejected, ",".join(slow) or None,
     )]
-    conform(spark.createDataFrame(row, PIPELINE_RUNS), PIPELINE_RUNS).coalesce(1).write.mode("append").parquet(
-        table_path(base, "pipeline_runs")
-    )
+    record = conform(spark.createDataFrame(row, PIPELINE_RUNS), PIPELINE_RUNS).coalesce(1)
+    write_table(record, table_path(base, "pipeline_runs"), "append")
     return run_id
 
 

@@ -26,10 +26,24 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
-def rename(spark: SparkSession, source: str, target: str) -> None:
-    fs, where = _fs(spark, source)
-    if not fs.rename(where, _fs(spark, target)[1]):
-        raise OSError(f"could not rename {source} to {target}")
+def create(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file; an error if it is there already."""
+    fs, where = _fs(spark, path)
+    out = fs.create(where, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def text_of(spark: SparkSession, path: str) -> str:
+    """All of a small file."""
+    fs, where = _fs(spark, path)
+    source = fs.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
 
 
 def children(spark: SparkSession, path: str) -> list[str]:
@@ -37,9 +51,16 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
 
 
-def has_data(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` holds anything but markers and temporary folders."""
-    return any(name[0] not in "_." for name in children(spark, path))
+def listing(spark: SparkSession, folder: str, pattern: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time in ms) of the files directly in ``folder`` whose names match the glob.
+
+    As long as Spark's own index of the files, which the driver holds for any read of them.
+    """
+    fs, where = _fs(spark, folder)
+    if not fs.exists(where):
+        return []
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where, pattern)) or []
+    return sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in found if s.isFile() and s.getPath().getName()[0] not in "_.")
 
 
 def total_bytes(spark: SparkSession, path: str) -> int:

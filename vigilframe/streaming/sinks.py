@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from vigilframe.operators.dedup import newest_first
 from vigilframe.operators.validate import parse_lines
 from vigilframe.plans.ingest import append_dead_letters, bronze_rows, dead_letters
 from vigilframe.plans.silver import silver_events
 from vigilframe.sources import files
-from vigilframe.sources.contracts import BRONZE, DEAD_LETTER
-from vigilframe.sources.tables import merge_table, read_table, table_path
+from vigilframe.sources.tables import merge_table, table_path, write_table
 
 
 def _start(
@@ -48,32 +49,33 @@ def upsert_stream(
     return _start(stream, checkpoint, "update", each, interval)
 
 
-def _holds_batch(
-    batch: DataFrame, path: str, contract: T.StructType, day_column: str, batch_id: str, day: str
-) -> bool:
-    """Whether an earlier attempt at this micro-batch already wrote the table."""
-    stored = read_table(batch.sparkSession, path, contract, day_column)
-    recent = stored.filter((F.col(day_column) >= F.lit(day).cast("date")) & (F.col("_batch_id") == batch_id))
-    return not recent.limit(1).isEmpty()
+def stream_identity(spark, checkpoint: str) -> str:
+    """A random name of this stream, kept in its checkpoint from the first start on."""
+    path = f"{checkpoint}/identity"
+    if not files.exists(spark, path):
+        files.create(spark, path, uuid.uuid4().hex[:8])
+    return files.text_of(spark, path)
 
 
 def ingest_stream(lines: DataFrame, base: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Raw lines to Bronze and dead letters.
 
-    A micro-batch is parsed once into a staging copy and appended to both tables. Its
-    batch id comes from its newest file's date and its number in the checkpoint, both of
-    which a replay repeats, so a table that already has the id is left alone. Versions
-    of one event are resolved by Silver, not looked up in all of Bronze per micro-batch.
+    A micro-batch is parsed once into a staging copy and appended to both tables, under a
+    name of the stream's identity and the micro-batch's number, both of which a replay
+    repeats: what was committed is not appended again, what was cut off starts over, and no
+    other stream or run has the name. Versions of one event are resolved by Silver, not
+    looked up in all of Bronze per micro-batch.
     """
+    identity = stream_identity(lines.sparkSession, checkpoint)
 
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        staging = table_path(base, f"_staging.stream_{number}")
+        name = f"stream-{identity}-{number}"
+        staging = table_path(base, f"_staging.{name}")
         newest = batch.agg(F.max("_file_time")).first()[0]
         if newest is None:
             return
-        day = newest.strftime("%Y-%m-%d")
-        batch_id = f"batch_{day.replace('-', '')}_{number + 1:03d}"
+        batch_id = f"batch_{newest:%Y%m%d}_{number + 1:03d}_{identity}"
         stamped = (
             parse_lines(batch.drop("_file_time").withColumn("_batch_id", F.lit(batch_id)))
             .withColumn("_ingested_at", F.current_timestamp().cast("timestamp_ntz"))
@@ -81,14 +83,9 @@ def ingest_stream(lines: DataFrame, base: str, checkpoint: str, interval: str |
         )
         stamped.write.mode("overwrite").partitionBy("_ok").parquet(staging)
         staged = spark.read.schema(stamped.schema).parquet(staging)
-        bronze_path = table_path(base, "bronze.security_events")
-        if not _holds_batch(batch, bronze_path, BRONZE, "ingest_date", batch_id, day):
-            bronze_rows(staged.filter("_ok").drop("_ok")).withColumn(
-                "ingest_date", F.to_date("_ingested_at")
-            ).write.mode("append").partitionBy("ingest_date").parquet(bronze_path)
-        dead_path = table_path(base, "bronze.dead_letter_events")
-        if not _holds_batch(batch, dead_path, DEAD_LETTER, "reject_date", batch_id, day):
-            append_dead_letters(dead_letters(staged.filter("NOT _ok").drop("_ok")), base)
+        rows = bronze_rows(staged.filter("_ok").drop("_ok")).withColumn("ingest_date", F.to_date("_ingested_at"))
+        write_table(rows, table_path(base, "bronze.security_events"), "append", partition="ingest_date", name=name)
+        append_dead_letters(dead_letters(staged.filter("NOT _ok").drop("_ok")), base, name)
         files.remove(spark, staging)
 
     return _start(lines, checkpoint, "append", each, interval)
@@ -97,7 +94,8 @@ def ingest_stream(lines: DataFrame, base: str, checkpoint: str, interval: str |
 def silver_stream(
     bronze: DataFrame, base: str, checkpoint: str, interval: str | None = None, event_time_is_fixed: bool = False
 ) -> StreamingQuery:
-    """Bronze rows to Silver by upsert; repeating a micro-batch changes nothing.
+    """Bronze rows to Silver by upsert; the newest version of an event stays, in whatever
+    order versions come, and repeating a micro-batch changes nothing.
 
     ``event_time_is_fixed`` promises that versions of an event share its date, so that only
     the dates of the micro-batch are looked at.
@@ -105,10 +103,10 @@ def silver_stream(
     path = table_path(base, "silver.silver_events")
 
     def each(batch: DataFrame, _: int) -> None:
-        fresh = silver_events(batch).withColumn("event_date", F.to_date("event_time"))
+        fresh = silver_events(batch)
         merge_table(
-            fresh, path, ["event_id"], None, partition="event_date",
-            key_keeps_partition=event_time_is_fixed,
+            fresh.withColumn("event_date", F.to_date("event_time")), path, ["event_id"], newest_first(fresh),
+            partition="event_date", key_keeps_partition=event_time_is_fixed,
         )
 
     return _start(bronze, checkpoint, "append", each, interval)
