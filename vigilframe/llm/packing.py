@@ -16,9 +16,12 @@ not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -31,8 +34,11 @@ END = 2
 BUCKET = 1 << 16
 """Pieces per bucket, on average."""
 SLICE = 4 << 20
-REMEMBERED = 400_000
-_CLOSING = frozenset(".,;:!?")
+REMEMBERED = 250_000
+"""Words that a Python worker remembers, and as many that it may soon forget."""
+
+_RUN = re.compile(r"[^a-zA-Z0-9\sÀ-ÖØ-öø-ÿ][.,] ")
+_MARKED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -43,6 +49,23 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Recent:
+    """A bounded memory: what wasn't asked for since it last filled up is forgotten."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def known(self, words: set[str]) -> None:
+        """Keep what is remembered of ``words`` for another turn."""
+        for word in (words - self.young.keys()) & self.old.keys():
+            self.young[word] = self.old[word]
+
+    def add(self, words: list[str], values: list[bytes]) -> None:
+        if len(self.young) + len(words) > self.most:
+            self.young, self.old = {}, self.young
+        self.young.update(zip(words, values))
+
+
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit bytes."""
 
@@ -50,44 +73,70 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.words = Recent(REMEMBERED)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _fresh(self, words: list[str]) -> list[bytes]:
+        """Ids of each word. Words of letters only are encoded side by side, as each ends with an end-of-word token."""
+        ids = np.zeros(0, np.uint32)
+        if all(map(str.isalpha, words)):
+            texts = [" ".join(words[i:i + 64]) for i in range(0, len(words), 64)]
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            ids = np.fromiter(chain.from_iterable(x.ids for x in found), np.uint32)
+        ends = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
+        if len(ends) == len(words):
+            held = ids.astype("<u4").tobytes()
+            return [held[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [b"".join([i.to_bytes(4, "little") for i in x.ids]) for x in found]
+        return [np.array(x.ids, "<u4").tobytes() for x in found]
 
     def _learn(self, words: set[str]) -> None:
-        """A plain word with one closing mark or a capital has the ids of its parts, which are known more often."""
-        parts: dict[str, tuple[str, ...]] = {}
-        for word in words:
-            if word.isascii():
-                if (low := word.lower()).isalpha():
-                    parts[word] = (low,)
-                elif low[-1] in _CLOSING and low[:-1].isalpha():
-                    parts[word] = (low[:-1], low[-1])
-                else:
-                    parts[word] = (word,)
+        """A word of letters and closing marks has the ids of its two parts, which are known more often."""
+        plain = {x for x in words if x.isalpha()}
+        split: dict[str, tuple[str, str]] = {}
+        other: set[str] = set()
+        for word in words - plain:
+            m = _MARKED.fullmatch(word)
+            if m and m[1].isalpha():
+                split[word] = m.groups()
             else:
-                parts[word] = (word[:-1], word[-1]) if word[-1] in _CLOSING and word[:-1].isalpha() else (word,)
-        new = list({x for xs in parts.values() for x in xs} - self.known.keys())
-        if len(self.known) + len(new) + len(parts) > REMEMBERED:
-            self.known = {"": b""}
-            new = list({x for xs in parts.values() for x in xs})
-        self.known.update(zip(new, self._fresh(new)))
-        for word, xs in parts.items():
-            if len(xs) > 1 or xs[0] != word:
-                self.known[word] = b"".join([self.known[x] for x in xs])
+                other.add(word)
+        parts = {x for both in split.values() for x in both}
+        self.words.known(parts)
+        new = (parts | plain | other) - self.words.young.keys()
+        letters, rest = [x for x in new if x.isalpha()], [x for x in new if not x.isalpha()]
+        known = self.words.young
+        self.words.add(letters + rest, self._fresh(letters) + self._fresh(rest))
+        if self.words.young is not known:  # it has just filled up
+            self.words.known(parts)
+        known = self.words.young
+        self.words.add(list(split), [known[a] + known[b] for a, b in split.values()])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [x.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for x in texts]
-        words = set().union(*split)
-        unknown = words - self.known.keys()
-        if unknown:
-            before = self.known
+        split = [separated(x).split(" ") for x in texts]
+        words = set().union(*split) - {""}
+        self.words.known(words)
+        while unknown := words - self.words.young.keys():
             self._learn(unknown)
-            if self.known is not before and (again := words - self.known.keys()):
-                self._learn(again)
-        return [b"".join(map(self.known.__getitem__, x)) for x in split]
+            self.words.known(words)
+        known = self.words.young
+        known[""] = b""
+        return [b"".join(map(known.__getitem__, x)) for x in split]
+
+
+def separated(text: str) -> str:
+    """``text`` with the same tokens, in which more words are alike: one kind of white space, and, where that
+    can't touch a run of marks, a special token or a letter with unusual cases, lower case and single marks apart."""
+    text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+    if "<|" in text or _RUN.search(text):
+        return text
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower().replace(". ", " . ").replace(", ", " , ")
 
 
 _ENCODERS: dict[str, Encoder] = {}
