@@ -16,6 +16,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def small_batches(docs: DataFrame, most: int = 8 << 20) -> DataFrame:
+    """``docs``, with Arrow batches of at most about 8 MB (or one row) from now on in its session.
+
+    A batch is held several times at once on its way between the JVM and Python, so Spark's
+    default of 64 MB takes much of a small executor.
+    """
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(key).rstrip("bB")) > most:
+        conf.set(key, str(most))
+    return docs
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """UTF-8 bytes of a whole column, from one scan of it."""
     return docs.agg(F.sum(F.octet_length(column)).alias("n")).first()["n"] or 0

@@ -1,26 +1,28 @@
-"""Repeated byte strings across documents, by suffix arrays of shards.
+"""Repeated byte strings across documents, by suffix arrays.
 
 A byte goes if a string of 50 bytes that covers it also starts in a document with a smaller
-id. Documents are dealt to shards of a few megabytes. A shard sorts the suffixes in question
-by refinement as Larsson and Sadakane do: ranks of 8 bytes, then of 16 and 32 from pairs of
-ranks, where groups of one are left alone, and last of 50 from two overlapping ranks. Equal
-neighbours of that order share 50 bytes; only this one common prefix matters, so it is read
-off the ranks, and Kasai's scan for all lengths isn't needed.
-
-Shards can't be merged pair by pair, as their pairs grow with the square of the input. What
-decides is which suffixes can match at all. Every window of 50 bytes has an anchor, the
-least of its 25 hashes of 26 bytes, so equal windows have equal anchors:
-
-1. every shard names its distinct anchors, to the merger that their hash belongs to;
-2. mergers find, in sorted arrays, the anchors that several shards have, and tell these;
-3. a shard sorts windows with an anchor that it shares, or that several of its own
-   documents have, keeps what is removed within the shard, and sends one copy of every
-   other such window, that of the smallest document, to the merger of its anchor;
-4. mergers sort those by the same refinement, and report what is removed across shards;
-5. every shard joins the removed stretches of its documents.
-
-However frequent a passage is, a shard sends it once, so no merger gets more than one
-copy per shard. All steps use one shuffle of the texts.
+id. Suffix arrays of shards of documents can't be merged pair by pair, as the pairs grow
+with the square of the input, so the suffixes are dealt by content. Every window of 50
+bytes has an anchor, the least of its 25 hashes of 26 bytes; equal windows have equal
+anchors. Consecutive windows with one anchor are a piece of 50 to 74 bytes.
+
+1. Every shard names its distinct anchors, to the merger that their hash belongs to.
+2. Mergers find, by binary search in sorted arrays, the anchors that several shards have, and
+   tell these.
+3. For anchors that it shares, or has with several pieces, a shard names each distinct piece
+   by its hash, with the smallest document that holds it.
+4. Mergers answer with the smallest document of all, which removes the whole piece
+   from every larger one, and ask for the bytes of a piece if its anchor has others too.
+5. The shard of that smallest document sends the bytes.
+6. Mergers sort the windows of these pieces by refinement as Larsson and Sadakane do: ranks
+   of 8 bytes, then of 16 and 32 from pairs of ranks, where groups of one are left alone, and
+   last of 50 from two overlapping ranks. Equal neighbours in that order share 50 bytes;
+   only this one common prefix matters, so it is read off the ranks, and Kasai's scan for
+   all lengths isn't needed. The answer says which windows of a piece a smaller document has.
+7. Every shard joins the removed stretches of its documents.
+
+However frequent a passage is, a shard names each of its pieces once. All steps use one
+shuffle of the texts.
 
 Edge cases: a null text is empty; texts under 50 bytes stay whole; rows that repeat an id
 don't remove from each other; rows without an id neither lose nor remove anything; an empty
@@ -36,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from vigilframe.llm.common import bytes_of, ranges, text_bytes
+from vigilframe.llm.common import bytes_of, ranges, small_batches, text_bytes
 from vigilframe.llm.minhash import mixed
 
 LENGTH = 50
@@ -45,14 +47,14 @@ SHARD = 4 << 20
 """Bytes of text per shard of documents."""
 MERGER = 8 << 20
 """Bytes of text whose anchors one merger is responsible for."""
-STEP = 1 << 18
+STEP = 1 << 15
 """Windows whose anchors are found in one go, small enough for a cache."""
-SORTED = 4 << 20
+SORTED = 2 << 20
 """Bytes that a merger sorts in one go."""
 
 _OF_BYTE = np.random.Generator(np.random.PCG64(50)).integers(0, 1 << 63, 256, np.uint64)
 _BASE = 0x9E3779B97F4A7C15 | 1
-_ALL = (1 << 64) - 1
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def _power(n: int) -> np.uint64:
@@ -68,15 +70,15 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     return mixed(h24[:-2] * _power(2) + h[2][24:len(h24) - 2 + 24])
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every window of 50 bytes of ``data``: where its anchor starts, and that anchor's hash.
+def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of windows of 50 bytes of ``data`` with one anchor: first window, where the anchor starts, its hash.
 
     Of equal hashes the leftmost is the anchor. A hash's upper bits and its place make one
     number, so that a minimum over numbers finds the place as well.
     """
     windows = len(data) - LENGTH + 1
-    place, name = np.zeros(max(windows, 0), np.int64), np.zeros(max(windows, 0), np.uint64)
     low = np.uint64((1 << 24) - 1)
+    firsts, places, names = [], [], []
     for at in range(0, windows, STEP):
         to = min(at + STEP, windows)
         hashes = _gram_hashes(data[at:to + LENGTH - 1])
@@ -84,9 +86,16 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         for n in (1, 2, 4, 8):
             least = np.minimum(least[:-n], least[n:])
         least = np.minimum(least[:-9], least[9:])
-        found = (least & low).astype(np.int64)
-        place[at:to], name[at:to] = found + at, hashes[found]
-    return place, name
+        first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+        found = (least[first] & low).astype(np.int64)
+        firsts.append(first + at)
+        places.append(found + at)
+        names.append(hashes[found])
+    if not firsts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    first, place, name = map(np.concatenate, (firsts, places, names))
+    new = np.concatenate([[True], place[1:] != place[:-1]])  # a run may cross steps
+    return first[new], place[new], name[new]
 
 
 def equal_windows(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -139,192 +148,239 @@ def smallest(data: np.ndarray, windows: np.ndarray, docs: np.ndarray) -> np.ndar
 
 
 class Shard:
-    """The documents of a shard, side by side."""
+    """The pieces of a shard's documents, which lie side by side."""
 
     def __init__(self, table: pa.Table):
-        self.doc_ids, self.names = table.column("doc_id"), table.column("name").to_numpy()
+        self.table = table
         self.data, self.offsets = bytes_of(table.column("text"))
-        known = np.array(self.doc_ids.is_valid().to_numpy())
-        self.ids = self.doc_ids.fill_null(0).to_numpy()
-        self.place, self.anchor = anchors(self.data)
-        lengths = np.diff(self.offsets)
-        room = np.where(known, np.maximum(lengths - LENGTH + 1, 0), 0)
-        self.windows = ranges(self.offsets[:-1], room)  # those within one document
-        self.doc = np.repeat(np.arange(len(room)), room)
-
-
-def _routes(hashes: np.ndarray, mergers: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) * np.uint64(mergers) >> np.uint64(32)).astype(np.int64)
-
-
-def _named(mergers: int):
-    """Step 1: (merger, part, anchors) of a shard."""
+        known = np.array(table.column("doc_id").is_valid().to_numpy())
+        ids = table.column("doc_id").fill_null(0).to_numpy()
+        first, _, name = anchors(self.data)
+        # Runs end where documents do; windows across two documents don't count.
+        starts = np.unique(np.concatenate([first, self.offsets[:-1]]))
+        starts = starts[starts < len(self.data) - LENGTH + 1] if len(first) else starts[:0]
+        run = np.searchsorted(first, starts, "right") - 1
+        row = np.searchsorted(self.offsets, starts, "right") - 1
+        last = np.minimum(np.concatenate([starts[1:], [len(self.data) - LENGTH + 1]]) - 1, self.offsets[row + 1] - LENGTH)
+        good = (last >= starts) & known[row]
+        self.first, self.last, self.name, self.doc = starts[good], last[good], name[run[good]], ids[row[good]]
+
+    def pick(self, chosen: np.ndarray) -> None:
+        """Go on with some of the pieces only."""
+        self.first, self.last, self.name, self.doc = self.first[chosen], self.last[chosen], self.name[chosen], self.doc[chosen]
+
+    def hashes(self) -> np.ndarray:
+        """A hash of each piece's bytes and the place of its anchor, as its anchor's hash goes in, from running sums."""
+        n = len(self.data)
+        power, back = np.full(n + 1, _BASE, np.uint64), np.full(n + 1, _INVERSE, np.uint64)
+        power[0] = back[0] = 1
+        np.multiply.accumulate(power, out=power)
+        np.multiply.accumulate(back, out=back)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_OF_BYTE[self.data] * power[:n], out=sums[1:])
+        size = self.last - self.first + LENGTH
+        return mixed((sums[self.last + LENGTH] - sums[self.first]) * back[self.first] + size.astype(np.uint64) * self.name)
+
+    def select(self, names: np.ndarray) -> np.ndarray:
+        """Which pieces have an anchor among the sorted ``names``, or one that the shard has with several pieces."""
+        order = np.argsort(self.name, kind="stable")
+        own = self.name[order]
+        twice = own[1:][own[1:] == own[:-1]]
+        return _among(self.name, names) | _among(self.name, np.unique(twice))
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which ``values`` are in the sorted array ``known``."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def _groups(sorted_values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]])) if len(sorted_values) else np.zeros(0, np.int64)
+
+
+def _routed(hashes: np.ndarray, mergers: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(merger, places) for all mergers that the hashes belong to."""
+    to = ((hashes >> np.uint64(32)) * np.uint64(mergers) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    ends = np.searchsorted(to[order], np.arange(mergers + 1))
+    for m in np.flatnonzero(np.diff(ends)):
+        yield int(m), order[ends[m]:ends[m + 1]]
+
+
+def _table(schema: str, rows: list[tuple]) -> pa.Table:
+    kinds = [x.split() for x in schema.split(", ")]
+    columns = list(zip(*rows)) if rows else [()] * len(kinds)
+    return pa.table({name: pa.array([x.tobytes() if isinstance(x, np.ndarray) else x for x in column], pa.int64() if kind == "long" else pa.binary())
+                     for (name, kind), column in zip(kinds, columns)})
+
+
+def _arrays(table: pa.Table, column: str, kind=np.int64) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), kind) for x in table.column(column)]
+
+
+def _joined(table: pa.Table, column: str, kind=np.int64) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *_arrays(table, column, kind)])
+
+
+_NAMED = "merger long, part long, anchors binary"
+_MET = "part long, anchors binary"
+_OFFERED = "merger long, part long, anchors binary, pieces binary, docs binary"
+_SENT = "merger long, part long, anchors binary, pieces binary, docs binary, sizes binary, text binary"
+#: Of pieces: the smallest document that has them (larger ones lose the piece), whether their
+#: bytes are asked for; or, for the smallest document, stretches that go, from the piece's start.
+_ANSWERED = "part long, pieces binary, docs binary, asked binary, starts binary, ends binary"
+_RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+
+
+def _name(mergers: int):
+    """Step 1."""
     def run(table: pa.Table) -> pa.Table:
-        shard = Shard(table)
-        found = np.unique(shard.anchor[shard.windows])
-        to = _routes(found, mergers)
-        ends = np.searchsorted(to, np.arange(mergers + 1))
-        used = np.flatnonzero(np.diff(ends))
-        part = table.column("part")[0].as_py()
-        return pa.table({
-            "merger": pa.array(used, pa.int64()), "part": pa.array([part] * len(used), pa.int64()),
-            "anchors": pa.array([found[ends[i]:ends[i + 1]].tobytes() for i in used], pa.binary())})
+        found, part = np.unique(Shard(table).name), table.column("part")[0].as_py()
+        return _table(_NAMED, [(m, part, found[i]) for m, i in _routed(found, mergers)])
 
     return run
 
 
-def _met(table: pa.Table) -> pa.Table:
-    """Step 2: (part, anchors) that occur in another part as well. Every part's anchors come sorted."""
-    parts = table.column("part").to_numpy()
-    own = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("anchors")]
+def _meet(table: pa.Table) -> pa.Table:
+    """Step 2. Every part's anchors come sorted."""
+    own = _arrays(table, "anchors", np.uint64)
     every = np.sort(np.concatenate(own))
     several = np.unique(every[1:][every[1:] == every[:-1]])
-    out_parts, out = [], []
-    for part, names in zip(parts, own):
-        at = np.searchsorted(several, names)
-        kept = names[several[np.minimum(at, len(several) - 1)] == names] if len(several) else names[:0]
-        if len(kept):
-            out_parts.append(part)
-            out.append(kept.tobytes())
-    return pa.table({"part": pa.array(out_parts, pa.int64()), "anchors": pa.array(out, pa.binary())})
+    rows = [(part, names[_among(names, several)]) for part, names in zip(table.column("part").to_pylist(), own)]
+    return _table(_MET, [x for x in rows if len(x[1])])
 
 
-_SENT = "merger long, part long, doc_ids binary, names binary, starts binary, sizes binary, anchors binary, text binary"
-_GONE = "part long, doc_ids binary, names binary, starts binary, ends binary"
+def _distinct(shard: Shard) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the shard's pieces, and of the distinct ones the places of one piece each and the smallest document."""
+    hashes = shard.hashes()
+    order = np.lexsort((shard.doc, hashes))
+    at = order[_groups(hashes[order])]
+    return hashes, at, shard.doc[at]
 
 
-def _searched(mergers: int):
-    """Step 3: what is removed within a shard (without text), and windows for the mergers."""
+def _offer(mergers: int):
+    """Step 3."""
     def run(key: tuple, docs: pa.Table, met: pa.Table) -> pa.Table:
-        columns: dict[str, list] = {x.split()[0]: [] for x in _SENT.split(", ")}
+        rows = []
+        if docs.num_rows:
+            shard = Shard(docs)
+            shard.pick(shard.select(np.sort(_joined(met, "anchors", np.uint64))))
+            hashes, at, least = _distinct(shard)
+            for m, i in _routed(shard.name[at], mergers):
+                rows.append((m, key[0].as_py(), shard.name[at[i]], hashes[at[i]], least[i]))
+        return _table(_OFFERED, rows)
 
-        def send(merger, doc_ids, names, starts, sizes, names_of, text) -> None:
-            for column, value in zip(columns.values(), (
-                    merger, key[0].as_py(), doc_ids.astype(np.int64).tobytes(), names.astype(np.int64).tobytes(),
-                    starts.astype(np.int64).tobytes(), sizes.astype(np.int64).tobytes(), names_of, text)):
-                column.append(value)
+    return run
 
-        if docs.num_rows:
+
+def _answer(table: pa.Table) -> pa.Table:
+    """Step 4."""
+    held = {c: _arrays(table, c, k) for c, k in (("anchors", np.uint64), ("pieces", np.uint64), ("docs", np.int64))}
+    part = np.repeat(np.arange(table.num_rows), [len(x) for x in held["docs"]])
+    name, piece, doc = (np.concatenate(held[c]) for c in ("anchors", "pieces", "docs"))
+    order = np.lexsort((doc, piece, name))
+    begins = _groups(piece[order])  # a piece's hash holds its anchor's
+    least = np.empty(len(doc), np.int64)
+    least[order] = np.repeat(doc[order][begins], np.diff(np.append(begins, len(order))))
+    names = name[order][begins]
+    mixed_ = np.unique(names[1:][names[1:] == names[:-1]])
+    asked = _among(name, mixed_) & (doc == least)
+    tell = np.flatnonzero(asked | (doc > least))
+    rows, none = [], np.zeros(0, np.int64)
+    for i in np.split(tell, _groups(part[tell])[1:]) if len(tell) else ():
+        rows.append((table.column("part")[int(part[i[0]])].as_py(), piece[i], least[i], asked[i].astype(np.uint8), none, none))
+    return _table(_ANSWERED, rows)
+
+
+def _send(mergers: int):
+    """Step 5."""
+    def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = []
+        asked = np.sort(_joined(answers, "pieces", np.uint64)[_joined(answers, "asked", np.uint8) > 0])
+        if docs.num_rows and len(asked):
             shard = Shard(docs)
-            name, where = shard.anchor[shard.windows], shard.place[shard.windows]
-            several = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in met.column("anchors")])) if met.num_rows else np.zeros(0, np.uint64)
-            across = np.isin(name, several)
-            # Anchors of several documents of this shard.
-            order = np.argsort(name, kind="stable")
-            same = name[order][1:] == name[order][:-1]
-            other = same & (shard.ids[shard.doc[order]][1:] != shard.ids[shard.doc[order]][:-1])
-            within = np.isin(name, np.unique(name[order][1:][other]))
-            use = np.flatnonzero(across | within)
-            if len(use):
-                windows, doc, far = shard.windows[use], shard.doc[use], across[use]
-                least = smallest(shard.data, windows, shard.ids[doc])
-                gone = shard.ids[doc] > least
-                if gone.any():
-                    low, high = _regions(windows[gone])
-                    of = np.searchsorted(shard.offsets, low, "right") - 1
-                    send(key[0].as_py() % mergers, shard.ids[of], shard.names[of], low - shard.offsets[of], high - low + LENGTH, None, None)
-                kept = far & ~gone
-                if kept.any():
-                    first, names_of, place = windows[kept], name[use][kept], where[use][kept]
-                    # A piece: consecutive windows with one anchor.
-                    new = np.concatenate([[True], (np.diff(first) != 1) | (np.diff(place) != 0)])
-                    at = np.flatnonzero(new)
-                    last = np.concatenate([at[1:], [len(first)]]) - 1
-                    low, size, names_of = first[at], first[last] - first[at] + LENGTH, names_of[at]
-                    to = _routes(names_of, mergers)
-                    by = np.argsort(to, kind="stable")
-                    ends = np.searchsorted(to[by], np.arange(mergers + 1))
-                    of = np.searchsorted(shard.offsets, low, "right") - 1
-                    for m in np.flatnonzero(np.diff(ends)):
-                        i = by[ends[m]:ends[m + 1]]
-                        send(int(m), shard.ids[of[i]], shard.names[of[i]], low[i] - shard.offsets[of[i]], size[i],
-                             names_of[i].tobytes(), shard.data[ranges(low[i], size[i])].tobytes())
-        kinds = {"long": pa.int64(), "binary": pa.binary()}
-        return pa.table({x.split()[0]: pa.array(columns[x.split()[0]], kinds[x.split()[1]]) for x in _SENT.split(", ")})
+            hashes, at, least = _distinct(shard)
+            chosen = _among(hashes[at], asked)
+            at, least = at[chosen], least[chosen]
+            size = shard.last[at] - shard.first[at] + LENGTH
+            for m, i in _routed(shard.name[at], mergers):
+                text = shard.data[ranges(shard.first[at[i]], size[i])]
+                rows.append((m, key[0].as_py(), shard.name[at[i]], hashes[at[i]], least[i], size[i].astype(np.int32), text))
+        return _table(_SENT, rows)
 
     return run
 
 
-def _numbers(column, kind=np.int64) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), kind) for x in column]
-
-
-def _gone_rows(rows: list[tuple]) -> pa.Table:
-    parts, *numbers = zip(*rows) if rows else ((), (), (), (), ())
-    return pa.table([pa.array(parts, pa.int64()), *(pa.array([x.astype(np.int64).tobytes() for x in column], pa.binary()) for column in numbers)],
-                    [x.split()[0] for x in _GONE.split(", ")])
-
-
-def _merged(table: pa.Table) -> pa.Table:
-    """Step 4: removed stretches, those found within shards and those across them."""
-    local = table.filter(table.column("text").is_null())
-    rows = [(part, ids, names, starts, starts + sizes) for part, ids, names, starts, sizes in zip(
-        local.column("part").to_pylist(), *(_numbers(local.column(c)) for c in ("doc_ids", "names", "starts", "sizes")))]
-    sent = table.filter(table.column("text").is_valid())
-    if sent.num_rows:
-        held = {c: _numbers(sent.column(c)) for c in ("doc_ids", "names", "starts", "sizes")}
-        parts = np.repeat(sent.column("part").to_numpy(), [len(x) for x in held["starts"]])
-        ids, names, starts, sizes = (np.concatenate(held[c]) for c in ("doc_ids", "names", "starts", "sizes"))
-        anchor = np.concatenate(_numbers(sent.column("anchors"), np.uint64))
-        data, _ = bytes_of(sent.column("text"))
-        at = np.cumsum(sizes) - sizes
-        # Equal windows have one anchor, so pieces can be sorted in lots by their anchors.
-        by = np.argsort(anchor, kind="stable")
-        lots = np.cumsum(sizes[by]) // SORTED
-        fresh = np.concatenate([[True], anchor[by][1:] != anchor[by][:-1]])
-        lots = lots[np.maximum.accumulate(np.where(fresh, np.arange(len(by)), 0))]
-        for lot in np.split(by, np.flatnonzero(np.diff(lots)) + 1):
-            lot = np.sort(lot)
-            text = data[ranges(at[lot], sizes[lot])]
-            many, begin = sizes[lot] - LENGTH + 1, np.cumsum(sizes[lot]) - sizes[lot]
-            windows = ranges(begin, many)
-            of = np.repeat(np.arange(len(lot)), many)
-            gone = np.flatnonzero(ids[lot][of] > smallest(text, windows, ids[lot][of]))
-            if not len(gone):
-                continue
+def _sort(table: pa.Table) -> pa.Table:
+    """Step 6."""
+    part = np.repeat(table.column("part").to_numpy(), [len(x) for x in _arrays(table, "docs")])
+    name, piece = (_joined(table, c, np.uint64) for c in ("anchors", "pieces"))
+    doc, size = _joined(table, "docs"), _joined(table, "sizes", np.int32).astype(np.int64)
+    data, _ = bytes_of(table.column("text"))
+    at = np.cumsum(size) - size
+    # Equal windows have one anchor, so pieces are sorted in lots of whole anchors.
+    by = np.argsort(name, kind="stable")
+    begins = _groups(name[by])
+    lots = np.repeat(((np.cumsum(size[by]) - size[by])[begins]) // SORTED, np.diff(np.append(begins, len(by))))
+    found: list[tuple] = []
+    for lot in np.split(by, _groups(lots)[1:]):
+        lot = np.sort(lot)
+        many, begin = size[lot] - LENGTH + 1, np.cumsum(size[lot]) - size[lot]
+        windows, of = ranges(begin, many), np.repeat(np.arange(len(lot)), many)
+        gone = np.flatnonzero(doc[lot][of] > smallest(data[ranges(at[lot], size[lot])], windows, doc[lot][of]))
+        if len(gone):
             low, high = _regions(windows[gone])
             i = np.searchsorted(begin, low, "right") - 1
-            start, piece = starts[lot[i]] + low - begin[i], lot[i]
-            order = np.argsort(parts[piece], kind="stable")
-            for some in np.split(order, np.flatnonzero(np.diff(parts[piece][order])) + 1):
-                p = piece[some]
-                rows.append((int(parts[p[0]]), ids[p], names[p], start[some], start[some] + (high - low)[some] + LENGTH))
-    return _gone_rows(rows)
-
+            found.append((part[lot[i]], piece[lot[i]], low - begin[i], high - begin[i] + LENGTH))
+    if not found:
+        return _table(_ANSWERED, [])
+    parts, pieces, starts, ends = map(np.concatenate, zip(*found))
+    order, none = np.argsort(parts, kind="stable"), np.zeros(0, np.int64)
+    return _table(_ANSWERED, [(int(parts[i[0]]), pieces[i], none, none, starts[i], ends[i]) for i in np.split(order, _groups(parts[order])[1:])])
 
-_RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, name long, kept binary"
 
-
-def _joined(with_kept: bool):
-    """Step 5: what is left of every document of a shard."""
-    def run(docs: pa.Table, gone: pa.Table) -> pa.Table:
-        doc_ids, names = docs.column("doc_id"), docs.column("name").to_numpy()
+def _finish(with_kept: bool):
+    """Step 7."""
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         data, offsets = bytes_of(docs.column("text"))
         marks = np.zeros(len(data) + 1, np.int32)
-        if gone.num_rows and docs.num_rows:
-            ids, of, starts, ends = (np.concatenate(_numbers(gone.column(c))) for c in ("doc_ids", "names", "starts", "ends"))
-            own = np.array(list(zip(doc_ids.fill_null(0).to_pylist(), names.tolist())), dtype=[("a", np.int64), ("b", np.int64)])
-            sought = np.empty(len(ids), own.dtype)
-            sought["a"], sought["b"] = ids, of
-            order = np.argsort(own, order=("a", "b"))
-            low, high = np.searchsorted(own[order], sought, "left"), np.searchsorted(own[order], sought, "right")
-            rows = order[ranges(low, high - low)]  # rows that repeat id and text lose the same
-            begin = offsets[rows]
-            np.add.at(marks, begin + np.repeat(starts, high - low), 1)
-            np.add.at(marks, begin + np.repeat(ends, high - low), -1)
+        if docs.num_rows:
+            shard = Shard(docs)
+            hashes = shard.hashes()
+            order = np.lexsort((shard.doc, hashes))
+            begins = _groups(hashes[order])
+            least = np.empty(len(hashes), np.int64)
+            least[order] = np.repeat(shard.doc[order][begins], np.diff(np.append(begins, len(order))))
+            whole, some = (answers.filter(pa.array([(len(x.as_buffer()) > 0) == w for x in answers.column("docs")], pa.bool_())) for w in (True, False))
+            if whole.num_rows:
+                told, told_doc = _joined(whole, "pieces", np.uint64), _joined(whole, "docs")
+                by = np.argsort(told, kind="stable")
+                place = np.minimum(np.searchsorted(told[by], hashes), len(told) - 1)
+                least = np.where(told[by][place] == hashes, np.minimum(least, told_doc[by][place]), least)
+            gone = shard.doc > least
+            np.add.at(marks, shard.first[gone], 1)
+            np.add.at(marks, shard.last[gone] + LENGTH, -1)
+            if some.num_rows:
+                told, starts, ends = _joined(some, "pieces", np.uint64), _joined(some, "starts"), _joined(some, "ends")
+                low, high = np.searchsorted(hashes[order], told, "left"), np.searchsorted(hashes[order], told, "right")
+                first = shard.first[order[ranges(low, high - low)]]
+                np.add.at(marks, first + np.repeat(starts, high - low), 1)
+                np.add.at(marks, first + np.repeat(ends, high - low), -1)
         removed = np.cumsum(marks[:-1]) > 0
         columns: list[list] = [[], [], [], [], []]
         for i in range(docs.num_rows):
             part, out = data[offsets[i]:offsets[i + 1]], removed[offsets[i]:offsets[i + 1]]
-            n = int(out.sum())
+            n = int(np.count_nonzero(out))
             left = (part[~out] if n else part).tobytes()
-            spans = int(out[0]) + int((out[1:] & ~out[:-1]).sum()) if n else 0
+            spans = int(out[0]) + int(np.count_nonzero(out[1:] & ~out[:-1])) if n else 0
             for column, value in zip(columns, (len(part), n, spans, hashlib.sha256(left).hexdigest(), left if with_kept else None)):
                 column.append(value)
         return pa.table({
-            "doc_id": doc_ids, "n_bytes": pa.array(columns[0], pa.int64()), "n_removed": pa.array(columns[1], pa.int64()),
-            "n_spans": pa.array(columns[2], pa.int64()), "kept_sha256": pa.array(columns[3], pa.string()), "name": docs.column("name"),
-            "kept": pa.array(columns[4], pa.binary())})
+            "doc_id": docs.column("doc_id"), "n_bytes": pa.array(columns[0], pa.int64()), "n_removed": pa.array(columns[1], pa.int64()),
+            "n_spans": pa.array(columns[2], pa.int64()), "kept_sha256": pa.array(columns[3], pa.string()), "kept": pa.array(columns[4], pa.binary())})
 
     return run
 
@@ -334,12 +390,14 @@ def remove_repeats(docs: DataFrame, with_kept: bool = False) -> DataFrame:
     total = text_bytes(docs)
     parts, mergers = max(1, -(-total // SHARD)), max(1, -(-total // MERGER))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("name"), text.cast("binary").alias("text"))
-    dealt = dealt.select(F.pmod(F.xxhash64("doc_id", "name"), F.lit(parts)).cast("long").alias("part"), "doc_id", "name", "text")
+    dealt = small_batches(docs).select(
+        F.pmod(F.xxhash64(F.col("doc_id").cast("long"), text), F.lit(parts)).cast("long").alias("part"),
+        F.col("doc_id").cast("long").alias("doc_id"), text.cast("binary").alias("text"))
     by_part = dealt.groupBy("part")
-    named = by_part.applyInArrow(_named(mergers), "merger long, part long, anchors binary")
-    met = named.groupBy("merger").applyInArrow(_met, "part long, anchors binary")
-    sent = by_part.cogroup(met.groupBy("part")).applyInArrow(_searched(mergers), _SENT)
-    gone = sent.groupBy("merger").applyInArrow(_merged, _GONE)
-    out = by_part.cogroup(gone.groupBy("part")).applyInArrow(_joined(with_kept), _RESULT)
-    return out.drop("name") if with_kept else out.drop("name", "kept")
+    met = by_part.applyInArrow(_name(mergers), _NAMED).groupBy("merger").applyInArrow(_meet, _MET)
+    offered = by_part.cogroup(met.groupBy("part")).applyInArrow(_offer(mergers), _OFFERED)
+    answered = offered.groupBy("merger").applyInArrow(_answer, _ANSWERED)
+    sent = by_part.cogroup(answered.groupBy("part")).applyInArrow(_send(mergers), _SENT)
+    stretches = sent.groupBy("merger").applyInArrow(_sort, _ANSWERED)
+    out = by_part.cogroup(answered.union(stretches).groupBy("part")).applyInArrow(_finish(with_kept), _RESULT)
+    return out if with_kept else out.drop("kept")
