@@ -130,7 +130,7 @@ def test_training_result_and_versions(spark, features, tmp_path):
     assert trained.n_anomalies_detected == 15 and trained.anomaly_percentage == 5.0
     assert len(files.children(spark, base)) == 5
     assert an.load_model(spark, trained.model_path).count() > 0
-    with pytest.raises(FileNotFoundError, match="Model not found"):
+    with pytest.raises(FileNotFoundError, match="no finished model"):
         an.load_model(spark, base + "/nothing")
 
 
@@ -146,11 +146,11 @@ def test_persist_round_trip(spark, results, tmp_path):
 
 
 def test_input_errors(spark, features, nodes):
-    with pytest.raises(ValueError, match=r"Missing feature columns: \['unique_users'\]"):
+    with pytest.raises(ValueError, match=r"features \['unique_users'\]"):
         an.score_windows(features.drop("unique_users"), nodes)
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="no feature rows|at least one row"):
         forest.fit(features.filter("false"), list(FEATURES), "window_start")
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="no feature rows|at least one row"):
         validate_features(features.filter("false"))
     with pytest.raises(ValueError, match="window_end"):
         validate_features(features.drop("window_end"))

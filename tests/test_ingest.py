@@ -210,7 +210,7 @@ def test_no_exchange_above_the_text_scan(spark, tmp_path, monkeypatch):
 
 def test_failed_stage_is_recorded(spark, write, base):
     folder = write("a.jsonl", record(1, severity="nope"))  # nothing reaches Silver
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="no feature rows"):
         run_pipeline(spark, folder, base, slow_after=0.0)
     run = read_table(spark, table_path(base, "pipeline_runs"), PIPELINE_RUNS).first()
     assert run["stages_failed"] == "anomalies" and run["slow_stages"].startswith("ingest")

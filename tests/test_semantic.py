@@ -56,10 +56,10 @@ def test_dimensions_only(tables):
 
 def test_unknown_members(tables):
     with pytest.raises(ValueError, match=(
-        "KpiSummary.nonExistentMeasure not found. Available measures: KpiSummary.totalAttacks, KpiSummary.failedLoginRate, "
+        "KpiSummary.medianAge not found. Available measures: KpiSummary.totalAttacks, KpiSummary.failedLoginRate, "
         "KpiSummary.avgMttdMinutes, KpiSummary.avgMttrMinutes, KpiSummary.slaCompliance"
     )):
-        semantic_query(tables, {"measures": ["KpiSummary.nonExistentMeasure"]})
+        semantic_query(tables, {"measures": ["KpiSummary.medianAge"]})
     with pytest.raises(ValueError, match="Available dimensions: KpiSummary.computedAt"):
         semantic_query(tables, {"dimensions": ["KpiSummary.x"]})
     with pytest.raises(ValueError, match="Available cubes: SecurityEvents"):

@@ -92,7 +92,7 @@ def test_incremental_is_strictly_newer(spark):
         {"event_id": "c", "_ingested_at": datetime(2024, 1, 18)},
     )
     got = {r["event_id"]: r["username"] for r in incremental_silver(first, later).collect()}
-    assert got == {"a": "changed", "c": "jo.smith"}
+    assert got == {"a": "changed", "c": "mkaya"}
 
 
 def test_incremental_from_nothing(spark):

@@ -96,7 +96,7 @@ def fit(
     """The node table of a forest; ``key`` must identify a row."""
     n_rows = rows.count() if n_rows is None else n_rows
     if n_rows == 0:
-        raise ValueError("Cannot train on empty feature DataFrame")
+        raise ValueError("a forest needs at least one row")
     size = min(max_samples, n_rows)
     drawn = sample_for_trees(rows, columns, key, n_trees, size, seed, n_rows)
     return drawn.groupBy("tree").applyInPandas(_tree_grower(columns, seed, size), NODE_SCHEMA)

@@ -71,7 +71,7 @@ def _drop_old_models(spark: SparkSession, model_dir: str, keep: int = KEEP_MODEL
 
 def load_model(spark: SparkSession, path: str) -> DataFrame:
     if not files.is_complete(spark, path):
-        raise FileNotFoundError(f"Model not found: {path}")
+        raise FileNotFoundError(f"no finished model at {path}")
     return spark.read.schema(forest.NODE_SCHEMA).parquet(path)
 
 

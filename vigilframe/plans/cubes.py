@@ -38,16 +38,7 @@ class Cube:
     pre_aggregations: dict[str, dict] = field(default_factory=dict)
 
 
-def _dims(text: str) -> dict[str, Dimension]:
-    """``member=column:type`` words; ``!`` marks the primary key."""
-    found = {}
-    for word in text.split():
-        member, rest = word.split("=")
-        column, kind = rest.split(":")
-        found[member] = Dimension(column, kind.rstrip("!"), kind.endswith("!"))
-    return found
-
-
+# Cubes, members, columns and kinds are the interface.
 CUBES: dict[str, Cube] = {
     "SecurityEvents": Cube(
         "silver.silver_events",
@@ -58,14 +49,26 @@ CUBES: dict[str, Cube] = {
             "uniqueIps": Measure("countDistinct", "src_ip"),
             "uniqueUsers": Measure("countDistinct", "username"),
         },
-        _dims(
-            "eventId=event_id:string! eventTime=event_time:time username=username:string srcIp=src_ip:string "
-            "destinationIp=destination_ip:string hostname=hostname:string eventType=event_type:string "
-            "severity=severity:string severityRank=severity_rank:number status=status:string "
-            "country=country:string operatingSystem=operating_system:string department=department:string "
-            "hourOfDay=hour_of_day:number dayOfWeek=day_of_week:number isBusinessHours=is_business_hours:boolean "
-            "isInternalIp=is_internal_ip:boolean isAttackEvent=is_attack_event:boolean"
-        ),
+        {
+            "eventId": Dimension("event_id", "string", primary_key=True),
+            "eventTime": Dimension("event_time", "time"),
+            "username": Dimension("username", "string"),
+            "srcIp": Dimension("src_ip", "string"),
+            "destinationIp": Dimension("destination_ip", "string"),
+            "hostname": Dimension("hostname", "string"),
+            "eventType": Dimension("event_type", "string"),
+            "severity": Dimension("severity", "string"),
+            "severityRank": Dimension("severity_rank", "number"),
+            "status": Dimension("status", "string"),
+            "country": Dimension("country", "string"),
+            "operatingSystem": Dimension("operating_system", "string"),
+            "department": Dimension("department", "string"),
+            "hourOfDay": Dimension("hour_of_day", "number"),
+            "dayOfWeek": Dimension("day_of_week", "number"),
+            "isBusinessHours": Dimension("is_business_hours", "boolean"),
+            "isInternalIp": Dimension("is_internal_ip", "boolean"),
+            "isAttackEvent": Dimension("is_attack_event", "boolean"),
+        },
         {"daily": {"time": "eventTime", "granularity": "day", "partition": "month"}},
     ),
     "KpiSummary": Cube(
@@ -77,7 +80,9 @@ CUBES: dict[str, Cube] = {
             "avgMttrMinutes": Measure("number", "avg_mttr_minutes"),
             "slaCompliance": Measure("number", "sla_compliance"),
         },
-        _dims("computedAt=computed_at:time"),
+        {
+            "computedAt": Dimension("computed_at", "time"),
+        },
     ),
     "AttackVolumeByDay": Cube(
         "gold.attack_volume_by_day",
@@ -85,7 +90,9 @@ CUBES: dict[str, Cube] = {
             "attackCount": Measure("sum", "attack_count"),
             "cumulativeAttackCount": Measure("max", "cumulative_attack_count"),
         },
-        _dims("eventDate=event_date:time"),
+        {
+            "eventDate": Dimension("event_date", "time"),
+        },
         {"daily": {"time": "eventDate", "granularity": "day"}},
     ),
     "AttackVolumeByCountry": Cube(
@@ -94,7 +101,9 @@ CUBES: dict[str, Cube] = {
             "attackCount": Measure("sum", "attack_count"),
             "percentageOfTotal": Measure("number", "percentage_of_total"),
         },
-        _dims("country=country:string"),
+        {
+            "country": Dimension("country", "string"),
+        },
     ),
     "HourlyEventSummary": Cube(
         "gold.hourly_event_summary",
@@ -103,7 +112,10 @@ CUBES: dict[str, Cube] = {
             "uniqueIps": Measure("sum", "unique_ips"),
             "uniqueUsers": Measure("sum", "unique_users"),
         },
-        _dims("eventHour=event_hour:time eventType=event_type:string"),
+        {
+            "eventHour": Dimension("event_hour", "time"),
+            "eventType": Dimension("event_type", "string"),
+        },
         {"hourly": {"time": "eventHour", "granularity": "hour"}},
     ),
     "AnomalyResults": Cube(
@@ -114,9 +126,12 @@ CUBES: dict[str, Cube] = {
             "anomalyCount": Measure("count", where="is_anomaly = TRUE"),
             "totalEventCount": Measure("sum", "total_event_count"),
         },
-        _dims(
-            "windowStart=window_start:time! windowEnd=window_end:time isAnomaly=is_anomaly:boolean "
-            "topContributingFeature=top_contributing_feature:string modelVersion=model_version:string"
-        ),
+        {
+            "windowStart": Dimension("window_start", "time", primary_key=True),
+            "windowEnd": Dimension("window_end", "time"),
+            "isAnomaly": Dimension("is_anomaly", "boolean"),
+            "topContributingFeature": Dimension("top_contributing_feature", "string"),
+            "modelVersion": Dimension("model_version", "string"),
+        },
     ),
 }

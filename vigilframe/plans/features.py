@@ -55,11 +55,11 @@ def check_feature_columns(df: DataFrame, windows: bool = True) -> None:
     """Schema check only; runs no job."""
     missing = sorted(set(FEATURES) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing feature columns: {missing}")
+        raise ValueError(f"no column for the features {missing}")
     if windows:
         for name in ("window_start", "window_end"):
             if name not in df.columns:
-                raise ValueError(f"Missing required column: {name}")
+                raise ValueError(f"no column {name}")
 
 
 def validate_features(df: DataFrame, min_windows: int = 1) -> int:
@@ -68,10 +68,10 @@ def validate_features(df: DataFrame, min_windows: int = 1) -> int:
     bad = [F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c) for c in FEATURES]
     found = df.agg(F.count("*").alias("_rows"), *bad).first()
     if found["_rows"] == 0:
-        raise ValueError("Feature DataFrame is empty")
+        raise ValueError("there are no feature rows")
     with_nan = {c: found[c] for c in FEATURES if found[c]}
     if with_nan:
-        raise ValueError(f"NaN values found in feature columns: {with_nan}")
+        raise ValueError(f"NULL or NaN in the features {with_nan}")
     if found["_rows"] < min_windows:
         raise ValueError(f"{found['_rows']} windows, at least {min_windows} are needed")
     return found["_rows"]

@@ -50,26 +50,12 @@ FEATURES = (
     "events_outside_business_hours_ratio",
 )
 
-_TYPES = {
-    "string": T.StringType(),
-    "time": T.TimestampNTZType(),
-    "date": T.DateType(),
-    "int": T.IntegerType(),
-    "long": T.LongType(),
-    "float": T.FloatType(),
-    "double": T.DoubleType(),
-    "bool": T.BooleanType(),
-}
-
-
-def _contract(text: str) -> T.StructType:
-    """``name:type`` words; a trailing ``?`` marks a nullable column."""
-    fields = []
-    for word in text.split():
-        name, kind = word.split(":")
-        fields.append(T.StructField(name, _TYPES[kind.rstrip("?")], kind.endswith("?")))
-    return T.StructType(fields)
+# Types of the tables' columns.
+STRING, INT, LONG = T.StringType(), T.IntegerType(), T.LongType()
+FLOAT, DOUBLE, BOOL = T.FloatType(), T.DoubleType(), T.BooleanType()
+TIME, DATE = T.TimestampNTZType(), T.DateType()
 
+# Names, order, types and nullability of the fields below are the interface.
 
 # The 14 fields of a raw record, in record order.
 SOURCE_FIELDS = (
@@ -81,53 +67,121 @@ SOURCE_FIELDS = (
 # Bronze keeps the text of every field (a bad time is rejected later, by Silver),
 # so its three time fields are strings; nothing but the three required fields has
 # been checked yet.
-BRONZE = _contract(
-    "event_id:string event_time:string username:string? src_ip:string? destination_ip:string? "
-    "hostname:string? event_type:string severity:string? status:string? country:string? "
-    "operating_system:string? department:string? detection_time:string? resolution_time:string? "
-    "_ingested_at:time _source_file:string _batch_id:string"
-)
+BRONZE = T.StructType([
+    T.StructField("event_id", STRING, False),
+    T.StructField("event_time", STRING, False),
+    T.StructField("username", STRING, True),
+    T.StructField("src_ip", STRING, True),
+    T.StructField("destination_ip", STRING, True),
+    T.StructField("hostname", STRING, True),
+    T.StructField("event_type", STRING, False),
+    T.StructField("severity", STRING, True),
+    T.StructField("status", STRING, True),
+    T.StructField("country", STRING, True),
+    T.StructField("operating_system", STRING, True),
+    T.StructField("department", STRING, True),
+    T.StructField("detection_time", STRING, True),
+    T.StructField("resolution_time", STRING, True),
+    T.StructField("_ingested_at", TIME, False),
+    T.StructField("_source_file", STRING, False),
+    T.StructField("_batch_id", STRING, False),
+])
 
-DEAD_LETTER = _contract(
-    "event_id:string? raw_record:string error_reason:string rejected_at:time "
-    "_source_file:string _batch_id:string"
-)
+DEAD_LETTER = T.StructType([
+    T.StructField("event_id", STRING, True),
+    T.StructField("raw_record", STRING, False),
+    T.StructField("error_reason", STRING, False),
+    T.StructField("rejected_at", TIME, False),
+    T.StructField("_source_file", STRING, False),
+    T.StructField("_batch_id", STRING, False),
+])
 
-SILVER = _contract(
-    "event_id:string event_time:time detection_time:time? resolution_time:time? username:string "
-    "src_ip:string destination_ip:string? hostname:string event_type:string severity:string "
-    "severity_rank:int status:string country:string operating_system:string department:string "
-    "hour_of_day:int day_of_week:int is_business_hours:bool is_internal_ip:bool "
-    "is_attack_event:bool _ingested_at:time _source_file:string _batch_id:string"
-)
+SILVER = T.StructType([
+    T.StructField("event_id", STRING, False),
+    T.StructField("event_time", TIME, False),
+    T.StructField("detection_time", TIME, True),
+    T.StructField("resolution_time", TIME, True),
+    T.StructField("username", STRING, False),
+    T.StructField("src_ip", STRING, False),
+    T.StructField("destination_ip", STRING, True),
+    T.StructField("hostname", STRING, False),
+    T.StructField("event_type", STRING, False),
+    T.StructField("severity", STRING, False),
+    T.StructField("severity_rank", INT, False),
+    T.StructField("status", STRING, False),
+    T.StructField("country", STRING, False),
+    T.StructField("operating_system", STRING, False),
+    T.StructField("department", STRING, False),
+    T.StructField("hour_of_day", INT, False),
+    T.StructField("day_of_week", INT, False),
+    T.StructField("is_business_hours", BOOL, False),
+    T.StructField("is_internal_ip", BOOL, False),
+    T.StructField("is_attack_event", BOOL, False),
+    T.StructField("_ingested_at", TIME, False),
+    T.StructField("_source_file", STRING, False),
+    T.StructField("_batch_id", STRING, False),
+])
 
-KPI_SUMMARY = _contract(
-    "total_attacks:long failed_login_rate:float? avg_mttd_minutes:double? "
-    "avg_mttr_minutes:double? sla_compliance:float? computed_at:time"
-)
-ATTACK_VOLUME_BY_DAY = _contract("event_date:date attack_count:long cumulative_attack_count:long")
-ATTACK_VOLUME_BY_COUNTRY = _contract("country:string attack_count:long percentage_of_total:float")
-HOURLY_EVENT_SUMMARY = _contract(
-    "event_hour:time event_type:string event_count:long unique_ips:long unique_users:long"
-)
-ANOMALY_RESULTS = _contract(
-    "window_start:time window_end:time anomaly_score:double is_anomaly:bool "
-    "top_contributing_feature:string "
-    "total_event_count:long unique_src_ips:long unique_users:long failed_login_count:long "
-    "failed_login_ratio:float attack_event_count:long avg_severity_rank:double "
-    "critical_event_count:long unique_countries:long events_outside_business_hours_ratio:float "
-    "model_version:string"
-)
+KPI_SUMMARY = T.StructType([
+    T.StructField("total_attacks", LONG, False),
+    T.StructField("failed_login_rate", FLOAT, True),
+    T.StructField("avg_mttd_minutes", DOUBLE, True),
+    T.StructField("avg_mttr_minutes", DOUBLE, True),
+    T.StructField("sla_compliance", FLOAT, True),
+    T.StructField("computed_at", TIME, False),
+])
+ATTACK_VOLUME_BY_DAY = T.StructType([
+    T.StructField("event_date", DATE, False),
+    T.StructField("attack_count", LONG, False),
+    T.StructField("cumulative_attack_count", LONG, False),
+])
+ATTACK_VOLUME_BY_COUNTRY = T.StructType([
+    T.StructField("country", STRING, False),
+    T.StructField("attack_count", LONG, False),
+    T.StructField("percentage_of_total", FLOAT, False),
+])
+HOURLY_EVENT_SUMMARY = T.StructType([
+    T.StructField("event_hour", TIME, False),
+    T.StructField("event_type", STRING, False),
+    T.StructField("event_count", LONG, False),
+    T.StructField("unique_ips", LONG, False),
+    T.StructField("unique_users", LONG, False),
+])
+ANOMALY_RESULTS = T.StructType([
+    T.StructField("window_start", TIME, False),
+    T.StructField("window_end", TIME, False),
+    T.StructField("anomaly_score", DOUBLE, False),
+    T.StructField("is_anomaly", BOOL, False),
+    T.StructField("top_contributing_feature", STRING, False),
+    T.StructField("total_event_count", LONG, False),
+    T.StructField("unique_src_ips", LONG, False),
+    T.StructField("unique_users", LONG, False),
+    T.StructField("failed_login_count", LONG, False),
+    T.StructField("failed_login_ratio", FLOAT, False),
+    T.StructField("attack_event_count", LONG, False),
+    T.StructField("avg_severity_rank", DOUBLE, False),
+    T.StructField("critical_event_count", LONG, False),
+    T.StructField("unique_countries", LONG, False),
+    T.StructField("events_outside_business_hours_ratio", FLOAT, False),
+    T.StructField("model_version", STRING, False),
+])
 # The seven columns consumers are promised.
 ANOMALY_VIEW = (
     "window_start", "window_end", "anomaly_score", "is_anomaly", "total_event_count",
     "top_contributing_feature", "model_version",
 )
-PIPELINE_RUNS = _contract(
-    "run_id:string start_time:time end_time:time duration_seconds:double "
-    "stages_completed:string stages_failed:string? records_ingested:long "
-    "records_transformed:long records_rejected:long slow_stages:string?"
-)
+PIPELINE_RUNS = T.StructType([
+    T.StructField("run_id", STRING, False),
+    T.StructField("start_time", TIME, False),
+    T.StructField("end_time", TIME, False),
+    T.StructField("duration_seconds", DOUBLE, False),
+    T.StructField("stages_completed", STRING, False),
+    T.StructField("stages_failed", STRING, True),
+    T.StructField("records_ingested", LONG, False),
+    T.StructField("records_transformed", LONG, False),
+    T.StructField("records_rejected", LONG, False),
+    T.StructField("slow_stages", STRING, True),
+])
 
 TABLES = {
     "bronze.security_events": BRONZE,
