@@ -17,7 +17,7 @@ _BRONZE = {
     "event_id": "e1", "event_time": "2024-01-15T09:10:11Z", "username": "MKaya", "src_ip": "10.20.30.40",
     "destination_ip": None, "hostname": "lab-7", "event_type": "vpn_login", "severity": "medium",
     "status": "success", "country": "BR", "operating_system": "Fedora 40", "department": "Research",
-    "detection_time": None, "resolution_time": None, "_ingested_at": datetime(2024, 1, 17), "_source_file": "day.jsonl",
+    "detection_time": None, "resolution_time": None, "_ingested_at": datetime(2024, 1, 16), "_source_file": "day.jsonl",
     "_batch_id": "batch_20240117_001_0a1b2c3d",
 }
 
