@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vigilframe.llm.boosting import cross_fit
-from vigilframe.llm.common import bytes_of, slices
+from vigilframe.llm.common import bytes_of, slices, small_batches
 from vigilframe.session import settle
 
 SAMPLE = 20_000
@@ -32,8 +32,8 @@ FOLDS = 3
 LEXICON = 3000
 """Most entries of the lexicon, the most telling ones."""
 NEAR = 5
-SLICE = 4 << 20
-REMEMBERED = 300_000
+SLICE = 2 << 20
+REMEMBERED = 150_000
 
 SECOND_PERSON = frozenset(
     "you your yours yourself yourselves u ur tu te toi ton ta tes vous votre vos tú ti usted ustedes su du dich dir "
@@ -89,9 +89,9 @@ class Words:
         self.lexicon, self.strong = lexicon, np.log(50.0)
         self._forget()
 
-    def _forget(self) -> None:
+    def _forget(self, room: int = 0) -> None:
         self.known: dict[str, int] = {}
-        self.rows: list[tuple[float, ...]] = []
+        self.rows = np.zeros((max(room, REMEMBERED), len(_SUMS)), np.float32)
 
     def _describe(self, token: str) -> tuple[float, ...]:
         word = core(token)
@@ -107,14 +107,13 @@ class Words:
     def features(self, texts: list[str]) -> np.ndarray:
         split = [_words(x) for x in texts]
         fresh = set().union(*split) - self.known.keys()
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self._forget()
+        if len(self.known) + len(fresh) > len(self.rows):
             fresh = set().union(*split)
+            self._forget(len(fresh))
         for token in fresh:
-            self.known[token] = len(self.rows)
-            self.rows.append(self._describe(token))
-        known, lengths = self.known, np.array([len(x) for x in split], np.int64)
-        of_word = np.array(self.rows, np.float32).reshape(len(self.rows), len(_SUMS))
+            self.rows[len(self.known)] = self._describe(token)
+            self.known[token] = len(self.known)
+        known, of_word, lengths = self.known, self.rows, np.array([len(x) for x in split], np.int64)
         out = np.zeros((len(texts), FEATURES))
         total = int(lengths.sum())
         ids = np.fromiter((known[t] for words in split for t in words), np.int64, total)
@@ -182,7 +181,7 @@ class Scorer:
 
 def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: int = SAMPLE, folds: int = FOLDS) -> Scorer:
     """Learn from rows of ``labels`` (doc_id, toxic) for which ``may_learn``, an expression of doc_id, holds."""
-    key = F.xxhash64("doc_id")
+    key, docs = F.xxhash64("doc_id"), small_batches(docs)
     chosen = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & may_learn)
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
@@ -219,5 +218,5 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: int = SAM
 
 def score(docs: DataFrame, model: Scorer) -> DataFrame:
     """doc_id and score, from 0 to 1, of every row."""
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    read = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return read.mapInArrow(model.run, "doc_id long, score double")
