@@ -84,6 +84,10 @@ def _tree_grower(columns: list[str], seed: int, sample_size: int):
     return grow
 
 
+MOST_SAMPLED = 2_000_000
+"""Trees times rows of a tree."""
+
+
 def fit(
     rows: DataFrame,
     columns: list[str],
@@ -93,7 +97,12 @@ def fit(
     seed: int = 42,
     n_rows: int | None = None,
 ) -> DataFrame:
-    """The node table of a forest; ``key`` must identify a row."""
+    """The node table of a forest; ``key`` must identify a row.
+
+    Trees times sampled rows is bounded, as scoring ships the whole forest to every task.
+    """
+    if n_trees * max_samples > MOST_SAMPLED:
+        raise ValueError(f"{n_trees} trees of {max_samples} rows; their product may be {MOST_SAMPLED} at most")
     n_rows = rows.count() if n_rows is None else n_rows
     if n_rows == 0:
         raise ValueError("a forest needs at least one row")
@@ -102,18 +111,18 @@ def fit(
     return drawn.groupBy("tree").applyInPandas(_tree_grower(columns, seed, size), NODE_SCHEMA)
 
 
-def _forest_arrays(nodes: DataFrame, n_trees_limit: int = 10_000) -> dict:
+def _forest_arrays(nodes: DataFrame) -> dict:
     """The forest as flat arrays with global node numbers.
 
-    A tree over s sampled rows has fewer than 2s nodes, so the size is bounded by the
-    parameters of the fit, whatever the size of the data.
+    A tree over s sampled rows has fewer than 2s nodes of about 50 bytes, so a forest takes
+    at most about 200 MB, whatever the size of the data.
     """
     size = nodes.agg(
         F.countDistinct("tree").alias("t"), F.countDistinct("tree", "node").alias("d"),
         F.count("*").alias("n"), F.max("sample_size").alias("s"),
     ).first()
     bound = 2 * size["t"] * max(size["s"] or 0, 1)
-    if not 0 < size["t"] <= n_trees_limit or size["n"] != size["d"] or size["n"] >= bound:
+    if not 0 < bound <= 2 * MOST_SAMPLED or size["n"] != size["d"] or size["n"] >= bound:
         raise ValueError(f"not a forest: {size['n']} nodes in {size['t']} trees of {size['s']} rows")
     pdf = nodes.toPandas().sort_values(["tree", "node"])
     starts = pdf["node"].to_numpy() == 0
