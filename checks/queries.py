@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from vigilframe.functions import events as ev
 from vigilframe.operators import dedup, detect, evaluate, forest, quality, validate
@@ -83,7 +84,10 @@ def _merge_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def incremental() -> dict[str, Query]:
-    return {"silver_incremental": _silver_incremental, "merge_upsert": _merge_upsert}
+    return {
+        "silver_incremental": _silver_incremental, "merge_upsert": _merge_upsert,
+        "merge_older_last": _merge_older_last, "incremental_ingest": _incremental_ingest,
+    }
 
 
 def _lockouts(rows: DataFrame) -> DataFrame:
@@ -195,9 +199,36 @@ def _forest_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
     return rows, nodes
 
 
+def _walked(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """window_start and raw score by another way: rows walk the trees by joins with the node table."""
+    size = nodes.agg(F.max("sample_size")).first()[0]
+    trees = nodes.select("tree").distinct().count()
+    usual = 2.0 * (math.log(size - 1.0) + 0.5772156649015329) - 2.0 * (size - 1.0) / size
+    steps = nodes.select("tree", "node", "feature", "threshold", "left", "right", "path_length")
+    at = rows.select(
+        "window_start", F.array(*[F.col(c).cast("double") for c in contracts.FEATURES]).alias("v"),
+        F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(0).alias("node"))
+    leaf = F.col("feature") < 0
+    for _ in range(math.ceil(math.log2(max(size, 2)))):
+        goes_left = F.element_at("v", F.greatest(F.col("feature"), F.lit(0)) + 1) <= F.col("threshold")
+        at = at.join(steps, ["tree", "node"]).select(
+            "window_start", "v", "tree", F.when(leaf, F.col("node")).when(goes_left, F.col("left")).otherwise(F.col("right")).alias("node"))
+    return at.join(steps, ["tree", "node"]).groupBy("window_start").agg((-F.pow(F.lit(2.0), -F.avg("path_length") / usual)).alias("walked"))
+
+
+def _near(a, b) -> Column:
+    return F.abs(a - b) < 1e-9
+
+
 def _iforest_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Every window, and whether its score and flag are those of the second way."""
     rows, nodes = _forest_parts(spark, folder)
-    return anomalies.score_windows(rows, nodes)
+    walked = settle(_walked(rows, nodes), "walked")
+    low, high = walked.agg(F.min("walked"), F.max("walked")).first()
+    again = (F.col("walked") - low) * 2.0 / (high - low) - 1.0
+    return anomalies.score_windows(rows, nodes).join(walked, "window_start").select(
+        "window_start", "total_event_count", _near(F.col("anomaly_score"), again).alias("score_agrees"),
+        (F.col("is_anomaly") == (again < -0.5)).alias("flag_agrees"))
 
 
 def _contributions(spark: SparkSession, folder: str) -> DataFrame:
@@ -205,9 +236,26 @@ def _contributions(spark: SparkSession, folder: str) -> DataFrame:
     return anomalies.predict_anomalies(rows, nodes)
 
 
+def _contributions_named(spark: SparkSession, folder: str) -> DataFrame:
+    """Every window with its features, and whether a feature is named exactly where the window is flagged."""
+    why = F.col("top_contributing_feature")
+    return _rounded(_contributions(spark, folder), "avg_severity_rank").select(
+        "window_start", "window_end", *contracts.FEATURES,
+        F.when(F.col("is_anomaly"), why.isin(*contracts.FEATURES)).otherwise(why == "none").alias("named_where_flagged"))
+
+
 def _top_contributors(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether each flagged window, and no other, has three different features, the first being the one named for it."""
     rows, nodes = _forest_parts(spark, folder)
-    return anomalies.top_contributors(anomalies.score_windows(rows, nodes), nodes)
+    scorer = anomalies.scorer_of(nodes)
+    scored = settle(anomalies.score_windows(rows, scorer), "scored")
+    named = anomalies.predict_anomalies(rows, scorer).filter("is_anomaly").select("window_start", "top_contributing_feature")
+    top = anomalies.top_contributors(scored, scorer)
+    both = named.join(top, "window_start", "full_outer")
+    return both.agg(
+        (F.count("*") > 0).alias("some"),
+        F.bool_and(F.coalesce(F.size(F.array_distinct("top_features")) == 3, F.lit(False))).alias("three_each"),
+        F.bool_and(F.coalesce(F.element_at("top_features", 1) == F.col("top_contributing_feature"), F.lit(False))).alias("first_is_named"))
 
 
 def _forest_invariants(spark: SparkSession, folder: str) -> DataFrame:
@@ -226,13 +274,29 @@ def _forest_invariants(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _anomaly_timeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Every hour, and whether its score on the chart is that of the second way."""
     rows, nodes = _forest_parts(spark, folder)
-    return gold.anomaly_timeline(anomalies.score_windows(rows, nodes))
+    walked = settle(_walked(rows, nodes), "walked")
+    low, high = walked.agg(F.min("walked"), F.max("walked")).first()
+    chart = gold.anomaly_timeline(anomalies.score_windows(rows, nodes))
+    return chart.join(walked, chart["bucket"] == walked["window_start"], "full_outer").select(
+        F.coalesce("bucket", "window_start").alias("bucket"),
+        F.coalesce(_near(F.col("anomaly_score"), (F.col("walked") - low) * 2.0 / (high - low) - 1.0), F.lit(False)).alias("score_agrees"))
 
 
 def _training_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """The number of windows, and whether the cut is the one that sorted scores of the second way give."""
     rows, nodes = _forest_parts(spark, folder)
-    return forest.contamination_cut(forest.Scorer(nodes, list(contracts.FEATURES)).add(rows), 0.05)
+    cut = forest.contamination_cut(forest.Scorer(nodes, list(contracts.FEATURES)).add(rows), 0.05)
+    scores = settle(_walked(rows, nodes), "walked")
+    n = scores.count()
+    at = 0.05 * (n - 1)
+    nth = F.row_number().over(Window.orderBy("walked")) - 1
+    low, high = (r[0] for r in scores.withColumn("nth", nth).where(F.col("nth").isin(int(at), int(at) + 1)).orderBy("nth").select("walked").collect())
+    below = scores.where(F.col("walked") < low + (at - int(at)) * (high - low) - 1e-12).count()
+    return cut.select(
+        "n_samples", (F.col("n_anomalies") == below).alias("cut_agrees"),
+        (F.abs(F.col("anomaly_percentage") - below / n * 100) <= 0.005001).alias("percentage_agrees"))
 
 
 def _summary_of_flags(rows: DataFrame) -> DataFrame:
@@ -248,7 +312,7 @@ def models() -> dict[str, Query]:
         "anomaly_summary": _on_silver(_summary_of_flags),
         "iforest_scores": _iforest_scores,
         "iforest_training_cut": _training_cut,
-        "anomaly_contributions": _contributions,
+        "anomaly_contributions": _contributions_named,
         "anomaly_top_features": _top_contributors,
         "anomaly_timeline": _anomaly_timeline,
         "iforest_invariants": _forest_invariants,
@@ -350,22 +414,46 @@ def _stored_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return rollups.query_rollup(rollups.read_rollup(spark, path))
 
 
-def _rollup_error(spark: SparkSession, folder: str) -> DataFrame:
-    """Monthly totals from the stored daily rollup; estimates as "within 3 % of exact"."""
-    exact = silver(spark, folder).groupBy(F.to_date(F.trunc("event_time", "month")).alias("month")).agg(
-        F.countDistinct("src_ip").alias("ips"), F.countDistinct("username").alias("users")
-    )
+def _is_near(estimate: str, true: str) -> Column:
+    """Within 3 %, or by one."""
+    return F.abs(F.col(estimate) - F.col(true)) <= F.greatest(F.col(true) * 0.03, F.lit(1))
+
 
-    def near(estimate: str, true: str):
-        return F.abs(F.col(estimate) - F.col(true)) <= F.col(true) * 0.03
+def _exact(rows: DataFrame, period: Column, name: str, **extra: str) -> DataFrame:
+    wanted = {"ips": "src_ip", "users": "username"} | extra
+    return rows.groupBy(period.alias(name)).agg(*[F.countDistinct(c).alias(n) for n, c in wanted.items()])
 
+
+def _rollup_error(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly totals from the stored daily rollup; estimates as "near the exact count"."""
+    exact = _exact(silver(spark, folder), F.to_date(F.trunc("event_time", "month")), "month")
     return _stored_rollup(spark, folder).join(exact, "month").select(
         "month", "event_count", "attack_count", "failed_login_count",
-        near("approx_unique_ips", "ips").alias("ips_are_near"),
-        near("approx_unique_users", "users").alias("users_are_near"),
+        _is_near("approx_unique_ips", "ips").alias("ips_are_near"),
+        _is_near("approx_unique_users", "users").alias("users_are_near"),
+    )
+
+
+def _daily_rollup_error(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by day, as stored."""
+    path = work_path(spark, "rollup")
+    rollups.write_rollup(silver(spark, folder), path)
+    days = rollups.query_rollup(rollups.read_rollup(spark, path), ("period",))
+    return days.join(_exact(silver(spark, folder), F.date_trunc("day", "event_time").cast("timestamp_ntz"), "period"), "period").select(
+        "period", "event_count", "attack_count", "failed_login_count",
+        _is_near("approx_unique_ips", "ips").alias("ips_are_near"),
+        _is_near("approx_unique_users", "users").alias("users_are_near"),
     )
 
 
+def _preagg_distinct(spark: SparkSession, folder: str) -> DataFrame:
+    """Weekly distinct counts from the stored pre-aggregate, as "near the exact count"."""
+    weeks = _stored_pre_aggregate("SecurityEvents", "daily", ["uniqueIps", "uniqueUsers"], "week")(spark, folder)
+    exact = _exact(silver(spark, folder), F.date_trunc("week", "event_time").cast("timestamp_ntz"), "period")
+    return weeks.join(exact, "period").select(
+        "period", _is_near("uniqueIps", "ips").alias("ips_are_near"), _is_near("uniqueUsers", "users").alias("users_are_near"))
+
+
 def _stored_pre_aggregate(cube: str, name: str, measures: list[str], granularity: str) -> Query:
     """Store a cube's rollup, then answer a coarser question from it."""
 
@@ -386,7 +474,7 @@ def semantic() -> dict[str, Query]:
         "dashboard_filters": _on_silver(_dashboard),
         "calendar_filters": _on_silver(_calendar),
         "rollup_daily": _on_silver(_rollup),
-        "approx_daily_rollup": _stored_rollup,
+        "approx_daily_rollup": _daily_rollup_error,
         "rollup_monthly": _rollup_error,
         "preagg_attack_volume": _stored_pre_aggregate(
             "AttackVolumeByDay", "daily", ["attackCount", "cumulativeAttackCount"], "week"),
@@ -394,8 +482,7 @@ def semantic() -> dict[str, Query]:
             "HourlyEventSummary", "hourly", ["eventCount", "uniqueIps", "uniqueUsers"], "day"),
         "preagg_security_events": _stored_pre_aggregate(
             "SecurityEvents", "daily", ["count", "attackCount", "failedLoginCount"], "month"),
-        "preagg_security_distinct": _stored_pre_aggregate(
-            "SecurityEvents", "daily", ["uniqueIps", "uniqueUsers"], "week"),
+        "preagg_security_distinct": _preagg_distinct,
     }
 
 
@@ -490,13 +577,83 @@ def _stream_late(spark: SparkSession, folder: str) -> DataFrame:
     return kept.unionByName(spark.read.parquet(f"{path}/late").select("event_id", F.lit("late").alias("outcome")))
 
 
+def _stream_hourly(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly rows of the stream; estimates as "near the exact count"."""
+    got = _stream_upsert(windows.hourly_stream, ["event_hour", "event_type"], "stream-hourly", day_of="event_hour")(spark, folder)
+    exact = stream.stream_clean(bronze(spark, folder)).groupBy(
+        F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias("event_hour"), "event_type").agg(
+        F.countDistinct("src_ip").alias("ips"), F.countDistinct("username").alias("users"))
+    return got.join(exact, ["event_hour", "event_type"]).select(
+        "event_hour", "event_type", "event_count",
+        _is_near("approx_unique_ips", "ips").alias("ips_are_near"), _is_near("approx_unique_users", "users").alias("users_are_near"))
+
+
+def _stream_features(spark: SparkSession, folder: str) -> DataFrame:
+    got = _stream_upsert(windows.feature_stream, ["window_start"], "stream-features", day_of="window_start")(spark, folder)
+    hour = F.date_trunc("hour", "event_time").cast("timestamp_ntz")
+    exact = _exact(stream.stream_clean(bronze(spark, folder)), hour, "window_start", countries="country")
+    return got.join(exact, "window_start").select(
+        "window_start", "total_event_count", "attack_event_count",
+        _is_near("unique_src_ips", "ips").alias("ips_are_near"), _is_near("unique_users", "users").alias("users_are_near"),
+        _is_near("unique_countries", "countries").alias("countries_are_near"))
+
+
+def _full_lines(spark: SparkSession, folder: str, path: str, files: int, mode: str = "append", where: str = "true") -> None:
+    """Whole records, all 14 fields, as files of lines."""
+    chosen = bridge.read_events(use_utc(spark), folder).where(where)
+    bridge.raw_records(chosen).repartition(files).write.mode(mode).text(path)
+
+
+def _stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """All records through the ingest stream, a file per micro-batch, stopped and started once: Bronze."""
+    path = work_path(spark, "stream-ingest")
+    for _ in range(2):
+        _full_lines(spark, folder, f"{path}/raw", 2, where="event_id % 2 = " + str(_))
+        lines = stream.stream_lines(spark, f"{path}/raw", max_files=1, pattern="*.txt")
+        sinks.ingest_stream(lines, f"{path}/base", f"{path}/check").awaitTermination()
+    return tables.read_table(spark, tables.table_path(f"{path}/base", "bronze.security_events"), contracts.BRONZE).select(
+        *contracts.SOURCE_FIELDS, F.col("_batch_id").rlike("^batch_[0-9]{8}_00[1-4]_[0-9a-f]{8}$").alias("batch_is_named"))
+
+
+def _stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
+    """Broken lines through the ingest stream, a file per micro-batch: dead letters."""
+    path = work_path(spark, "stream-dead")
+    bridge.raw_json_lines(bridge.read_events(use_utc(spark), folder)).repartition(3).write.text(f"{path}/raw")
+    lines = stream.stream_lines(spark, f"{path}/raw", max_files=1, pattern="*.txt")
+    sinks.ingest_stream(lines, f"{path}/base", f"{path}/check").awaitTermination()
+    stored = tables.read_table(spark, tables.table_path(f"{path}/base", "bronze.dead_letter_events"), contracts.DEAD_LETTER)
+    return stored.select("event_id", "raw_record", "error_reason")
+
+
+def _incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs over a folder that grows: each takes its new files only, as the ingest times show."""
+    path = work_path(spark, "incremental")
+    for day in (1, 2, 3):
+        if day < 3:
+            _full_lines(spark, folder, f"{path}/raw", 2, where=f"event_id % 2 = {day - 1}")
+        ingest.ingest(spark, f"{path}/raw", f"{path}/base", now=datetime(2024, 2, day), pattern="*.txt", only_new=True)
+    return tables.read_table(spark, tables.table_path(f"{path}/base", "bronze.security_events"), contracts.BRONZE).select(
+        *contracts.SOURCE_FIELDS, "_ingested_at")
+
+
+def _merge_older_last(spark: SparkSession, folder: str) -> DataFrame:
+    """Second versions are merged first, first versions last: the newest of each event stays."""
+    rows, path = bronze(spark, folder), work_path(spark, "older-last")
+    for version in ("_002", "_001"):
+        part = rows.filter(F.col("_batch_id").endswith(version)).withColumn("day", F.to_date("_ingested_at"))
+        tables.write_table(part, path, "merge", ["event_id"], dedup.newest_first(rows), partition="day")
+    return tables.scan(spark, path).select(*rows.columns)
+
+
 def streams() -> dict[str, Query]:
     return {
-        "stream_hourly": _stream_upsert(windows.hourly_stream, ["event_hour", "event_type"], "stream-hourly"),
+        "stream_hourly": _stream_hourly,
+        "stream_ingest": _stream_ingest,
+        "stream_dead_letters": _stream_dead_letters,
         "stream_hourly_counts": _stream_upsert(
             lambda r: windows.hourly_stream(r).drop("approx_unique_ips", "approx_unique_users"),
             ["event_hour", "event_type"], "stream-counts", day_of="event_hour"),
-        "stream_features": _stream_upsert(windows.feature_stream, ["window_start"], "stream-features"),
+        "stream_features": _stream_features,
         "stream_features_exact": _stream_upsert(
             lambda r: windows.feature_stream(r).drop("unique_src_ips", "unique_users", "unique_countries")
             .withColumn("avg_severity_rank", F.round("avg_severity_rank", 6)),

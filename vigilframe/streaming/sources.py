@@ -9,9 +9,9 @@ from vigilframe.plans.silver import accept, enrich
 from vigilframe.session import use_utc
 
 
-def stream_lines(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """New ``*.jsonl`` files of ``folder`` as they appear; the checkpoint remembers the read ones."""
-    reader = use_utc(spark).readStream.option("pathGlobFilter", "*.jsonl")
+def stream_lines(spark: SparkSession, folder: str, max_files: int | None = None, pattern: str = "*.jsonl") -> DataFrame:
+    """New matching files of ``folder`` as they appear; the checkpoint remembers the read ones."""
+    reader = use_utc(spark).readStream.option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.text(folder).select(
