@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from vigilframe.llm.common import bytes_of, slices
+from vigilframe.llm.common import bytes_of, slices, small_batches
 from vigilframe.session import settle
 
 PRIMES = (2147483647, 2147483629)
@@ -130,7 +130,7 @@ def digests(docs: DataFrame, row: str | None = None) -> DataFrame:
 
     ``row`` names a column that numbers the rows; without one they are numbered here.
     """
-    read = docs.select(
+    read = small_batches(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
         F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), F.col("text").cast("string").alias("text"))
     return read.mapInArrow(

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from vigilframe.llm.boosting import cross_fit
-from vigilframe.llm.common import bytes_of, slices
+from vigilframe.llm.common import bytes_of, slices, small_batches
 from vigilframe.session import settle
 
 KINDS = ("email", "ip", "card", "phone")
@@ -36,7 +36,7 @@ PER_DOCUMENT = 50
 """Candidates of one sampled document that a fit looks at, spread over its whole text."""
 THRESHOLD = 0.98
 FOLDS = 3
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -158,7 +158,7 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, sample: int = SAMPLE):
     """Trees and curve from the candidates of a bounded sample; None if there are none."""
-    key = F.xxhash64("doc_id", "text")
+    key, docs = F.xxhash64("doc_id", "text"), small_batches(docs)
     some = docs.where(F.col("text").rlike("[0-9@]|[\\[(] ?at ?[\\])]")).select(key.alias("key"))
     chosen = settle(some.distinct().orderBy("key").limit(sample), "pii-sample")
     texts = docs.select(key.alias("key"), "text").join(F.broadcast(chosen), "key").dropDuplicates(["key"])
@@ -218,7 +218,7 @@ def written(found: dict[str, list[Span]]) -> str:
 
 def find(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, base counts by kind, base_sha256 and spans of every row."""
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    read = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return read.mapInArrow(Finder(model, threshold).run, "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string")
 
 
