@@ -25,14 +25,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vigilframe.llm.common import bytes_of, ranges, slices
+from vigilframe.llm.common import bytes_of, ranges, slices, small_batches
 from vigilframe.session import settle
 
 SAMPLE = 24_000
 EXCERPT = 400
 CELLS = 16_000_000
 BLOCK = 1024
-SLICE = 4 << 20
+SLICE = 2 << 20
 UNKNOWN = "und"
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -87,19 +87,21 @@ class Parser:
         seen = sorted(set().union(*texts.values())) if texts else []
         self.classes = np.zeros(256, np.int32)
         self.classes[seen] = np.arange(1, len(seen) + 1)
-        width, tables, self.roots, first = len(seen) + 1, [], [], 0
+        width, tables, self.starts, first = len(seen) + 1, [], [], 0
         for name in self.names:
             steps = suffix_automaton(texts[name])
-            of_root = np.full(width, 2 * first * width + 1, np.int64)
+            # Behind a byte that the language doesn't know, as at the start, whatever comes begins a phrase.
+            lost = first + len(steps)
+            of_lost = np.full(width, 2 * lost * width + 1, np.int64)
             for c, to in steps[0].items():
-                of_root[self.classes[c]] = 2 * (first + to) * width + 1
-            rows = np.tile(of_root, (len(steps), 1))
+                of_lost[self.classes[c]] = 2 * (first + to) * width + 1
+            rows = np.tile(of_lost, (len(steps) + 1, 1))
             for state, step in enumerate(steps):
                 for c, to in step.items():
                     rows[state, self.classes[c]] = 2 * (first + to) * width
             tables.append(rows.ravel())
-            self.roots.append(first * width)
-            first += len(steps)
+            self.starts.append(lost * width)
+            first = lost + 1
         self.steps = np.concatenate(tables).astype(np.int32) if tables else np.zeros(0, np.int32)
 
     def phrases(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -117,9 +119,8 @@ class Parser:
         starts, of, sizes = starts[order], of[order], sizes[order]
         classes = self.classes[folded(data)]
         alive = np.searchsorted(-sizes, -np.arange(BLOCK), "left")
-        roots = np.array(self.roots, np.int32)[:, None]
-        state = np.repeat(roots, len(starts), 1)
-        count = np.ones(state.shape, np.int32)
+        state = np.repeat(np.array(self.starts, np.int32)[:, None], len(starts), 1)
+        count = np.zeros(state.shape, np.int32)
         for t in range(int(sizes[0])):
             n = alive[t]
             moved = self.steps[state[:, :n] + classes[starts[:n] + t]]
@@ -170,7 +171,7 @@ def fit(docs: DataFrame, may_learn: Column, sample: int = SAMPLE, cells: int = C
 def identify(docs: DataFrame, parser: Parser) -> DataFrame:
     """doc_id, lang_pred and score, from 0 to 1, of every row."""
     text = F.col("text").cast("string")
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
+    read = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
     return read.mapInArrow(parser.run, "doc_id long, lang_pred string, score double")
 
 
@@ -189,4 +190,4 @@ def keep_identified(docs: DataFrame, parser: Parser) -> DataFrame:
             yield batch.select(columns).filter(lettered)
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.withColumn("_lang_lettered", lettered).mapInArrow(keep, docs.schema)
+    return small_batches(docs).withColumn("_lang_lettered", lettered).mapInArrow(keep, docs.schema)
