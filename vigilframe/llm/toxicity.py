@@ -38,6 +38,7 @@ REMEMBERED = 150_000
 SECOND_PERSON = frozenset(
     "you your yours yourself yourselves u ur tu te toi ton ta tes vous votre vos tú ti usted ustedes su du dich dir "
     "dein deine ihr euch euer sie".split())
+_MARKS = ".,;:!?\"'()[]{}<>*#%&|-_/=+"
 _LOOKS_LIKE = str.maketrans("013457@$", "oieastas")
 
 
@@ -46,7 +47,7 @@ def core(token: str) -> str:
     low = token.lower()
     if low.isalpha():
         return low
-    low = low.strip(".,;:!?\"'()[]{}<>*#%&|-_/=+")
+    low = low.strip(_MARKS)
     if not low.isalpha() and any(c.isalpha() for c in low):
         low = "".join(c for c in low.translate(_LOOKS_LIKE) if c.isalpha())
     return low if low.isalpha() else ""
@@ -94,15 +95,21 @@ class Words:
         self.rows = np.zeros((max(room, REMEMBERED), len(_SUMS)), np.float32)
 
     def _describe(self, token: str) -> tuple[float, ...]:
-        word = core(token)
-        weight = max([self.lexicon.get(e, 0.0) for e in entries_of(word)], default=0.0)
-        letters = sum(c.isalpha() for c in token)
-        capitals = sum(c.isupper() for c in token)
-        digits = sum(c.isdigit() for c in token)
-        inner = token.strip(".,;:!?\"'()[]{}<>*#%&|-_/=+")
+        inner = token.strip(_MARKS)
+        if inner.isalpha():  # most words, and what is said below of the others holds at once
+            word, letters, digits, masked = inner.lower(), len(inner), 0, 0.0
+        else:
+            word = core(token)
+            letters, digits = sum(map(str.isalpha, token)), sum(map(str.isdigit, token))
+            masked = float(bool(word))
+        capitals = 0 if token.islower() else sum(map(str.isupper, token))
+        weight, known = 0.0, self.lexicon
+        for entry in entries_of(word):
+            if entry in known and known[entry] > weight:
+                weight = known[entry]
         return (1.0, weight, float(weight > 0), float(weight > self.strong), float(word in SECOND_PERSON), letters, capitals,
                 float(letters > 1 and capitals == letters), len(token) - letters - digits, token.count("!") + token.count("?"),
-                float(bool(word) and not inner.isalpha()), digits, len(token))
+                masked, digits, len(token))
 
     def features(self, texts: list[str]) -> np.ndarray:
         split = [_words(x) for x in texts]
@@ -119,13 +126,12 @@ class Words:
         ids = np.fromiter((known[t] for words in split for t in words), np.int64, total)
         starts, some = np.cumsum(lengths) - lengths, lengths > 0
         if total:
-            sums = np.zeros((len(texts), len(_SUMS)))
-            for j in range(len(_SUMS)):
-                sums[some, j] = np.add.reduceat(of_word[ids, j].astype(np.float64), starts[some])
-            top = np.zeros(len(texts))
-            top[some] = np.maximum.reduceat(of_word[ids, 1], starts[some])
-            hits = np.flatnonzero(of_word[ids, 2])
-            before = np.concatenate([[0], np.cumsum(of_word[ids, 4])])
+            told = of_word[ids]
+            sums, top = np.zeros((len(texts), len(_SUMS))), np.zeros(len(texts))
+            sums[some] = np.add.reduceat(told, starts[some], axis=0, dtype=np.float64)
+            top[some] = np.maximum.reduceat(told[:, 1], starts[some])
+            hits = np.flatnonzero(told[:, 2])
+            before = np.concatenate([[0], np.cumsum(told[:, 4])])
             doc = np.searchsorted(starts + lengths, hits, "right")
             low, high = np.maximum(hits - NEAR, starts[doc]), np.minimum(hits + NEAR + 1, starts[doc] + lengths[doc])
             near = np.bincount(doc, (before[high] - before[low]) > 0, len(texts))
