@@ -9,9 +9,11 @@ share a bucket. At a similarity of 0.75 a pair shares none with a probability of
 Equal sets are one class before anything is paired. Pairs are then found in two rounds that
 lose no link and don't list a bucket's pairs: first every class is compared with the
 smallest of its bucket; what links merges, and only classes of one bucket that are still in
-different components are compared with each other, signatures first, in blocks of bounded
-size. Links are confirmed on the full sets of 64-bit shingle hashes. Components are found
-by alternating stars.
+different components are compared with each other, in the bucket's task and in blocks of
+bounded size: by a sketch of 256 bytes first, which passes classes on and not pairs, then by
+32 bits of each shingle's hash, where components that a link joins aren't compared further.
+Links are confirmed on the full sets of 64-bit hashes. Components are found by
+alternating stars.
 
 Edge cases: a text without words, or null, has the empty set and links with nothing; one
 with fewer than five words has a single shingle, the whole sequence; rows that repeat an id
@@ -27,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from vigilframe.llm.common import bytes_of, ranges, slices
+from vigilframe.llm.common import bytes_of, ranges, slices, small_batches
 from vigilframe.llm.graph import components
 from vigilframe.session import settle
 
@@ -40,7 +42,11 @@ AGREEING = 20
 """Symbols in which signatures must agree before sets are compared; at 0.75, fewer have a probability of 1e-7."""
 BLOCK = 2048
 """Classes of a bucket that are compared with each other in one go."""
-SLICE = 4 << 20
+BINS = 256
+"""Bins of a sketch: of the hashes with one upper byte, a byte of the least."""
+FEW = 500_000
+"""Ids, of 8 bytes, that are broadcast; more are joined by a shuffle."""
+SLICE = 2 << 20
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
@@ -118,6 +124,16 @@ def signatures(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketches(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each bin of every set a byte of its least hash, 0 if the bin is empty."""
+    out = np.zeros((len(sizes), BINS), np.uint8)
+    place = np.repeat(np.arange(len(sizes)) * BINS, sizes) + (hashes >> np.uint64(56)).astype(np.int64)
+    if len(place):
+        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        out.reshape(-1)[place[first]] = (hashes[first] >> np.uint64(40)) % np.uint64(255) + np.uint64(1)
+    return out
+
+
 def _binary(rows: np.ndarray) -> pa.Array:
     """The rows of a matrix as byte strings."""
     width = rows.shape[1] * rows.itemsize
@@ -146,17 +162,17 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names[1, some] = np.add.reduceat(mixed(hashes ^ np.uint64(_BASE)), starts[some])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(at, to - at), pa.array(sizes), pa.array(names[0].view(np.int64)),
-                 pa.array(names[1].view(np.int64)), _binary(signatures(hashes, sizes))],
-                ["doc_id", "n_shingles", "set_a", "set_b", "signature"])
+                 pa.array(names[1].view(np.int64)), _binary(signatures(hashes, sizes)), _binary(sketches(hashes, sizes))],
+                ["doc_id", "n_shingles", "set_a", "set_b", "signature", "sketch"])
 
 
 SET = ["set_a", "set_b", "n_shingles"]
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_a, set_b (a name of the set) and signature of every row."""
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return read.mapInArrow(_digests, "doc_id long, n_shingles long, set_a long, set_b long, signature binary")
+    """doc_id, n_shingles, set_a, set_b (a name of the set), signature and sketch of every row."""
+    read = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return read.mapInArrow(_digests, "doc_id long, n_shingles long, set_a long, set_b long, signature binary, sketch binary")
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,19 +192,24 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(batch.column("node").to_numpy(), SYMBOLS))], ["key", "node"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at, to, data, offsets in _each_slice(batch):
-            hashes, sizes = shingle_sets(data, offsets)
-            some, starts = sizes > 0, np.cumsum(sizes) - sizes
-            names = np.zeros((2, len(sizes)), np.uint64)
-            if some.any():
-                names[0, some] = np.add.reduceat(hashes, starts[some])
-                names[1, some] = np.add.reduceat(mixed(hashes ^ np.uint64(_BASE)), starts[some])
-            held = [hashes[a:a + n].tobytes() for a, n in zip(starts, sizes)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node").slice(at, to - at), pa.array(names[0].view(np.int64)), pa.array(names[1].view(np.int64)),
-                 pa.array(sizes), pa.array(held, pa.binary())], ["node", *SET, "held"])
+def _sets(short: bool):
+    """Sets of documents: all hashes in full, or sorted 32-bit parts of them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, to, data, offsets in _each_slice(batch):
+                hashes, sizes = shingle_sets(data, offsets)
+                some, starts = sizes > 0, np.cumsum(sizes) - sizes
+                names = np.zeros((2, len(sizes)), np.uint64)
+                if some.any():
+                    names[0, some] = np.add.reduceat(hashes, starts[some])
+                    names[1, some] = np.add.reduceat(mixed(hashes ^ np.uint64(_BASE)), starts[some])
+                own = (hashes[a:a + n] for a, n in zip(starts, sizes))
+                held = [(np.unique((x & np.uint64(0xFFFFFFFF)).astype(np.uint32)) if short else x).tobytes() for x in own]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc").slice(at, to - at), pa.array(names[0].view(np.int64)), pa.array(names[1].view(np.int64)),
+                     pa.array(sizes), pa.array(held, pa.binary())], ["doc", *SET, "held"])
+
+    return run
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,72 +219,126 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(same >= AGREEING))
 
 
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """How many elements two sorted sets share."""
+    if len(x) < len(y):
+        x, y = y, x
+    return int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+
+
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sets share enough."""
     for batch in batches:
         keep = []
         for x, y in zip(batch.column("set_of_a"), batch.column("set_of_b")):
             x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            at = np.searchsorted(x, y)
-            both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
+            both = _common(x, y)
             keep.append(100 * both >= SIMILAR * (len(x) + len(y) - both))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Agreeing pairs of different components, from rows sorted by bucket and block.
+class _Bucket:
+    """The rows of a bucket, or of two blocks of a large one; those of two blocks are compared across."""
 
-    A group holds at most two blocks. In a group of one block all pairs are compared, in one
-    of two blocks those across.
-    """
-    columns = ["key", "one", "two", "block", "node", "label", "n_shingles", "signature"]
+    def __init__(self, rows: pa.Table):
+        self.rows = rows
+        self.block, self.node, label, self.size = (rows.column(c).to_numpy() for c in ("block", "node", "label", "n_shingles"))
+        self.cross = rows.column("one")[0].as_py() != rows.column("two")[0].as_py()
+        self.label = np.unique(label, return_inverse=True)[1]
 
-    def pairs(rows: pa.Table) -> pa.RecordBatch | None:
-        block, node, label, size = (rows.column(c).to_numpy() for c in ("block", "node", "label", "n_shingles"))
-        signature = _matrix(rows.column("signature").combine_chunks())
-        cross = rows.column("one")[0].as_py() != rows.column("two")[0].as_py()
-        first, second = [], []
-        for at in range(0, len(node), 128):
-            to = min(at + 128, len(node))
-            good = (label[at:to, None] != label[None, :]) & (100 * np.minimum(size[at:to, None], size) >= SIMILAR * np.maximum(size[at:to, None], size))
-            good &= block[at:to, None] < block[None, :] if cross else node[at:to, None] < node[None, :]
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of different components whose sizes allow a link, a bounded number at a time."""
+        n = len(self.node)
+        for at in range(0, n, 128):
+            own = np.arange(at, min(at + 128, n))[:, None]
+            good = (self.label[own] != self.label) & (100 * np.minimum(self.size[own], self.size) >= SIMILAR * np.maximum(self.size[own], self.size))
+            good &= self.block[own] < self.block if self.cross else self.node[own] < self.node
             i, j = np.nonzero(good)
-            agree = np.zeros(len(i), bool)
-            for k in range(0, len(i), 1 << 15):
-                agree[k:k + (1 << 15)] = (signature[at + i[k:k + (1 << 15)]] == signature[j[k:k + (1 << 15)]]).sum(1) >= AGREEING
-            first.append(node[at + i[agree]])
-            second.append(node[j[agree]])
-        a, b = np.concatenate(first), np.concatenate(second)
-        if not len(a):
-            return None
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    held: pa.Table | None = None
-    for batch in batches:
-        rows = pa.Table.from_batches([batch.select(columns)])
+            for k in range(0, len(i), 1 << 14):
+                yield i[k:k + (1 << 14)] + at, j[k:k + (1 << 14)]
+
+    def likely(self) -> pa.RecordBatch:
+        """The rows that could have a link to another one, by their sketches.
+
+        Among the bins that either set fills, the share with one least hash has the mean of
+        the similarity; pairs more than five standard deviations below a link's are out.
+        """
+        sketch, wanted = _matrix(self.rows.column("sketch").combine_chunks(), np.uint8, BINS), SIMILAR / 100
+        found = np.zeros(len(self.node), bool)
+        for i, j in self.pairs():
+            x, y = sketch[i], sketch[j]
+            filled = np.count_nonzero(x | y, axis=1)
+            same = np.count_nonzero((x == y) & (x > 0), axis=1)
+            near = same >= wanted * filled - 5 * np.sqrt(wanted * (1 - wanted) * filled) - 1
+            found[i[near]] = found[j[near]] = True
+        kept = self.rows.select(_OPEN).filter(pa.array(found)).combine_chunks().to_batches()
+        return kept[0] if kept else None
+
+    def links(self) -> pa.RecordBatch:
+        """Pairs that are links, enough of them to join all components that any link of the bucket joins.
+
+        Parts of hashes agree by chance: in n * m / 2 ** 32 places, which is far below one but for the longest texts.
+        """
+        sets = [np.frombuffer(x.as_buffer(), np.uint32) for x in self.rows.column("held")]
+        a, b = [], []
+        for i, j in self.pairs():
+            for k, m in zip(i, j):
+                if self.label[k] != self.label[m]:
+                    x, y = sets[k], sets[m]
+                    both, margin = _common(x, y), len(x) * len(y) >> 30
+                    either = len(x) + len(y) - both
+                    if 100 * (both + margin) >= SIMILAR * (either - margin):
+                        a.append(min(self.node[k], self.node[m]))
+                        b.append(max(self.node[k], self.node[m]))
+                        if 100 * (both - margin) >= SIMILAR * (either + margin):
+                            self.label[self.label == self.label[m]] = self.label[k]
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]) if a else None
+
+
+_OPEN = ["key", "one", "two", "block", "node", "label", "n_shingles"]
+
+
+def _per_bucket(method: str):
+    """A method of ``_Bucket`` over rows sorted by bucket and blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def made(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            if rows.num_rows > 1 and (found := getattr(_Bucket(rows), method)()) is not None:
+                yield found
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if held is not None:
+                rows = pa.concat_tables([held, rows])
+            marks = [rows.column(c).to_numpy() for c in _OPEN[:3]]
+            ends = np.flatnonzero(np.any([m[1:] != m[:-1] for m in marks], axis=0)) + 1
+            at = 0
+            for to in ends:
+                yield from made(rows.slice(at, to - at))
+                at = to
+            held = rows.slice(at)
         if held is not None:
-            rows = pa.concat_tables([held, rows])
-        marks = [rows.column(c).to_numpy() for c in columns[:3]]
-        ends = np.flatnonzero(np.any([m[1:] != m[:-1] for m in marks], axis=0)) + 1
-        at = 0
-        for to in ends:
-            if to > at + 1 and (made := pairs(rows.slice(at, to - at))) is not None:
-                yield made
-            at = to
-        held = rows.slice(at)
-    if held is not None and held.num_rows > 1 and (made := pairs(held)) is not None:
-        yield made
+            yield from made(held)
+
+    return run
+
+
+def _sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, name: str, short: bool = False) -> DataFrame:
+    """node and held, the set of every class in ``nodes``, from the document that gave the class its id."""
+    wanted = settle(classes.select("node", "doc", *SET).join(nodes.distinct(), "node"), f"{name}-nodes")
+    ids = wanted.select("doc").distinct()
+    if wanted.count() <= FEW:  # then texts needn't be shuffled
+        ids = F.broadcast(ids)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).join(ids, "doc")
+    sets = texts.mapInArrow(_sets(short), "doc long, set_a long, set_b long, n_shingles long, held binary")
+    return settle(sets.join(wanted, ["doc", *SET]).dropDuplicates(["node"]).select("node", "held"), f"{name}-sets")
 
 
 def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
     """The pairs (a, b) of ``pairs`` that are links, by their full sets."""
     pairs = settle(pairs.distinct(), f"{name}-pairs")
-    wanted = settle(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{name}-nodes")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text")).join(wanted, "node")
-    # Of the rows that share an id, the one whose set gave its class the id.
-    sets = texts.mapInArrow(_sets, "node long, set_a long, set_b long, n_shingles long, held binary")
-    sets = sets.join(classes.select("node", *SET), ["node", *SET]).dropDuplicates(["node"]).select("node", "held")
-    sets = settle(sets, f"{name}-sets")
+    sets = _sets_of(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("node")), name)
     of_b = sets.select(F.col("node").alias("b"), F.col("held").alias("set_of_b"))
     of_a = sets.select(F.col("node").alias("a"), F.col("held").alias("set_of_a"))
     both = pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "set_of_a", "set_of_b")
@@ -274,18 +349,21 @@ def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     held = settle(digests(docs), "signatures")
     usable = held.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    named = usable.groupBy(*SET).agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))
-    classes = settle(named, "classes")
+    named = usable.groupBy(*SET).agg(F.min("doc_id").alias("doc"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"))
+    classes = settle(named.withColumn("node", F.monotonically_increasing_id()), "classes")
+    rows = settle(usable.select("doc_id", *SET).join(classes.select("node", *SET), SET).select("doc_id", "node", *SET), "rows")
     keys = classes.select("node", "signature").mapInArrow(_keys, "key long, node long")
     buckets = settle(keys.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1"), "buckets")
     members = settle(keys.join(buckets, "key"), "members")
 
     # First round: every class with the smallest of its bucket.
     stars = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    sided = [classes.dropDuplicates(["node"]).select(F.col("node").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("signature").alias(f"sig_{s}")) for s in "ab"]
+    sided = [classes.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("signature").alias(f"sig_{s}")) for s in "ab"]
     near = stars.join(sided[1], "b").join(sided[0], "a").where(100 * F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b"))
-    tried = settle(near.select("a", "b", "sig_a", "sig_b").mapInArrow(_agreeing, "a long, b long"), "tried")
-    links = _confirmed(docs, classes, tried, "near")
+    links = _confirmed(docs, classes, near.select("a", "b", "sig_a", "sig_b").mapInArrow(_agreeing, "a long, b long"), "near")
+    # Classes that share an id.
+    shared = rows.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last").select("doc_id", "a")
+    links = settle(links.union(rows.join(settle(shared, "shared-ids"), "doc_id").where("a < node").select("a", F.col("node").alias("b"))), "first-links")
 
     # Second round: classes of a bucket that the first one didn't bring together.
     parents = components(links)
@@ -295,19 +373,24 @@ def near_groups(docs: DataFrame) -> DataFrame:
     blocks = F.ceil(F.col("n") / BLOCK)
     rest = rest.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     rest = rest.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "label")
-    rest = rest.join(classes.dropDuplicates(["node"]).select("node", "n_shingles", "signature"), "node")
-    rest = rest.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
-    across = rest.mapInArrow(_within, "a long, b long").distinct()
-    across = across.join(tried, ["a", "b"], "left_anti")
-    more = _confirmed(docs, classes, across, "across")
+
+    def together(rows: DataFrame) -> DataFrame:
+        return rows.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
+
+    sketched = together(rest.join(classes.select("node", "n_shingles", "sketch"), "node"))
+    likely = settle(sketched.mapInArrow(
+        _per_bucket("likely"), "key long, one long, two long, block long, node long, label long, n_shingles long"), "likely")
+    with_sets = likely.join(_sets_of(docs, classes, likely.select("node"), "open", short=True), "node")
+    more = _confirmed(docs, classes, together(with_sets).mapInArrow(_per_bucket("links"), "a long, b long"), "across")
     parents = components(links.union(more)) if not more.isEmpty() else parents
 
-    of_class = classes.select(*SET, "node")
-    found = held.join(of_class, SET, "left").join(parents, "node", "left")
-    usable_row = F.col("n_shingles").__gt__(0) & F.col("doc_id").isNotNull()
+    rooted = classes.select("node", "doc").join(parents, "node", "left").select("node", "doc", F.coalesce("parent", "node").alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("doc").alias("component_id"))
+    of_set = settle(classes.select("node", *SET).join(rooted, "node").join(smallest, "root").select(*SET, "component_id"), "of-set")
+    found = held.select("doc_id", *SET).join(of_set, SET, "left")
+    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     return found.select(
-        "doc_id", "n_shingles",
-        F.when(usable_row, F.coalesce("parent", "node")).otherwise(F.col("doc_id")).alias("component_id"),
+        "doc_id", "n_shingles", F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
