@@ -16,8 +16,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def small_batches(docs: DataFrame, most: int = 8 << 20) -> DataFrame:
-    """``docs``, with Arrow batches of at most about 8 MB (or one row) from now on in its session.
+def small_batches(docs: DataFrame, most: int = 4 << 20) -> DataFrame:
+    """``docs``, with Arrow batches of at most about 4 MB (or one row) from now on in its session.
 
     A batch is held several times at once on its way between the JVM and Python, so Spark's
     default of 64 MB takes much of a small executor.

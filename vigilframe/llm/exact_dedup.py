@@ -26,7 +26,7 @@ from vigilframe.session import settle
 PRIMES = (2147483647, 2147483629)
 BASES = (1000003, 69069)
 CHUNK = 1024
-SLICE = 4 << 20
+SLICE = 1 << 20
 COMPARED = 1 << 16
 """Bytes that are compared at a time."""
 

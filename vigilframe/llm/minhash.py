@@ -46,7 +46,7 @@ BINS = 256
 """Bins of a sketch: of the hashes with one upper byte, a byte of the least."""
 FEW = 500_000
 """Ids, of 8 bytes, that are broadcast; more are joined by a shuffle."""
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
