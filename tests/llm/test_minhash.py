@@ -94,3 +94,18 @@ def test_components(spark, seed):
     want = {n: root for n, root in roots({x for l in links for x in l}, links).items() if n != root}
     got = graph.components(spark.createDataFrame(links, "a long, b long"))
     assert {r.node: r.parent for r in got.collect()} == want
+
+
+def chain(seed: int):
+    """5 to 10 nodes in random order, each linked with the next."""
+    r = random.Random(seed)
+    nodes = r.sample(range(1, 40), r.randrange(5, 11))
+    return list(zip(nodes, nodes[1:]))
+
+
+@pytest.mark.parametrize("links", [[(1, 5), (5, 4), (4, 3), (3, 2)], *map(chain, (0, 1, 2, 18, 23, 34))])
+def test_components_of_a_chain_alone(spark, links):
+    nodes = {x for link in links for x in link}
+    got = [(r.node, r.parent) for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()]
+    assert sorted(got) == sorted((x, min(nodes)) for x in nodes - {min(nodes)})
+

@@ -25,8 +25,9 @@ def components(links: DataFrame) -> DataFrame:
     """node and parent, the smallest node of its component, for every linked node but that one.
 
     ``links`` has two columns of longs. Large and small stars alternate until each
-    component is one star, which takes a number of rounds in the order of the logarithm
-    of its size; every round is written, so none depends on an executor.
+    component is one star (no parent is a node, and no node has two parents), which takes
+    a number of rounds in the order of the logarithm of its size; every round is written,
+    so none depends on an executor.
     """
     a, b = links.columns
     edges = links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("node"), F.least(a, b).alias("parent")).distinct()
@@ -34,5 +35,6 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         edges = settle(_small_star(settle(_large_star(edges), "large-star")), "small-star")
         roots = edges.select(F.col("parent").alias("node"))
-        if edges.join(roots, "node", "left_semi").isEmpty():
+        several = edges.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+        if edges.join(roots, "node", "left_semi").isEmpty() and several.isEmpty():
             return edges
