@@ -61,3 +61,13 @@ def test_nothing_to_learn_from(spark):
     parser = L.fit(docs, F.lit(False))
     assert {r.lang_pred for r in L.identify(docs, parser).collect()} == {"und"}
     assert L.keep_identified(docs, parser).count() == len(odd_rows()) - 4
+
+
+def test_kept_rows_have_the_language_that_was_found(spark):
+    english, french = "the house on the hill and the tree ", "la maison sur la colline et un arbre "
+    rows = [(k, english * 3 + "ab"[k % 2], "en", "s") for k in range(4)] + [(10 + k, french * 3 + "ab"[k % 2], "fr", "s") for k in range(4)]
+    rows += [(20, english, "fr", "s"), (21, french, None, "s"), (22, "12 34", "en", "s")]
+    docs = documents(spark, rows)
+    kept = L.keep_identified(docs, L.fit(docs, F.col("doc_id") < 20))
+    assert kept.schema == docs.schema
+    assert {r.doc_id: r.lang for r in kept.collect()} == {k: "en" if "house" in t else "fr" for k, t, *_ in rows if k != 22}

@@ -176,18 +176,24 @@ def identify(docs: DataFrame, parser: Parser) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, parser: Parser) -> DataFrame:
-    """``docs`` without the rows that are ``und``. Where nothing was learned, all with a letter stay."""
+    """``docs`` without the rows that are ``und``, with the language found as their ``lang``.
+
+    Where nothing was learned, all with a letter stay, and their ``lang`` as it is.
+    """
     columns = docs.columns
+    lang = next((i for i, x in enumerate(columns) if x.lower() == "lang"), None)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lettered = batch.column("_lang_lettered")
+            lettered, held = batch.column("_lang_lettered"), batch.select(columns)
             if parser.names:
                 ids = pa.array(range(batch.num_rows), pa.int64())
                 seen = pa.RecordBatch.from_arrays([ids, batch.column("text"), lettered], ["doc_id", "text", "lettered"])
                 named = next(parser.run(iter([seen]))).column("lang_pred").to_pylist()
                 lettered = pa.array([x != UNKNOWN for x in named], pa.bool_())
-            yield batch.select(columns).filter(lettered)
+                if lang is not None:
+                    held = held.set_column(lang, columns[lang], pa.array(named, held.schema.field(lang).type))
+            yield held.filter(lettered)
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     return small_batches(docs).withColumn("_lang_lettered", lettered).mapInArrow(keep, docs.schema)
