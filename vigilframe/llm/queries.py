@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigilframe.llm import exact_dedup, langid, minhash, mixing, neighbours, packing, pages, pii, repeats, toxicity
+from vigilframe.llm import (
+    chat, exact_dedup, langid, minhash, mixing, neighbours, packing, pages, pii, repair, repeats, toxicity, vectorcodes)
 from vigilframe.llm.common import table
 
 
@@ -62,6 +63,18 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.report(repair.damage(table(spark, folder, "conversations")))
+
+
+def op12_chat_examples(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.digest(chat.examples(chat.with_control_strings(table(spark, folder, "conversations"))))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vectorcodes.compress(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_page_text": op1_page_text,
@@ -74,4 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeated_strings": op8_repeated_strings,
         "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
+        "op11_conversation_repair": op11_conversation_repair,
+        "op12_chat_examples": op12_chat_examples,
+        "op13_vector_codes": op13_vector_codes,
     }
