@@ -15,7 +15,7 @@ from vigilframe.plans import anomalies, features, gold, ingest, rollups
 from vigilframe.plans import quality as quality_plan, semantic as semantic_plan, silver as silver_plan
 from vigilframe.session import settle, use_utc, work_path
 from vigilframe.sources import bridge, contracts, tables
-from vigilframe.streaming import sinks, sources as stream, windows
+from vigilframe.streaming import exact, sinks, sources as stream, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -588,14 +588,69 @@ def _stream_hourly(spark: SparkSession, folder: str) -> DataFrame:
         _is_near("approx_unique_ips", "ips").alias("ips_are_near"), _is_near("approx_unique_users", "users").alias("users_are_near"))
 
 
+_YEAR = 365 * 86_400
+
+
+def _dealt(spark: SparkSession, folder: str, batches: int, batch: Column, rows: DataFrame | None = None) -> DataFrame:
+    """All Bronze rows as a stream of so many micro-batches, a file each; ``batch`` numbers them from 0."""
+    rows, path = bronze(spark, folder) if rows is None else rows, work_path(spark, "dealt")
+    for n in range(batches):
+        rows.filter(batch == n).coalesce(1).write.mode("append").parquet(path)
+    return stream.stream_table(spark, path, rows.schema, max_files=1)
+
+
+def _mixed(batches: int) -> Column:
+    """Versions of an event fall into any micro-batches, the older one sometimes into the later."""
+    return F.pmod(F.xxhash64("event_id", "_batch_id"), F.lit(batches))
+
+
+def _logged(spark: SparkSession, stream_rows: DataFrame, name: str) -> str:
+    return _drained(spark, name, lambda p, c: sinks.log_stream(stream_rows, p, c))
+
+
 def _stream_features(spark: SparkSession, folder: str) -> DataFrame:
-    got = _stream_upsert(windows.feature_stream, ["window_start"], "stream-features", day_of="window_start")(spark, folder)
-    hour = F.date_trunc("hour", "event_time").cast("timestamp_ntz")
-    exact = _exact(stream.stream_clean(bronze(spark, folder)), hour, "window_start", countries="country")
-    return got.join(exact, "window_start").select(
-        "window_start", "total_event_count", "attack_event_count",
-        _is_near("unique_src_ips", "ips").alias("ips_are_near"), _is_near("unique_users", "users").alias("users_are_near"),
-        _is_near("unique_countries", "countries").alias("countries_are_near"))
+    """Hourly features over five micro-batches that versions of events are scattered over."""
+    signed = exact.versions(_dealt(spark, folder, 5, _mixed(5)), exact.FEATURE_COLUMNS, horizon=_YEAR)
+    path = _logged(spark, exact.hourly_features(signed, horizon=_YEAR), "stream-features")
+    return _rounded(sinks.newest_rows(spark, path, ["window_start"], "total_event_count"), "avg_severity_rank")
+
+
+def _stream_hourly_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The hourly summary, likewise."""
+    signed = exact.versions(_dealt(spark, folder, 5, _mixed(5)), exact.SUMMARY_COLUMNS, horizon=_YEAR)
+    path = _logged(spark, exact.hourly_summary(signed, horizon=_YEAR), "stream-table")
+    return sinks.newest_rows(spark, path, ["event_hour", "event_type"], "event_count")
+
+
+def _stream_corrections(spark: SparkSession, folder: str) -> DataFrame:
+    """Signed rows added up: what is left of every event is its newest version, if that is valid."""
+    columns = ["username", "src_ip", "event_type", "severity_rank"]
+    signed = exact.versions(_dealt(spark, folder, 3, _mixed(3)), columns, horizon=_YEAR)
+    logged = spark.read.parquet(_logged(spark, signed, "stream-corrections"))
+    return logged.groupBy("event_id", *columns).agg(F.sum("sign").alias("n")).filter("n <> 0")
+
+
+def _in_time_order(batches: int, days: int) -> Column:
+    """By the day a row arrived; every tenth key comes one micro-batch late."""
+    late = F.when(F.pmod(F.regexp_extract("event_id", "[0-9]+", 0).cast("long"), F.lit(10)) == 0, 1).otherwise(0)
+    first = F.floor(F.datediff(F.to_date("_ingested_at"), F.lit("2024-01-01").cast("date")) / days)
+    return F.least(F.lit(batches - 1), F.greatest(F.lit(0), first) + late)
+
+
+def _stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows over five micro-batches in time order, some behind; late ones by the query's own watermark."""
+    rows = stream.readable_times(_dealt(spark, folder, 5, _in_time_order(5, 6))).select("event_id", "_batch_id", "ts")
+    path = _drained(spark, "stream-late-rows", lambda p, c: sinks.log_stream(exact.route_late(rows), p, c, partition="is_late"))
+    return spark.read.parquet(path).select(
+        "event_id", "_batch_id", F.col("stream_batch").cast("long").alias("stream_batch"), F.col("is_late").cast("boolean").alias("is_late"))
+
+
+def _stream_burst_moments(spark: SparkSession, folder: str) -> DataFrame:
+    """Moments with two failed logins within a day, from five micro-batches in time order."""
+    columns = ["src_ip", "event_type"]
+    signed = exact.versions(_dealt(spark, folder, 5, _in_time_order(5, 6)), columns, delay="10 days", horizon=_YEAR)
+    path = _logged(spark, exact.burst_moments(signed, threshold=2, minutes=24 * 60), "stream-moments")
+    return spark.read.parquet(path).drop("stream_batch")
 
 
 def _full_lines(spark: SparkSession, folder: str, path: str, files: int, mode: str = "append", where: str = "true") -> None:
@@ -666,6 +721,10 @@ def streams() -> dict[str, Query]:
         "stream_lockouts": _stream_append(_stream_lockouts, "stream-lockouts"),
         "stream_dedup": _stream_append(
             lambda r: windows.dedup_stream(stream.readable_times(r)).select("event_id", "event_type"), "stream-dedup"),
+        "stream_hourly_table": _stream_hourly_table,
+        "stream_corrections": _stream_corrections,
+        "stream_late_rows": _stream_late_rows,
+        "stream_burst_moments": _stream_burst_moments,
         "stream_silver": _stream_silver,
         "stream_late_split": _stream_late,
     }

@@ -480,6 +480,13 @@ def checking() -> dict[str, str]:
 STREAMED = BRONZE + "," + refined("clean", "bronze")
 
 
+# Micro-batches by the day of arrival, every tenth key one late.
+_IN_TIME_ORDER = """
+timed AS (SELECT *, TRY_CAST(event_time AS TIMESTAMP) AS t FROM bronze),
+dealt AS (SELECT *, LEAST(4, GREATEST(0, FLOOR(DATE_DIFF('day', DATE '2024-01-01', CAST(_ingested_at AS DATE)) / 6.0))
+    + CASE WHEN CAST(regexp_extract(event_id, '[0-9]+') AS BIGINT) % 10 = 0 THEN 1 ELSE 0 END)::BIGINT AS batch FROM timed WHERE t IS NOT NULL)"""
+
+
 def streams() -> dict[str, str]:
     return {
         "stream_ingest": BRONZE + f""" SELECT {_AS_TEXT}, TRUE AS batch_is_named FROM bronze WHERE _batch_id LIKE '%\\_001' ESCAPE '\\'""",
@@ -487,9 +494,20 @@ def streams() -> dict[str, str]:
           FROM judged WHERE error_reason <> ''""",
         "stream_hourly": STREAMED + """ SELECT date_trunc('hour', event_time) AS event_hour, event_type, count(*) AS event_count,
           TRUE AS ips_are_near, TRUE AS users_are_near FROM clean GROUP BY ALL""",
-        "stream_features": STREAMED + """ SELECT date_trunc('hour', event_time) AS window_start, count(*) AS total_event_count,
-          count(*) FILTER (WHERE is_attack_event) AS attack_event_count, TRUE AS ips_are_near, TRUE AS users_are_near,
-          TRUE AS countries_are_near FROM clean GROUP BY ALL""",
+        "stream_features": core()["hourly_features"],
+        "stream_hourly_table": core()["hourly_event_summary"],
+        "stream_corrections": SILVER + " SELECT event_id, username, src_ip, event_type, severity_rank, CAST(1 AS BIGINT) AS n FROM silver",
+        "stream_late_rows": BRONZE + "," + _IN_TIME_ORDER + """,
+closed AS (SELECT b.batch, MAX(d.t) - INTERVAL '1 hour' AS watermark FROM (SELECT UNNEST(range(5)) AS batch) b LEFT JOIN dealt d ON d.batch < b.batch GROUP BY 1)
+SELECT event_id, _batch_id, d.batch AS stream_batch, COALESCE(DATE_TRUNC('hour', t) + INTERVAL '1 hour' <= watermark, FALSE) AS is_late
+FROM dealt d JOIN closed c ON c.batch = d.batch""",
+        "stream_burst_moments": SILVER + "," + _IN_TIME_ORDER + """,
+recent AS (SELECT src_ip, event_time, COUNT(*) OVER (PARTITION BY src_ip ORDER BY event_time
+    RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS events_in_window
+  FROM silver WHERE event_type = 'failed_login'),
+w AS (SELECT epoch_us(MAX(COALESCE(t, _ingested_at))) - 864000000000 AS watermark FROM timed)
+SELECT DISTINCT src_ip, event_time, events_in_window FROM recent, w
+WHERE events_in_window >= 2 AND (epoch_us(event_time) // 86400000001 + 1) * 86400000001 <= watermark""",
         "stream_hourly_counts": STREAMED + """ SELECT DATE_TRUNC('hour', event_time) AS event_hour, event_type, COUNT(*) AS event_count
           FROM clean GROUP BY 1, 2""",
         "stream_features_exact": STREAMED + """ SELECT DATE_TRUNC('hour', event_time) AS window_start,

@@ -27,8 +27,8 @@ def accept(normalize_case: bool = False) -> Column:
     )
 
 
-def enrich(rows: DataFrame) -> DataFrame:
-    """Cast the time, standardise case, add the seven derived columns."""
+def enrich(rows: DataFrame, *keep: str) -> DataFrame:
+    """Cast the time, standardise case, add the seven derived columns; ``keep`` names further ones to keep."""
     timed = rows.withColumn("event_time", ev.parse_time(F.col("event_time")))
     ts, kind, ip = F.col("event_time"), F.col("event_type"), F.col("src_ip")
     derived = {
@@ -44,7 +44,7 @@ def enrich(rows: DataFrame) -> DataFrame:
         "is_internal_ip": ev.is_rfc1918(ip),
         "is_attack_event": ev.is_attack(kind),
     }
-    return timed.select(*[derived.get(n, F.col(n)).alias(n) for n in SILVER.fieldNames()])
+    return timed.select(*[derived.get(n, F.col(n)).alias(n) for n in SILVER.fieldNames()], *keep)
 
 
 def _as_time(rows: DataFrame, name: str) -> Column:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vigilframe.operators.dedup import newest_first
+from vigilframe.operators.dedup import latest_per_key, newest_first
 from vigilframe.operators.validate import parse_lines
 from vigilframe.plans.ingest import append_dead_letters, bronze_rows, dead_letters
 from vigilframe.plans.silver import silver_events
@@ -49,6 +50,43 @@ def upsert_stream(
     return _start(stream, checkpoint, "update", each, interval)
 
 
+def log_stream(
+    stream: DataFrame, path: str, checkpoint: str, interval: str | None = None, partition: str | None = None
+) -> StreamingQuery:
+    """Every micro-batch as a directory of its own, which a replay writes over: each row exactly once."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        writer = batch.write.mode("overwrite")
+        (writer.partitionBy(partition) if partition else writer).parquet(f"{path}/stream_batch={number}")
+
+    with _keyed_state(stream.sparkSession):
+        return _start(stream, checkpoint, "append", each, interval)
+
+
+@contextmanager
+def _keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Queries that start inside keep keyed state in RocksDB and write changes of it, not copies."""
+    state, before = "spark.sql.streaming.stateStore.", {}
+    wanted = {
+        f"{state}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        f"{state}rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    for key, value in wanted.items():
+        before[key] = spark.conf.get(key, None)
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def newest_rows(spark: SparkSession, path: str, keys: list[str], present: str | None = None) -> DataFrame:
+    """The last row of each key in what ``log_stream`` wrote, if its count ``present`` isn't 0."""
+    logged = latest_per_key(spark.read.parquet(path), keys, [F.desc("stream_batch")]).drop("stream_batch")
+    return logged.filter(F.col(present) > 0) if present else logged
+
+
 def stream_identity(spark, checkpoint: str) -> str:
     """A random name of this stream, kept in its checkpoint from the first start on."""
     path = f"{checkpoint}/identity"
