@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable
 from datetime import date, datetime
@@ -9,9 +10,9 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from vigilframe.functions import events as ev
-from vigilframe.operators import dedup, detect, evaluate, forest, quality, validate
+from vigilframe.operators import dedup, detect, evaluate, forest, heavy, quality, selection, validate
 from vigilframe.operators.filters import FilterSpec, apply_filters
-from vigilframe.plans import anomalies, features, gold, ingest, rollups
+from vigilframe.plans import anomalies, features, gold, ingest, partials, rollups
 from vigilframe.plans import quality as quality_plan, semantic as semantic_plan, silver as silver_plan
 from vigilframe.session import settle, use_utc, work_path
 from vigilframe.sources import bridge, contracts, tables
@@ -287,7 +288,7 @@ def _anomaly_timeline(spark: SparkSession, folder: str) -> DataFrame:
 def _training_cut(spark: SparkSession, folder: str) -> DataFrame:
     """The number of windows, and whether the cut is the one that sorted scores of the second way give."""
     rows, nodes = _forest_parts(spark, folder)
-    cut = forest.contamination_cut(forest.Scorer(nodes, list(contracts.FEATURES)).add(rows), 0.05)
+    cut = forest.contamination_cut(settle(forest.Scorer(nodes, list(contracts.FEATURES)).add(rows), "scores"), 0.05)
     scores = settle(_walked(rows, nodes), "walked")
     n = scores.count()
     at = 0.05 * (n - 1)
@@ -299,6 +300,24 @@ def _training_cut(spark: SparkSession, folder: str) -> DataFrame:
         (F.abs(F.col("anomaly_percentage") - below / n * 100) <= 0.005001).alias("percentage_agrees"))
 
 
+def _response_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact quantiles of the response time, selected in rounds of brackets."""
+    minutes = ev.minutes_between(F.col("detection_time"), F.col("resolution_time"))
+    rows = settle(silver(spark, folder).select(minutes.alias("minutes")).filter("minutes IS NOT NULL"), "minutes")
+    found = [(q, selection.exact_percentile(rows, "minutes", q, accuracy=200, small=100)) for q in (0.0, 0.05, 0.5, 0.95, 1.0)]
+    return _rounded(spark.createDataFrame(found, "share double, minutes double"), "minutes")
+
+
+def _top_users_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """The most attacked users per month: candidates from stored daily sketches, counts exact."""
+    path = work_path(spark, "top-users")
+    attacks = settle(silver(spark, folder).filter("is_attack_event").select("username", "event_time"), "attacks")
+    heavy.top_sketches(attacks, F.to_date("event_time"), "username").write.parquet(path)
+    month = lambda column: F.to_date(F.trunc(column, "month"))
+    found = heavy.top_values(spark.read.parquet(path), attacks, month("event_time"), "username", month("period"))
+    return found.withColumnRenamed("count", "attack_count")
+
+
 def _summary_of_flags(rows: DataFrame) -> DataFrame:
     flags = features.hourly_features(rows).withColumn("is_anomaly", F.col("attack_event_count") >= 4)
     return gold.anomaly_summary(flags)
@@ -312,6 +331,7 @@ def models() -> dict[str, Query]:
         "anomaly_summary": _on_silver(_summary_of_flags),
         "iforest_scores": _iforest_scores,
         "iforest_training_cut": _training_cut,
+        "response_percentiles": _response_percentiles,
         "anomaly_contributions": _contributions_named,
         "anomaly_top_features": _top_contributors,
         "anomaly_timeline": _anomaly_timeline,
@@ -468,6 +488,40 @@ def _stored_pre_aggregate(cube: str, name: str, measures: list[str], granularity
     return run
 
 
+def _partials(dimensions: tuple[str, ...], then: Callable[[DataFrame], DataFrame]) -> Query:
+    """Store the daily partial states, then answer from the stored rows alone."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        path = work_path(spark, "partials")
+        partials.write_by_month(partials.build_partials(silver(spark, folder), dimensions), path)
+        return then(partials.read_by_month(spark, path))
+
+    return run
+
+
+def _kpis_by_week(stored: DataFrame) -> DataFrame:
+    return _rounded(partials.query_partials(stored, "week"), "avg_mttd_minutes", "avg_mttr_minutes", "avg_severity_rank")
+
+
+def _monthly_moments(stored: DataFrame) -> DataFrame:
+    """Of both measured columns by department, from the days of a month."""
+    found = [partials.merge_moments(stored, m, "month", ("department",)).withColumn("measured", F.lit(m)) for m in partials.MEASURED]
+    return _rounded(found[0].unionByName(found[1]), "mean", "deviation")
+
+
+def _exact_distinct(spark: SparkSession, folder: str) -> DataFrame:
+    """Different addresses, users and countries per day, week and month, from stored daily sets."""
+    events, found = settle(silver(spark, folder), "silver"), []
+    for which in partials.SETS:
+        path = work_path(spark, f"sets-{which}")
+        partials.write_by_month(partials.build_sets(events, which), path)
+        sets = partials.read_by_month(spark, path)
+        for grain in ("day", "week", "month"):
+            counted = partials.count_sets(sets, which, grain).withColumnRenamed(f"unique_{which}", "unique_values")
+            found.append(counted.withColumns({"grain": F.lit(grain), "which": F.lit(which)}))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 def semantic() -> dict[str, Query]:
     found = {name: _semantic(query) for name, query in SEMANTIC.items()}
     return found | {
@@ -483,6 +537,11 @@ def semantic() -> dict[str, Query]:
         "preagg_security_events": _stored_pre_aggregate(
             "SecurityEvents", "daily", ["count", "attackCount", "failedLoginCount"], "month"),
         "preagg_security_distinct": _preagg_distinct,
+        "rollup_exact_distinct": _exact_distinct,
+        "rollup_top_users": _top_users_by_month,
+        "rollup_kpis": _partials((), _kpis_by_week),
+        "rollup_moments": _partials(("department",), _monthly_moments),
+        "rollup_country_scores": _partials(("country",), lambda p: partials.country_scores(p, "week")),
     }
 
 

@@ -337,6 +337,10 @@ def models() -> dict[str, str]:
           ROUND(CAST(COUNT(*) FILTER (WHERE is_anomaly) AS DOUBLE) / COUNT(*) * 100, 2) AS anomaly_percentage,
           MIN(window_start) AS first_window, MAX(window_end) AS last_window FROM results""",
         "iforest_scores": FEATURES + " SELECT window_start, total_event_count, TRUE AS score_agrees, TRUE AS flag_agrees FROM features",
+        "response_percentiles": SILVER + """, r AS (SELECT (epoch_us(resolution_time) - epoch_us(detection_time)) / 6e7 AS m FROM silver),
+          q AS (SELECT UNNEST([0.0, 0.05, 0.5, 0.95, 1.0])::DOUBLE AS share), s AS (SELECT list_sort(list(m)) AS l, count(m) AS n FROM r WHERE m IS NOT NULL)
+          SELECT share, ROUND(l[floor((n - 1) * share)::INT + 1] + ((n - 1) * share - floor((n - 1) * share))
+            * (l[ceil((n - 1) * share)::INT + 1] - l[floor((n - 1) * share)::INT + 1]), 6) AS minutes FROM q, s""",
         "iforest_training_cut": FEATURES + " SELECT count(*) AS n_samples, TRUE AS cut_agrees, TRUE AS percentage_agrees FROM features",
         "anomaly_contributions": FEATURES + """ SELECT * REPLACE (round(avg_severity_rank, 6) AS avg_severity_rank), TRUE AS named_where_flagged
           FROM features""",
@@ -393,6 +397,31 @@ def semantic() -> dict[str, str]:
     q["preagg_security_events"] = SILVER + """ SELECT CAST(DATE_TRUNC('month', event_time) AS TIMESTAMP) AS period, COUNT(*) AS "count",
       COUNT(*) FILTER (WHERE is_attack_event) AS attackCount, COUNT(*) FILTER (WHERE event_type = 'failed_login') AS failedLoginCount
       FROM silver GROUP BY 1"""
+    week = "CAST(DATE_TRUNC('week', event_time) AS TIMESTAMP) AS period"
+    q["rollup_exact_distinct"] = SILVER + ", v AS (" + " UNION ALL ".join(
+        f"SELECT '{which}' AS which, {column} AS value, event_time FROM silver"
+        for which, column in (("addresses", "src_ip"), ("users", "username"), ("countries", "country"))) + ")" + " UNION ALL ".join(
+        f" SELECT '{grain}' AS grain, which, CAST(DATE_TRUNC('{grain}', event_time) AS TIMESTAMP) AS period, COUNT(DISTINCT value) AS unique_values FROM v GROUP BY 2, 3"
+        for grain in ("day", "week", "month"))
+    q["rollup_top_users"] = SILVER + """, c AS (SELECT CAST(DATE_TRUNC('month', event_time) AS DATE) AS period, username, COUNT(*) AS attack_count
+        FROM silver WHERE is_attack_event GROUP BY 1, 2), r AS (
+        SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY period ORDER BY attack_count DESC, username) AS INT) AS rank FROM c)
+      SELECT period, rank, username, attack_count, TRUE AS is_complete FROM r WHERE rank <= 10"""
+    q["rollup_kpis"] = SILVER + f""" SELECT {week}, COUNT(*) AS event_count, COUNT(*) FILTER (WHERE is_attack_event) AS attack_count,
+      CAST(CAST(COUNT(*) FILTER (WHERE event_type = 'failed_login') AS DOUBLE) / NULLIF(COUNT(*) FILTER (WHERE event_type IN ('failed_login', 'successful_login')), 0) AS FLOAT) AS failed_login_rate,
+      ROUND(AVG(epoch_us(detection_time) - epoch_us(event_time)) / 6e7, 6) AS avg_mttd_minutes,
+      ROUND(AVG(epoch_us(resolution_time) - epoch_us(detection_time)) / 6e7, 6) AS avg_mttr_minutes,
+      CAST(CAST(COUNT(*) FILTER (WHERE epoch_us(resolution_time) - epoch_us(detection_time) <= 240 * 60000000::BIGINT) AS DOUBLE) / NULLIF(COUNT(resolution_time), 0) AS FLOAT) AS sla_compliance,
+      ROUND(AVG(severity_rank), 6) AS avg_severity_rank,
+      CAST(CAST(COUNT(*) FILTER (WHERE NOT is_business_hours) AS DOUBLE) / COUNT(*) AS FLOAT) AS off_hours_ratio FROM silver GROUP BY 1"""
+    q["rollup_moments"] = SILVER + """, m AS (
+      SELECT department, event_time, 'rank' AS measured, CAST(severity_rank AS DOUBLE) AS x FROM silver
+      UNION ALL SELECT department, event_time, 'response', (epoch_us(resolution_time) - epoch_us(detection_time)) / 6e7 FROM silver)
+      SELECT CAST(DATE_TRUNC('month', event_time) AS TIMESTAMP) AS period, department, measured, COUNT(x) AS n,
+        ROUND(AVG(x), 6) AS mean, ROUND(STDDEV_SAMP(x), 6) AS deviation FROM m GROUP BY 1, 2, 3 HAVING COUNT(x) > 0"""
+    q["rollup_country_scores"] = SILVER + f""", c AS (SELECT {week}, country, COUNT(*) AS attack_count FROM silver WHERE is_attack_event GROUP BY 1, 2)
+      SELECT *, ROUND(COALESCE((attack_count - AVG(attack_count) OVER k) / NULLIF(STDDEV_SAMP(attack_count) OVER k, 0), 0), 6) AS z_score
+      FROM c WINDOW k AS (PARTITION BY country)"""
     return q
 
 

@@ -13,6 +13,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from vigilframe.operators.selection import exact_percentile
+
 NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, left int, right int, "
     "path_length double, sample_size int"
@@ -185,11 +187,10 @@ class Scorer:
 def contamination_cut(scored: DataFrame, contamination: float, score: str = "raw_score") -> DataFrame:
     """One row: the score below which the given share lies, how many lie there, of how many.
 
-    ``percentile`` is exact; its state is one entry per distinct score, and the rows are
-    hourly windows.
+    The score is selected exactly, in a few passes; settle ``scored`` first, so that rows aren't
+    scored in each of them.
     """
-    cut = scored.agg(F.percentile(score, contamination).alias("cut")).scalar()
-    flagged = F.count_if(F.col(score) < cut)
+    flagged = F.count_if(F.col(score) < F.lit(exact_percentile(scored, score, contamination)))
     return scored.agg(
         F.count("*").alias("n_samples"),
         flagged.alias("n_anomalies"),

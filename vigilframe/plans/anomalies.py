@@ -54,7 +54,7 @@ def train_model(
     ).write.mode("overwrite").parquet(path)
     seconds = time.time() - started
     _drop_old_models(spark, model_dir)
-    scored = forest.Scorer(load_model(spark, path), list(FEATURES)).add(features)
+    scored = settle(forest.Scorer(load_model(spark, path), list(FEATURES)).add(features).select("raw_score"), "training-scores")
     found = forest.contamination_cut(scored, config.contamination).first()
     return TrainingResult(
         path, version, found["n_samples"], found["n_anomalies"], found["anomaly_percentage"],

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vigilframe.plans.cubes import CUBES
+from vigilframe.plans.cubes import CUBES, Measure
 
 _GRAINS = {"hour": "1 hour", "day": "1 day"}
 _SKETCHES = {"ips_sketch": "src_ip", "users_sketch": "username"}
@@ -50,18 +50,24 @@ def query_rollup(rollup: DataFrame, by: tuple[str, ...] = ("month",)) -> DataFra
     )
 
 
-def pre_aggregate(table: DataFrame, cube: str, name: str) -> DataFrame:
+def _mergeable(measure: Measure) -> Column:
+    if measure.kind == "countDistinct":
+        return F.hll_sketch_agg(measure.column, 14)
+    if measure.kind == "avg":
+        return F.struct(F.sum(measure.column).alias("total"), F.count(measure.column).alias("n"))
+    return measure.expression()
+
+
+def pre_aggregate(table: DataFrame, cube: str, name: str, spec: dict | None = None) -> DataFrame:
     """The rollup a cube declares: one row per period with every measure of the cube.
 
-    Counts, sums and maxima are stored as they are; a distinct count is stored as a
-    sketch. A monthly partitioned rollup also gets its ``month``.
+    Counts, sums and maxima are stored as they are, an average as its sum and number, a
+    distinct count as a sketch. A monthly partitioned rollup also gets its ``month``. ``spec`` (time, granularity,
+    partition) describes a rollup that the cube doesn't declare.
     """
-    spec = CUBES[cube].pre_aggregations[name]
+    spec = spec or CUBES[cube].pre_aggregations[name]
     time = F.col(CUBES[cube].dimensions[spec["time"]].column).cast("timestamp_ntz")
-    stored = [
-        (F.hll_sketch_agg(m.column, 14) if m.kind == "countDistinct" else m.expression()).alias(member)
-        for member, m in CUBES[cube].measures.items()
-    ]
+    stored = [_mergeable(m).alias(member) for member, m in CUBES[cube].measures.items()]
     rows = table.groupBy(F.window(time, _GRAINS[spec["granularity"]])["start"].alias("period")).agg(*stored)
     return rows.withColumn("month", F.trunc("period", "month")) if spec.get("partition") == "month" else rows
 
@@ -69,7 +75,7 @@ def pre_aggregate(table: DataFrame, cube: str, name: str) -> DataFrame:
 def query_pre_aggregate(rollup: DataFrame, cube: str, measures: list[str], granularity: str) -> DataFrame:
     """Measures of a cube per coarser period, from its rollup instead of its table.
 
-    Averages are not additive and cannot be asked for; distinct counts are estimates.
+    Averages come from stored sums and numbers; distinct counts are estimates (exact ones: ``plans.partials``).
     """
     values = []
     for member in measures:
@@ -78,6 +84,9 @@ def query_pre_aggregate(rollup: DataFrame, cube: str, measures: list[str], granu
             values.append(F.sum(member).alias(member))
         elif kind in ("max", "number"):
             values.append(F.max(member).alias(member))
+        elif kind == "avg":
+            part = F.col(member)
+            values.append((F.sum(part["total"]) / F.nullif(F.sum(part["n"]), F.lit(0))).alias(member))
         elif kind == "countDistinct":
             values.append(F.hll_sketch_estimate(F.hll_union_agg(member)).alias(member))
         else:
