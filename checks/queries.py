@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import math
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -15,7 +16,7 @@ from vigilframe.operators.filters import FilterSpec, apply_filters
 from vigilframe.plans import anomalies, features, gold, ingest, partials, rollups
 from vigilframe.plans import quality as quality_plan, semantic as semantic_plan, silver as silver_plan
 from vigilframe.session import settle, use_utc, work_path
-from vigilframe.sources import bridge, contracts, tables
+from vigilframe.sources import bridge, bucketed, contracts, tables
 from vigilframe.streaming import exact, sinks, sources as stream, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,10 +85,24 @@ def _merge_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.merge_upsert(first, second, ["event_id"])
 
 
+def _table_name() -> str:
+    return f"keyed_{uuid.uuid4().hex[:12]}"
+
+
+def _merge_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """A bucketed table from the second versions, into which the first ones and all once more are merged."""
+    rows, name = bronze(spark, folder), _table_name()
+    order = dedup.newest_first(rows)
+    bucketed.create(rows.filter(F.col("_batch_id").endswith("_002")), name, ["event_id"], order, 8)
+    bucketed.merge(rows.filter(F.col("_batch_id").endswith("_001")), name, ["event_id"], order)
+    bucketed.merge(rows, name, ["event_id"], order)
+    return spark.table(name)
+
+
 def incremental() -> dict[str, Query]:
     return {
         "silver_incremental": _silver_incremental, "merge_upsert": _merge_upsert,
-        "merge_older_last": _merge_older_last, "incremental_ingest": _incremental_ingest,
+        "merge_bucketed": _merge_bucketed, "merge_older_last": _merge_older_last, "incremental_ingest": _incremental_ingest,
     }
 
 
@@ -689,6 +704,13 @@ def _stream_corrections(spark: SparkSession, folder: str) -> DataFrame:
     return logged.groupBy("event_id", *columns).agg(F.sum("sign").alias("n")).filter("n <> 0")
 
 
+def _stream_keyed_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest version of every event in a bucketed table that three micro-batches are merged into."""
+    rows, name = _dealt(spark, folder, 3, _mixed(3)), _table_name()
+    _drained(spark, name, lambda p, c: sinks.keyed_stream(rows, name, c, ["event_id"], dedup.newest_first(rows), 8))
+    return spark.table(name)
+
+
 def _in_time_order(batches: int, days: int) -> Column:
     """By the day a row arrived; every tenth key comes one micro-batch late."""
     late = F.when(F.pmod(F.regexp_extract("event_id", "[0-9]+", 0).cast("long"), F.lit(10)) == 0, 1).otherwise(0)
@@ -782,6 +804,7 @@ def streams() -> dict[str, Query]:
             lambda r: windows.dedup_stream(stream.readable_times(r)).select("event_id", "event_type"), "stream-dedup"),
         "stream_hourly_table": _stream_hourly_table,
         "stream_corrections": _stream_corrections,
+        "stream_keyed_table": _stream_keyed_table,
         "stream_late_rows": _stream_late_rows,
         "stream_burst_moments": _stream_burst_moments,
         "stream_silver": _stream_silver,

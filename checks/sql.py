@@ -199,6 +199,7 @@ def incremental() -> dict[str, str]:
 SELECT * FROM silver WHERE event_id NOT IN (SELECT event_id FROM fresh)
 UNION ALL SELECT * FROM fresh""",
         "merge_older_last": SILVER + " SELECT * FROM silver_dedup",
+        "merge_bucketed": SILVER + " SELECT * FROM silver_dedup",
         "incremental_ingest": BRONZE + f""", firsts AS (SELECT *, CAST(substr(event_id, 4) AS BIGINT) % 2 AS odd FROM bronze WHERE _batch_id LIKE '%\\_001' ESCAPE '\\')
 SELECT {_AS_TEXT}, CASE WHEN odd = 0 THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-02-02' END AS _ingested_at FROM firsts""",
         "merge_upsert": BRONZE + f""",
@@ -526,6 +527,7 @@ def streams() -> dict[str, str]:
         "stream_features": core()["hourly_features"],
         "stream_hourly_table": core()["hourly_event_summary"],
         "stream_corrections": SILVER + " SELECT event_id, username, src_ip, event_type, severity_rank, CAST(1 AS BIGINT) AS n FROM silver",
+        "stream_keyed_table": SILVER + " SELECT * FROM silver_dedup",
         "stream_late_rows": BRONZE + "," + _IN_TIME_ORDER + """,
 closed AS (SELECT b.batch, MAX(d.t) - INTERVAL '1 hour' AS watermark FROM (SELECT UNNEST(range(5)) AS batch) b LEFT JOIN dealt d ON d.batch < b.batch GROUP BY 1)
 SELECT event_id, _batch_id, d.batch AS stream_batch, COALESCE(DATE_TRUNC('hour', t) + INTERVAL '1 hour' <= watermark, FALSE) AS is_late

@@ -6,14 +6,14 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vigilframe.operators.dedup import latest_per_key, newest_first
 from vigilframe.operators.validate import parse_lines
 from vigilframe.plans.ingest import append_dead_letters, bronze_rows, dead_letters
 from vigilframe.plans.silver import silver_events
-from vigilframe.sources import files
+from vigilframe.sources import bucketed, files
 from vigilframe.sources.tables import merge_table, table_path, write_table
 
 
@@ -81,6 +81,20 @@ def _keyed_state(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def keyed_stream(
+    stream: DataFrame, name: str, checkpoint: str, keys: list[str], order: list[Column], buckets: int = 64, interval: str | None = None
+) -> StreamingQuery:
+    """Micro-batches merged into a bucketed catalog table; a replay changes nothing, as the newest version of a key stays."""
+
+    def each(batch: DataFrame, _: int) -> None:
+        if batch.sparkSession.catalog.tableExists(name):
+            bucketed.merge(batch, name, keys, order)
+        else:
+            bucketed.create(batch, name, keys, order, buckets)
+
+    return _start(stream, checkpoint, "append", each, interval)
+
+
 def newest_rows(spark: SparkSession, path: str, keys: list[str], present: str | None = None) -> DataFrame:
     """The last row of each key in what ``log_stream`` wrote, if its count ``present`` isn't 0."""
     logged = latest_per_key(spark.read.parquet(path), keys, [F.desc("stream_batch")]).drop("stream_batch")
