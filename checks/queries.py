@@ -537,6 +537,71 @@ def _exact_distinct(spark: SparkSession, folder: str) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, found)
 
 
+def _round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver written in three formats and read again: its rows once per format."""
+    rows, base = settle(silver(spark, folder), "silver"), work_path(spark, "export")
+    paths = tables.export(rows, base, ("jsonl", "parquet", "csv"))
+    back = {
+        "jsonl": tables.read_jsonl(spark, paths["jsonl"], contracts.SILVER), "parquet": spark.read.parquet(paths["parquet"]),
+        "csv": tables.read_csv(spark, paths["csv"], contracts.SILVER)}
+    found = [df.select(*contracts.SILVER.fieldNames(), F.lit(kind).alias("format")) for kind, df in back.items()]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _mart_from_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Attack volume by country, exported as one sorted CSV file and read with its contract."""
+    path = work_path(spark, "mart")
+    tables.export_mart(gold.attack_volume_by_country(silver(spark, folder)), path, [F.desc("attack_count"), "country"])
+    return tables.read_csv(spark, path, contracts.ATTACK_VOLUME_BY_COUNTRY)
+
+
+def _evolved(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of an older contract (a name, a narrower type, a column more, one less) read as today's."""
+    old = silver(spark, folder).select(
+        F.col("event_id").alias("id"), F.to_date("event_time").alias("event_time"), "severity_rank", "username", "country")
+    path = work_path(spark, "older")
+    old.write.parquet(path)
+    today = contracts.T.StructType([
+        contracts.T.StructField("event_id", contracts.T.StringType()), contracts.T.StructField("event_time", contracts.T.TimestampNTZType()),
+        contracts.T.StructField("severity_rank", contracts.T.LongType()), contracts.T.StructField("country", contracts.T.StringType()),
+        contracts.T.StructField("department", contracts.T.StringType())])
+    return contracts.evolve(spark.read.parquet(path), today, {"id": "event_id"}, ("username",))
+
+
+def _dispositions(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows in a table after each way to write it: absent, replaced, appended, merged, replaced by less."""
+    rows, path = settle(silver(spark, folder), "silver"), work_path(spark, "dispositions")
+    early = rows.filter("event_time < TIMESTAMP_NTZ '2024-01-15 00:00:00'")
+    order, steps = dedup.newest_first(rows), [("absent", None, None)]
+    steps += [("replace", early, None), ("append", rows, None), ("merge", rows, ["event_id"]), ("replace again", early, None)]
+    counts = []
+    for step, df, keys in steps:
+        if df is not None:
+            tables.write_table(df, path, step.split()[0], keys, order if keys else None)
+        counts.append((step, tables.row_count(spark, path)))
+    return spark.createDataFrame(counts, "step string, row_count long")
+
+
+def _stored_anomalies(spark: SparkSession, folder: str) -> DataFrame:
+    """Checked features with stand-in flags, stored as anomaly results under a version and read back."""
+    rows, base = settle(features.hourly_features(silver(spark, folder)), "features"), work_path(spark, "anomalies")
+    checked = features.validate_features(rows, min_windows=24)
+    results = rows.withColumns({
+        "anomaly_score": F.col("attack_event_count") / -100.0, "is_anomaly": F.col("attack_event_count") >= 4,
+        "top_contributing_feature": F.when(F.col("attack_event_count") >= 4, "attack_event_count").otherwise("none")})
+    for version in ("v1", "v2"):
+        written = anomalies.persist_results(results, base, version)
+    return _rounded(tables.read_table(spark, tables.table_path(base, "gold.anomaly_results"), contracts.ANOMALY_RESULTS), "avg_severity_rank").withColumns(
+        {"rows_checked": F.lit(checked).cast("long"), "rows_written": F.lit(written).cast("long")})
+
+
+def storing() -> dict[str, Query]:
+    return {
+        "export_round_trip": _round_trip, "mart_from_csv": _mart_from_csv, "evolved_events": _evolved,
+        "write_dispositions": _dispositions, "stored_anomalies": _stored_anomalies,
+    }
+
+
 def semantic() -> dict[str, Query]:
     found = {name: _semantic(query) for name, query in SEMANTIC.items()}
     return found | {

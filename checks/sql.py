@@ -506,6 +506,22 @@ def checking() -> dict[str, str]:
     }
 
 
+def storing() -> dict[str, str]:
+    return {
+        "export_round_trip": SILVER + " SELECT silver.*, format FROM silver, (SELECT UNNEST(['jsonl', 'parquet', 'csv']) AS format)",
+        "mart_from_csv": GOLD + " SELECT * FROM by_country",
+        "evolved_events": SILVER + """ SELECT event_id, date_trunc('day', event_time)::TIMESTAMP AS event_time, severity_rank::BIGINT AS severity_rank, country,
+          NULL::VARCHAR AS department FROM silver""",
+        "write_dispositions": SILVER + """, c AS (SELECT count(*) AS n, count(*) FILTER (WHERE event_time < TIMESTAMP '2024-01-15') AS early FROM silver)
+          SELECT 'absent' AS step, 0::BIGINT AS row_count UNION ALL SELECT 'replace', early FROM c UNION ALL SELECT 'append', early + n FROM c
+          UNION ALL SELECT 'merge', n FROM c UNION ALL SELECT 'replace again', early FROM c""",
+        "stored_anomalies": FEATURES + """ SELECT window_start, window_end, attack_event_count / -100.0::DOUBLE AS anomaly_score, attack_event_count >= 4 AS is_anomaly,
+          CASE WHEN attack_event_count >= 4 THEN 'attack_event_count' ELSE 'none' END AS top_contributing_feature,
+          features.* EXCLUDE (window_start, window_end, avg_severity_rank), round(avg_severity_rank, 6) AS avg_severity_rank, 'v2' AS model_version,
+          count(*) OVER () AS rows_checked, count(*) OVER () AS rows_written FROM features""",
+    }
+
+
 # Streams see every version of an event: no deduplication before the rules.
 STREAMED = BRONZE + "," + refined("clean", "bronze")
 
