@@ -68,3 +68,53 @@ def test_added_spans_are_few_and_overlap_nothing(spark):
         assert not any(a < d and c < b for a, b in more for c, d in own)
         added += len(more)
     assert added <= 20
+
+
+def planted(spark, n, first):
+    """Documents with data in formats that the base patterns don't know, and with numbers that are no data."""
+    import random
+
+    r = random.Random(first)
+    rows, want, clean = [], {}, set()
+    for i in range(first, first + n):
+        digits = [str(r.randrange(10)) for _ in range(15)]
+        card = next("".join(digits) + str(c) for c in range(10) if P.luhn("".join(digits) + str(c)))
+        name = "".join(r.choice("abcdefghij") for _ in range(6))
+        datum = [f"{name}.{name[:3]} [at] {name}.example", ".".join(card[j:j + 4] for j in range(0, 16, 4)),
+                 f"{r.randrange(1, 9)} ({r.randrange(100, 999)}) 555-{r.randrange(1000, 9999)}"][i % 3]
+        kind = ["email", "card", "phone"][i % 3]
+        noise = f"on 20{r.randrange(10, 30)}-0{r.randrange(1, 9)}-1{r.randrange(9)} for 1,{r.randrange(300, 999)},{r.randrange(300, 999)}.00 in lot {r.randrange(10**6)}"
+        lead = f"words before {name} {noise} and "
+        if i % 6 < 3:
+            rows.append((i, lead + {"email": "mail ", "card": "card ", "phone": "call "}[kind] + datum + " please, more words", "en", "s"))
+            want[i] = f"{kind}:{len(lead) + 5}:{len(lead) + 5 + len(datum)}"
+        else:
+            rows.append((i, lead + "nothing else", "en", "s"))
+            clean.add(i)
+    return rows, want, clean
+
+
+def test_other_formats_are_found_also_where_they_are_common(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows, want, clean = planted(spark, 360, 10_000_000)
+    more = documents(spark, rows).select("doc_id", "text")
+    for table in (docs, docs.union(more)):
+        model = P.fit(table)
+        spans = {r.doc_id: r.spans for r in P.find(more, model).collect()}
+        assert sum(w in spans[i].split(",") for i, w in want.items()) >= 0.9 * len(want)
+        assert sum(spans[i] != "" for i in clean) <= 0.02 * len(clean)
+        gained = sum(len(r.spans.split(",")) > r.n_email + r.n_ip + r.n_card + r.n_phone for r in P.find(docs, model).collect() if r.spans)
+        assert gained <= 0.01 * len(spans)
+
+
+def test_many_spans_in_one_text_take_little_more_than_linear_time():
+    import time
+
+    def seconds(n):
+        text = " ".join(f"u{i}@h{i}.example" for i in range(n)) + " u [at] h.example"
+        start = time.perf_counter()
+        P.Finder(None).added([text], [P.base_spans(text)])
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(40_000) < 30 * max(seconds(4_000), 0.01)
