@@ -20,6 +20,11 @@ def kept(html, *others):
     ("<article><p>unclosed <b>bold", "unclosed bold"),
     ("<article><p title=\"a > b\">x</p><p class='ad-box'>buy<p>y</article>", "x\ny"),
     ("<div class='sidebar'>s<article>main</article></div>", "main"),
+    ("<article>Body</article><section id='comments'><article>reader comment</article></section>", "Body"),
+    ("<div class='related'><article>other</article></div><main><p>Body</p></main>", "Body"),
+    ("<div class='sidebar'><article>s</article></div><article>Body<div class='comments'><article>c</article></div></article>", "Body"),
+    ("<main><div class='social-history'><p>The social history of Rome</p></div><div class='social-links'>follow</div></main>", "The social history of Rome"),
+    ("<article><div class='search-and-rescue'>a</div><div class='related'>r</div><div class='post-share'>s</div>b</article>", "a\nb"),
     ("<article><p hidden>h</p><p style='display: none'>h</p><p>1 < 2</article>", "1 < 2"),
 ])
 def test_lines_by_markup(html, text):
@@ -115,3 +120,32 @@ def test_pairs_behind_many_copies(spark):
     found = {r.page_id: r.text for r in P.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(found[k] == "one\ntwo" for k in range(30))
     assert all(found[100 + k] == f"one {k}\ntwo {k}" for k in range(8)) and len(found) == 38
+
+
+def test_unclosed_elements_take_linear_time():
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        P.lines("<div>" * n + "x</p>" * n)
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(100_000) < 40 * max(seconds(10_000), 0.005)
+
+
+def test_pages_without_article_on_few_hosts(spark):
+    """All that pages of a host share goes, all else stays; one host has a third of the pages."""
+    import random
+
+    r = random.Random(7)
+    rows, want = [], {}
+    for k in range(600):
+        host = 0 if k % 3 == 0 else r.randrange(1, 6)
+        own = [f"line {k} {i} {r.randrange(10**6)}" for i in range(r.randrange(1, 8))]
+        menu = "".join(f"<div>menu {host} {i}</div>" for i in range(12))
+        body = "".join(f"<p>{x}</p>" for x in own)
+        rows.append((k, f"http://h{host}.example/{r.randrange(40)}/{k}", f"{menu}{body}<div>rights {host}</div>"))
+        want[k] = "\n".join(own)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)
+    assert {x.page_id: x.text for x in P.extract(pages).collect()} == want

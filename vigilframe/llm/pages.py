@@ -69,10 +69,15 @@ _NAMES = frozenset(
     "notice notices alert popup modal overlay newsletter subscribe subscription sidebar rail menu nav navbar navigation "
     "breadcrumb breadcrumbs share sharing social related recommended comment comments commentlist reply replies respond "
     "disqus footer masthead widget toolbar pagination pager login signup search skip skiplink".split())
+# Words that also begin names of text; inside an article they count alone, at the end or before one of these.
+_ALSO_TEXT = frozenset("social search related notice notices menu sharing share promotion promo banner subscription".split())
+_PARTS = frozenset("bar block box button buttons container content icon icons items link links list media nav panel posts section stories widget wrap wrapper".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split())
 _OUTER = frozenset(("header", "masthead", "topbar"))
 
 OPEN, MAIN, DROPPED = 0, 1, 2
+_MAYBE = 3
+"""An article inside a part that is dropped by its name: main text only if the page has no other."""
 
 
 def _marked(tag: str, attributes: str, inside: bool) -> bool:
@@ -92,7 +97,10 @@ def _marked(tag: str, attributes: str, inside: bool) -> bool:
                 parts = re.split(r"[-_]+", word)
                 if parts[0] in ("has", "no", "with", "without", "is"):
                     continue
-                if _NAMES.intersection((parts[0], parts[-1], word)) or not inside and word.endswith("header") and tag != "article":
+                named = {parts[0], parts[-1], word} & _NAMES
+                if inside and named == {parts[0]} <= _ALSO_TEXT and len(parts) > 1 and not _PARTS.intersection(parts):
+                    named = set()
+                if named or not inside and word.endswith("header") and tag != "article":
                     return True
     return False
 
@@ -101,6 +109,7 @@ def lines(page: str) -> list[tuple[str, int]]:
     """(line, zone) of every block with text, in order; zone is OPEN, MAIN or DROPPED."""
     found: list[tuple[str, int]] = []
     stack: list[tuple[str, int]] = []  # open elements with the zone they set
+    held: Counter[str] = Counter()  # how many of each tag are open
     parts: list[str] = []
     zone, at = OPEN, 0
 
@@ -111,6 +120,11 @@ def lines(page: str) -> list[tuple[str, int]]:
                 found.append((text, zone))
             parts.clear()
 
+    def close() -> str:
+        tag = stack.pop()[0]
+        held[tag] -= 1
+        return tag
+
     for m in _MARKUP.finditer(page):
         if m.start() > at:
             parts.append(page[at:m.start()])
@@ -122,33 +136,35 @@ def lines(page: str) -> list[tuple[str, int]]:
         if block:
             end_line()
         if m[2]:
-            if any(t == tag for t, _ in stack):
+            if held[tag]:
                 end_line()
-                while stack.pop()[0] != tag:
+                while close() != tag:
                     pass
                 zone = stack[-1][1] if stack else OPEN
             continue
         if block and tag not in _LOOSE | _VOID:
             while stack and stack[-1][0] == "p":
-                stack.pop()
+                close()
         elif tag in _LOOSE and stack and stack[-1][0] == tag:
-            stack.pop()
+            close()
         zone = stack[-1][1] if stack else OPEN
         if tag in _VOID or m[4].endswith("/") and not block:
             continue
-        if zone != DROPPED and _marked(tag, m[4], zone == MAIN):
+        if zone != DROPPED and _marked(tag, m[4], zone in (MAIN, _MAYBE)):
             if not block:
                 end_line()
             zone = DROPPED
-        elif tag in _MAIN and not (zone == DROPPED and any(t in _DROPPED for t, _ in stack)) and not _marked(tag, m[4], True):
-            zone = MAIN
+        elif tag in _MAIN and not (zone == DROPPED and any(held[t] for t in _DROPPED)) and not _marked(tag, m[4], True):
+            zone = _MAYBE if zone in (DROPPED, _MAYBE) else MAIN
         elif not block:
             continue
         stack.append((tag, zone))
+        held[tag] += 1
     if at < len(page):
         parts.append(page[at:])
     end_line()
-    return found
+    rescued = DROPPED if any(z == MAIN for _, z in found) else MAIN
+    return [(text, rescued if z == _MAYBE else z) for text, z in found]
 
 
 def shared(own: list[str], other: list[str]) -> set[int]:
