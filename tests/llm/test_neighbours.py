@@ -45,6 +45,18 @@ def test_recall_and_scores(spark, monkeypatch):
     assert np.allclose([x[3] for x in hits], [want[x[0], x[2]] for x in hits], rtol=1e-12)
 
 
+def test_equal_vectors_come_in_order_of_ids():
+    r = np.random.default_rng(8)
+    for trial in range(400):
+        n = int(r.integers(30, 200))
+        ids, x = r.permutation(5 * n)[:n], r.normal(size=(n, 37))
+        copies = r.choice(n, 12, replace=False)
+        x[copies] = x[copies[0]]
+        query = x[copies[0]] + r.normal(size=37) / 100
+        got = [i for _, i, _ in N.Forest(ids, x, 4, 1).search(np.array([-1]), query[None], 12, 1.0)]
+        assert got == sorted(ids[copies].tolist())
+
+
 def test_recall_on_the_table(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     got = N.nearest(table, F.col("vec_id") % 50 == 0).collect()

@@ -100,9 +100,11 @@ class Forest:
             rows = np.flatnonzero(seen & (self.ids != query_id))
             score = (self.vectors[rows] @ queries[q]) / (self.norms[rows] * norms[q])
             if len(rows) > nearest:
-                # All that tie with the last one are kept until the ids decide.
+                # All that may tie with the last one are kept until the ids decide.
                 least = np.partition(score, len(rows) - nearest)[len(rows) - nearest]
-                rows, score = rows[score >= least], score[score >= least]
+                rows = rows[score >= least - 1e-9]
+            # A product of matrices rounds by a row's place in it; a sum of its own row doesn't.
+            score = (self.vectors[rows] * queries[q]).sum(1) / (self.norms[rows] * norms[q])
             best = np.lexsort((self.ids[rows], -score))[:nearest]
             out += [(int(query_id), int(self.ids[rows[i]]), float(score[i])) for i in best]
         return out
