@@ -60,12 +60,12 @@ def vectors(seed, n, d=32, spread=1.0):
 
 
 def test_equals_the_plain_version(spark):
-    same(spark, vectors(1, 700))
+    same(spark, vectors(1, 400))
 
 
 @pytest.mark.parametrize("options", [{"bounds": 1}, {"bounds": 2, "rounds": 5}, {"bounds": 63, "rounds": 4}, {"entries": 5, "rounds": 6}, {"rounds": 1}])
 def test_equals_the_plain_version_for_any_number_of_bounds(spark, options):
-    same(spark, vectors(2, 300), **options)
+    same(spark, vectors(2, 150), **options)
 
 
 def test_ties_and_repeated_rows(spark):
