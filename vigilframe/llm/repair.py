@@ -178,18 +178,20 @@ def _plans(rows: DataFrame) -> DataFrame:
     fault = lambda name: F.count_if(held & (F.col("_fault") == name)).alias(name)
     new_turn = held & F.col("turn").isNotNull() & ((F.col("_row") == 1) | F.col("_before").isNull() | (F.col("_before") != F.col("turn")))
     letters = F.sort_array(F.collect_list(F.when(held, F.struct("_row", "_letter"))))
+    # The id comes along so that this branch reads the same shuffled columns as the rows it is joined to.
     blocks = rows.groupBy("_key", F.floor((F.col("_row") - 1) / BLOCK).alias("_block")).agg(
-        F.min(F.when(held, F.col("turn"))).alias("_low"), F.max(F.when(held, F.col("turn"))).alias("_high"),
+        F.first("conv_id").alias("conv_id"), F.min(F.when(held, F.col("turn"))).alias("_low"), F.max(F.when(held, F.col("turn"))).alias("_high"),
         F.count_if(new_turn).alias("_turns"), fault("blank"), fault("duplicate"), fault("truncated"),
         F.count_if(held & (F.col("_row") > 1) & ~F.col("_pair").isin("su", "ua", "au")).alias("illegal"),
         F.array_join(F.transform(letters, lambda x: x["_letter"]), "").alias("_pattern"))
     whole = blocks.groupBy("_key").agg(
-        F.coalesce(F.max("_high") - F.min("_low") + 1 - F.sum("_turns"), F.lit(0)).cast("long").alias("gaps"),
+        F.first("conv_id").alias("_id"), F.coalesce(F.max("_high") - F.min("_low") + 1 - F.sum("_turns"), F.lit(0)).cast("long").alias("gaps"),
         *[F.sum(n).alias(n) for n in ("blank", "duplicate", "truncated", "illegal")],
         F.sort_array(F.collect_list(F.when(F.col("_pattern") != "", F.struct("_block", "_pattern")))).alias("_all"))
-    whole = whole.select("_key", "gaps", "blank", "duplicate", "truncated", "illegal",
+    id_type = rows.schema["conv_id"].dataType.simpleString()
+    whole = whole.select("_key", "_id", "gaps", "blank", "duplicate", "truncated", "illegal",
                          F.transform("_all", lambda x: x["_pattern"]).alias("_blocks"))
-    return whole.mapInArrow(_search_all, f"_key string, {_COUNTS}")
+    return whole.mapInArrow(_search_all, f"_key string, _id {id_type}, {_COUNTS}")
 
 
 def _with_plans(turns: DataFrame) -> DataFrame:
@@ -198,7 +200,7 @@ def _with_plans(turns: DataFrame) -> DataFrame:
     ordered = rows.select("_key", "conv_id", "_row", "_lost", "role", "text")
     plans = _plans(rows).withColumnRenamed("_key", "_of")
     joined = ordered.join(plans, (F.col("_key") == F.col("_of")) & (F.col("_row") == 1), "left")
-    return joined.drop("_of").sortWithinPartitions("_key", "_row")
+    return joined.drop("_of", "_id").sortWithinPartitions("_key", "_row")
 
 
 class _Repair:
