@@ -202,8 +202,8 @@ def _groups(sorted_values: np.ndarray) -> np.ndarray:
 
 
 def _routed(hashes: np.ndarray, mergers: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(merger, places) for all mergers that the hashes belong to."""
-    to = ((hashes >> np.uint64(32)) * np.uint64(mergers) >> np.uint64(32)).astype(np.int64)
+    """(merger, places) for all mergers that the hashes belong to. Anchors are minima of hashes, so they are spread anew."""
+    to = ((mixed(hashes) >> np.uint64(32)) * np.uint64(mergers) >> np.uint64(32)).astype(np.int64)
     order = np.argsort(to, kind="stable")
     ends = np.searchsorted(to[order], np.arange(mergers + 1))
     for m in np.flatnonzero(np.diff(ends)):
