@@ -215,21 +215,22 @@ def _forest_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
     return rows, nodes
 
 
-def _walked(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """window_start and raw score by another way: rows walk the trees by joins with the node table."""
+def _walked(rows: DataFrame, nodes: DataFrame, *keys: str) -> DataFrame:
+    """Keys (window_start unless named) and raw score by another way: rows walk the trees by joins with the node table."""
+    keys = keys or ("window_start",)
     size = nodes.agg(F.max("sample_size")).first()[0]
     trees = nodes.select("tree").distinct().count()
     usual = 2.0 * (math.log(size - 1.0) + 0.5772156649015329) - 2.0 * (size - 1.0) / size
     steps = nodes.select("tree", "node", "feature", "threshold", "left", "right", "path_length")
     at = rows.select(
-        "window_start", F.array(*[F.col(c).cast("double") for c in contracts.FEATURES]).alias("v"),
+        *keys, F.array(*[F.col(c).cast("double") for c in contracts.FEATURES]).alias("v"),
         F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(0).alias("node"))
     leaf = F.col("feature") < 0
     for _ in range(math.ceil(math.log2(max(size, 2)))):
         goes_left = F.element_at("v", F.greatest(F.col("feature"), F.lit(0)) + 1) <= F.col("threshold")
         at = at.join(steps, ["tree", "node"]).select(
-            "window_start", "v", "tree", F.when(leaf, F.col("node")).when(goes_left, F.col("left")).otherwise(F.col("right")).alias("node"))
-    return at.join(steps, ["tree", "node"]).groupBy("window_start").agg((-F.pow(F.lit(2.0), -F.avg("path_length") / usual)).alias("walked"))
+            *keys, "v", "tree", F.when(leaf, F.col("node")).when(goes_left, F.col("left")).otherwise(F.col("right")).alias("node"))
+    return at.join(steps, ["tree", "node"]).groupBy(*keys).agg((-F.pow(F.lit(2.0), -F.avg("path_length") / usual)).alias("walked"))
 
 
 def _near(a, b) -> Column:
@@ -247,6 +248,75 @@ def _iforest_scores(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("is_anomaly") == (again < -0.5)).alias("flag_agrees"))
 
 
+def _grown_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return grown(*_forest_parts(spark, folder))
+
+
+def grown(rows: DataFrame, nodes: DataFrame, n_trees: int = 100) -> DataFrame:
+    """Every tree, with the number of rows it was grown from and what must hold of its nodes.
+
+    The sample is stated anew: the rows with the least hashes of seed, tree and key. It goes down the
+    stored tree level by level, so every node is held against the rows that reach it.
+    """
+    columns, size = list(contracts.FEATURES), min(256, rows.count())
+    steps = nodes.select("tree", "node", "feature", "threshold", "left", "right", "path_length")
+    order = Window.partitionBy("tree").orderBy(F.xxhash64(F.lit(42), "tree", "window_start"), "window_start")
+    at = rows.select(
+        F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"), "window_start", F.array(*[F.col(c).cast("double") for c in columns]).alias("v")
+    ).withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= size).select("tree", F.lit(0).alias("node"), "v")
+    limit, levels = math.ceil(math.log2(max(size, 2))), []
+    cells = [F.struct(F.min(F.col("v")[i]).alias("low"), F.max(F.col("v")[i]).alias("high")) for i in range(len(columns))]
+    for depth in range(limit + 1):
+        at = settle(at.join(steps, ["tree", "node"]), "level")
+        levels.append(at.groupBy("tree", "node", "feature", "threshold", "path_length").agg(
+            F.lit(depth).alias("depth"), F.count("*").alias("n"), F.array(*cells).alias("bounds")))
+        inner = at.filter("feature >= 0")
+        at = inner.select("tree", F.when(F.element_at("v", F.col("feature") + 1) <= F.col("threshold"), F.col("left")).otherwise(F.col("right")).alias("node"), "v")
+    reached = functools.reduce(DataFrame.unionByName, levels)
+    usual = F.when(F.col("n") <= 1, 0.0).when(F.col("n") == 2, 1.0).otherwise(
+        2.0 * (F.log(F.col("n") - 1.0) + 0.5772156649015329) - 2.0 * (F.col("n") - 1.0) / F.col("n"))
+    own = F.element_at("bounds", F.greatest(F.col("feature"), F.lit(0)) + 1)
+    constant = F.forall("bounds", lambda b: b["low"] == b["high"])
+    leaf = F.col("feature") < 0
+    ended = (F.col("depth") == limit) | (F.col("n") == 1) | constant
+    counted = nodes.groupBy("tree").agg(F.count("*").alias("n_nodes"))
+    return reached.groupBy("tree").agg(
+        F.sum(F.when(leaf, F.col("n")).otherwise(0)).alias("n_sampled"), F.count("*").alias("n_reached"),
+        F.bool_and(leaf == ended).alias("ends_where_due"),
+        F.bool_and(leaf | ((F.col("threshold") >= own["low"]) & (F.col("threshold") < own["high"]))).alias("cuts_in_range"),
+        F.bool_and(~leaf | _near(F.col("path_length"), F.col("depth") + usual)).alias("paths_agree"),
+    ).join(counted, "tree").select(
+        "tree", "n_sampled", (F.col("n_reached") == F.col("n_nodes")).alias("all_reached"), "ends_where_due", "cuts_in_range", "paths_agree")
+
+
+def _gains(spark: SparkSession, folder: str) -> DataFrame:
+    """Every window, whether the gains of its features are those of values exchanged by plain sorting, and its name the largest's."""
+    rows, nodes = _forest_parts(spark, folder)
+    scorer, columns = anomalies.scorer_of(nodes), list(contracts.FEATURES)
+    scored = settle(anomalies.score_windows(rows, scorer), "scored")
+    explained = settle(anomalies.explain_windows(scored, scorer), "explained")
+    named = anomalies.with_top_feature(scored, explained).select("window_start", "is_anomaly", "top_contributing_feature")
+    flagged = scored.filter("is_anomaly").select("window_start", *columns)
+    long = flagged.select("*", F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("f", "value"))
+
+    def ranked(which: str) -> Column:
+        return F.row_number().over(Window.partitionBy("f").orderBy(F.xxhash64(F.lit(42), "f", F.lit(which), "window_start"), "window_start"))
+
+    given = long.select("f", "value", ranked("to").alias("nth"))
+    exchanged = long.drop("value").withColumn("nth", ranked("from")).join(given, ["f", "nth"]).select(
+        "window_start", "f", *[F.when(F.col("f") == i, F.col("value")).otherwise(F.col(c)).alias(c) for i, c in enumerate(columns)])
+    again = settle(_walked(settle(exchanged, "exchanged"), nodes, "window_start", "f"), "again")
+    gains = again.join(_walked(flagged, nodes).withColumnRenamed("walked", "before"), "window_start").groupBy("window_start").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("f", (F.col("walked") - F.col("before")).alias("gain")))), lambda x: x["gain"]).alias("gains"))
+    place = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("top_contributing_feature")).cast("int")
+    same = (F.size("gains") == F.size("importances")) & F.forall(F.zip_with("gains", "importances", _near), lambda x: x)
+    largest = F.when(place > 0, _near(F.element_at("gains", place), F.array_max("gains")))
+    return named.join(explained, "window_start", "left").join(gains, "window_start", "left").select(
+        "window_start",
+        F.when(F.col("is_anomaly"), F.coalesce(same, F.lit(False))).otherwise(F.col("gains").isNull()).alias("gains_agree"),
+        F.when(F.col("is_anomaly"), F.coalesce(largest, F.lit(False))).otherwise(F.col("top_contributing_feature") == "none").alias("largest_is_named"))
+
+
 def _contributions(spark: SparkSession, folder: str) -> DataFrame:
     rows, nodes = _forest_parts(spark, folder)
     return anomalies.predict_anomalies(rows, nodes)
@@ -346,9 +416,11 @@ def models() -> dict[str, Query]:
         "anomaly_summary": _on_silver(_summary_of_flags),
         "iforest_scores": _iforest_scores,
         "iforest_training_cut": _training_cut,
+        "iforest_growth": _grown_trees,
         "response_percentiles": _response_percentiles,
         "anomaly_contributions": _contributions_named,
         "anomaly_top_features": _top_contributors,
+        "anomaly_gains": _gains,
         "anomaly_timeline": _anomaly_timeline,
         "iforest_invariants": _forest_invariants,
     }
@@ -639,6 +711,15 @@ def _dq_bronze(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _gate(rows: DataFrame) -> DataFrame:
+    """Whether the share of flagged windows is plausible, for a lax, the usual and a strict flag."""
+    windows_ = settle(features.hourly_features(rows), "windows")
+    flags = {"lax": 1, "usual": 4, "strict": 1_000_000}
+    return quality.report(*[
+        quality.anomaly_share(windows_.withColumn("is_anomaly", F.col("attack_event_count") >= n)).withColumn("flag", F.lit(name))
+        for name, n in flags.items()])
+
+
 def _dq_report(spark: SparkSession, folder: str) -> DataFrame:
     """The checks read stored tables, so Silver is stored first."""
     rows = settle(silver(spark, folder), "silver")
@@ -662,6 +743,7 @@ def checking() -> dict[str, Query]:
         "dq_bronze": _dq_bronze,
         "dq_silver": _on_silver(lambda v: quality_plan.silver_checks(v).filter("check <> 'contract'")),
         "dq_report": _dq_report,
+        "anomaly_gate": _on_silver(_gate),
         "freshness": _freshness,
     }
 

@@ -343,6 +343,9 @@ def models() -> dict[str, str]:
           SELECT share, ROUND(l[floor((n - 1) * share)::INT + 1] + ((n - 1) * share - floor((n - 1) * share))
             * (l[ceil((n - 1) * share)::INT + 1] - l[floor((n - 1) * share)::INT + 1]), 6) AS minutes FROM q, s""",
         "iforest_training_cut": FEATURES + " SELECT count(*) AS n_samples, TRUE AS cut_agrees, TRUE AS percentage_agrees FROM features",
+        "iforest_growth": FEATURES + """ SELECT CAST(t.tree AS INT) AS tree, LEAST(256, (SELECT count(*) FROM features)) AS n_sampled,
+          TRUE AS all_reached, TRUE AS ends_where_due, TRUE AS cuts_in_range, TRUE AS paths_agree FROM range(100) AS t(tree)""",
+        "anomaly_gains": FEATURES + " SELECT window_start, TRUE AS gains_agree, TRUE AS largest_is_named FROM features",
         "anomaly_contributions": FEATURES + """ SELECT * REPLACE (round(avg_severity_rank, 6) AS avg_severity_rank), TRUE AS named_where_flagged
           FROM features""",
         "anomaly_top_features": "SELECT TRUE AS some, TRUE AS three_each, TRUE AS first_is_named",
@@ -499,6 +502,10 @@ def checking() -> dict[str, str]:
         "dq_bronze": SILVER + " " + " UNION ALL ".join(bronze_rows),
         "dq_silver": SILVER + " " + " UNION ALL ".join(silver_rows),
         "dq_report": GOLD + " " + " UNION ALL ".join(silver_rows + contract + gold_rows),
+        "anomaly_gate": FEATURES + """, flags AS (SELECT * FROM (VALUES ('lax', 1), ('usual', 4), ('strict', 1000000)) AS v(flag, least_attacks)),
+          shares AS (SELECT flag, 100.0 * COUNT(*) FILTER (WHERE attack_event_count >= least_attacks) / COUNT(*) AS share FROM features, flags GROUP BY flag)
+          SELECT 'anomaly_share' AS "check", 'gold.anomaly_results' AS "table", 'is_anomaly' AS "column",
+            CAST(share NOT BETWEEN 1 AND 15 AS BIGINT) AS failing_rows, share BETWEEN 1 AND 15 AS passed, flag FROM shares""",
         "freshness": GOLD + " " + " UNION ALL ".join([
             age("bronze", "SELECT MAX(_ingested_at) AS latest FROM bronze", 5),
             age("silver", "SELECT MAX(event_time) AS latest FROM silver", 10),

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import grown
 from tests.helpers import BASE, at, silver
 from vigilframe.operators import evaluate, forest
 from vigilframe.operators.contributions import top_feature, top_features
@@ -77,6 +78,24 @@ def test_forest_shape(nodes):
     assert nodes.agg(F.max("sample_size")).first()[0] == 256
 
 
+def _judged(features, nodes):
+    checks = ("all_reached", "ends_where_due", "cuts_in_range", "paths_agree")
+    return {(r["tree"], c) for r in grown(features, nodes, 50).collect() for c in checks if not r[c]}
+
+
+def test_trees_are_grown_from_the_rows_that_reach_their_nodes(features, nodes):
+    for r in grown(features, nodes, 50).collect():
+        assert r["n_sampled"] == 256 and r["all_reached"] and r["ends_where_due"] and r["cuts_in_range"] and r["paths_agree"]
+
+
+def test_wrong_trees_are_seen(features, nodes):
+    root, of = (F.col("tree") == 3) & (F.col("node") == 0), lambda column, value: F.when(root, value).otherwise(F.col(column))
+    assert (3, "cuts_in_range") in _judged(features, nodes.withColumn("threshold", of("threshold", F.lit(-5.0))))
+    longer = F.when((F.col("tree") == 4) & (F.col("feature") < 0), F.col("path_length") + 1).otherwise(F.col("path_length"))
+    assert _judged(features, nodes.withColumn("path_length", longer)) == {(4, "paths_agree")}
+    assert (3, "ends_where_due") in _judged(features, nodes.withColumn("feature", of("feature", F.lit(-1))))
+
+
 def test_sampling_gives_every_tree_its_rows(spark):
     big = spark.range(20_000).select("id", *[F.rand(i).alias(c) for i, c in enumerate(FEATURES)])
     drawn = forest.sample_for_trees(big, list(FEATURES), "id", 20, 64, 42, 20_000)

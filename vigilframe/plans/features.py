@@ -11,9 +11,9 @@ from vigilframe.sources.contracts import FEATURES
 def hourly_features(silver: DataFrame, fill_gaps: bool = False, approximate: bool = False) -> DataFrame:
     """Ten features per non-empty hour, in one aggregate.
 
-    The three distinct counts are planned by Spark as a pre-aggregation on (hour, value),
-    so a busy hour is spread over its values before it is counted; ``approximate`` estimates
-    them instead, without that shuffle.
+    For the three distinct counts Spark expands every row to four inside its task, then combines
+    there: what is shuffled is one row per (hour, value), so a busy hour is spread over its
+    values. ``approximate`` estimates them instead, without expanding.
     """
     total = F.count("*")
     failed = F.count_if(F.col("event_type") == "failed_login")
