@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from vigilframe.functions import events as ev
 from vigilframe.operators import dedup, detect, evaluate, forest, heavy, quality, selection, validate
 from vigilframe.operators.filters import FilterSpec, apply_filters
-from vigilframe.plans import anomalies, features, gold, ingest, partials, rollups
+from vigilframe.plans import anomalies, features, gold, ingest, partials, pipeline, rollups
 from vigilframe.plans import quality as quality_plan, semantic as semantic_plan, silver as silver_plan
 from vigilframe.session import settle, use_utc, work_path
 from vigilframe.sources import bridge, bucketed, contracts, tables
@@ -670,7 +670,7 @@ def _stored_anomalies(spark: SparkSession, folder: str) -> DataFrame:
 def storing() -> dict[str, Query]:
     return {
         "export_round_trip": _round_trip, "mart_from_csv": _mart_from_csv, "evolved_events": _evolved,
-        "write_dispositions": _dispositions, "stored_anomalies": _stored_anomalies,
+        "run_history": _run_history, "write_dispositions": _dispositions, "stored_anomalies": _stored_anomalies,
     }
 
 
@@ -919,6 +919,20 @@ def _incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
         *contracts.SOURCE_FIELDS, "_ingested_at")
 
 
+def _run_history(spark: SparkSession, folder: str) -> DataFrame:
+    """What is noted of two whole runs over a folder that grows; the second counts every stage as slow."""
+    path = work_path(spark, "history")
+    for odd, limit in ((0, 1e9), (1, 0.0)):
+        _full_lines(spark, folder, f"{path}/raw", 2, where=f"event_id % 2 = {odd}")
+        pipeline.run_pipeline(spark, f"{path}/raw", f"{path}/base", slow_after=limit, pattern="*.txt")
+    runs = tables.read_table(spark, tables.table_path(f"{path}/base", "pipeline_runs"), contracts.PIPELINE_RUNS)
+    slow = quality.slow_stages(runs).select("run_id", F.lit(True).alias("is_slow"))
+    return runs.join(slow, "run_id", "left").select(
+        F.row_number().over(Window.orderBy("start_time")).alias("run"), "stages_completed", "stages_failed",
+        "records_ingested", "records_transformed", "records_rejected", "slow_stages", F.coalesce("is_slow", F.lit(False)).alias("is_slow"),
+        (F.col("end_time") >= F.col("start_time")).alias("ends_after_start"))
+
+
 def _merge_older_last(spark: SparkSession, folder: str) -> DataFrame:
     """Second versions are merged first, first versions last: the newest of each event stays."""
     rows, path = bronze(spark, folder), work_path(spark, "older-last")

@@ -522,6 +522,12 @@ def storing() -> dict[str, str]:
         "write_dispositions": SILVER + """, c AS (SELECT count(*) AS n, count(*) FILTER (WHERE event_time < TIMESTAMP '2024-01-15') AS early FROM silver)
           SELECT 'absent' AS step, 0::BIGINT AS row_count UNION ALL SELECT 'replace', early FROM c UNION ALL SELECT 'append', early + n FROM c
           UNION ALL SELECT 'merge', n FROM c UNION ALL SELECT 'replace again', early FROM c""",
+        "run_history": BRONZE + r""", firsts AS (SELECT * FROM bronze WHERE _batch_id LIKE '%\_001' ESCAPE '\'),""" + silver_cte("kept", "firsts") + """,
+          of_run AS (SELECT 1 AS run, 0 AS odd UNION ALL SELECT 2, 1)
+          SELECT run, 'ingest,silver,gold,anomalies' AS stages_completed, NULL::VARCHAR AS stages_failed,
+            (SELECT count(*) FROM firsts WHERE CAST(substr(event_id, 4) AS BIGINT) % 2 = odd) AS records_ingested,
+            (SELECT count(*) FROM kept WHERE CAST(substr(event_id, 4) AS BIGINT) % 2 <= odd) AS records_transformed, 0::BIGINT AS records_rejected,
+            CASE WHEN run = 2 THEN 'ingest,silver,gold,anomalies' END AS slow_stages, run = 2 AS is_slow, TRUE AS ends_after_start FROM of_run""",
         "stored_anomalies": FEATURES + """ SELECT window_start, window_end, attack_event_count / -100.0::DOUBLE AS anomaly_score, attack_event_count >= 4 AS is_anomaly,
           CASE WHEN attack_event_count >= 4 THEN 'attack_event_count' ELSE 'none' END AS top_contributing_feature,
           features.* EXCLUDE (window_start, window_end, avg_severity_rank), round(avg_severity_rank, 6) AS avg_severity_rank, 'v2' AS model_version,
