@@ -16,7 +16,7 @@ from vigilframe.operators.filters import FilterSpec, apply_filters
 from vigilframe.plans import anomalies, features, gold, ingest, partials, pipeline, rollups
 from vigilframe.plans import quality as quality_plan, semantic as semantic_plan, silver as silver_plan
 from vigilframe.session import settle, use_utc, work_path
-from vigilframe.sources import bridge, bucketed, contracts, tables
+from vigilframe.sources import bridge, bucketed, contracts, files, tables
 from vigilframe.streaming import exact, sinks, sources as stream, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -812,12 +812,33 @@ def _stream_hourly(spark: SparkSession, folder: str) -> DataFrame:
 _YEAR = 365 * 86_400
 
 
+_FILE_ROWS = 1 << 17
+
+
 def _dealt(spark: SparkSession, folder: str, batches: int, batch: Column, rows: DataFrame | None = None) -> DataFrame:
-    """All Bronze rows as a stream of so many micro-batches, a file each; ``batch`` numbers them from 0."""
+    """All Bronze rows as a stream of so many micro-batches; ``batch`` numbers them from 0.
+
+    Every micro-batch has the same number of files, about _FILE_ROWS rows each in the largest: a stream takes
+    files by their age, so many at a time.
+    """
     rows, path = bronze(spark, folder) if rows is None else rows, work_path(spark, "dealt")
+    rows.withColumn("_number", batch.cast("int")).filter(F.col("_number").between(0, batches - 1)).write.partitionBy(
+        "_number").parquet(f"{path}/all")
+    dealt = spark.read.schema(f"{exact._ddl(rows)}, _number int").parquet(f"{path}/all")
+    counts = {r["_number"]: r["count"] for r in dealt.groupBy("_number").count().collect()}
+    each = max(1, -(-max(counts.values(), default=0) // _FILE_ROWS))
+    none = spark.createDataFrame([], rows.schema).coalesce(1)
     for n in range(batches):
-        rows.filter(batch == n).coalesce(1).write.mode("append").parquet(path)
-    return stream.stream_table(spark, path, rows.schema, max_files=1)
+        kept = dealt.filter(F.col("_number") == n).select(*rows.columns)
+        if counts.get(n):
+            kept.repartition(min(each, counts[n])).write.mode("append").parquet(f"{path}/files")
+        while len(_part_files(spark, f"{path}/files")) < each * (n + 1):
+            none.write.mode("append").parquet(f"{path}/files")
+    return stream.stream_table(spark, f"{path}/files", rows.schema, max_files=each)
+
+
+def _part_files(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in files.children(spark, path) if n.startswith("part-")]
 
 
 def _mixed(batches: int) -> Column:
