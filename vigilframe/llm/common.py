@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,24 @@ def small_batches(docs: DataFrame, most: int = 4 << 20) -> DataFrame:
     return docs
 
 
+_KEPT: dict[str, Any] = {}
+
+
+def kept(key: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, once per Python worker: it outlives a task, until ``let_go``."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def let_go() -> None:
+    """Frees what tasks of other operators have kept: a worker that goes on to other work holds it for nothing."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """UTF-8 bytes of a whole column, from one scan of it."""
     return docs.agg(F.sum(F.octet_length(column)).alias("n")).first()["n"] or 0

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from vigilframe.llm.common import bytes_of, slices, small_batches
+from vigilframe.llm.common import bytes_of, let_go, slices, small_batches
 from vigilframe.session import settle
 
 PRIMES = (2147483647, 2147483629)
@@ -97,6 +97,7 @@ def _values(column) -> Iterator[tuple[tuple[int, int, int], list[np.ndarray]]]:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     for batch in batches:
         prints, shas = [], []
         for print_, pieces in _values(batch.column("text")):

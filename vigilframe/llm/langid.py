@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vigilframe.llm.common import bytes_of, ranges, slices, small_batches
+from vigilframe.llm.common import bytes_of, let_go, ranges, slices, small_batches
 from vigilframe.session import settle
 
 SAMPLE = 24_000
@@ -184,6 +184,7 @@ def keep_identified(docs: DataFrame, parser: Parser) -> DataFrame:
     lang = next((i for i, x in enumerate(columns) if x.lower() == "lang"), None)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             lettered, held = batch.column("_lang_lettered"), batch.select(columns)
             if parser.names:

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from vigilframe.llm.common import bytes_of, ranges, slices, small_batches
+from vigilframe.llm.common import bytes_of, let_go, ranges, slices, small_batches
 from vigilframe.llm.graph import components
 from vigilframe.session import settle
 
@@ -152,6 +152,7 @@ def _each_slice(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, n
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     for batch in batches:
         for at, to, data, offsets in _each_slice(batch):
             hashes, sizes = shingle_sets(data, offsets)

@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from vigilframe.llm.common import bytes_of, slices, small_batches
+from vigilframe.llm.common import bytes_of, kept, slices, small_batches
 from vigilframe.session import settle
 
 WINDOW = 4096
@@ -55,10 +55,17 @@ class Recent:
     def __init__(self, most: int):
         self.most, self.young, self.old = most, {}, {}
 
-    def known(self, words: set[str]) -> None:
-        """Keep what is remembered of ``words`` for another turn."""
-        for word in (words - self.young.keys()) & self.old.keys():
-            self.young[word] = self.old[word]
+    def known(self, words: set[str]) -> set[str]:
+        """Keep what is remembered of ``words`` for another turn; returns the others.
+
+        The difference with the dictionary itself looks up each word; one with its keys would pass over all that is remembered.
+        """
+        missing = words.difference(self.young)
+        if self.old:
+            again = {word: value for word in missing if (value := self.old.get(word)) is not None}
+            self.young.update(again)
+            missing.difference_update(again)
+        return missing
 
     def add(self, words: list[str], values: list[bytes]) -> None:
         if len(self.young) + len(words) > self.most:
@@ -104,9 +111,10 @@ class Encoder:
             else:
                 other.add(word)
         parts = {x for both in split.values() for x in both}
-        self.words.known(parts)
-        new = (parts | plain | other) - self.words.young.keys()
-        letters, rest = [x for x in new if x.isalpha()], [x for x in new if not x.isalpha()]
+        new = self.words.known(parts) | plain.difference(self.words.young) | other
+        letters, rest = [], []
+        for x in new:
+            (letters if x.isalpha() else rest).append(x)
         known = self.words.young
         self.words.add(letters + rest, self._fresh(letters) + self._fresh(rest))
         if self.words.young is not known:  # it has just filled up
@@ -117,10 +125,8 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [separated(x).split(" ") for x in texts]
         words = set().union(*split) - {""}
-        self.words.known(words)
-        while unknown := words - self.words.young.keys():
+        while unknown := self.words.known(words):
             self._learn(unknown)
-            self.words.known(words)
         known = self.words.young
         known[""] = b""
         return [b"".join(map(known.__getitem__, x)) for x in split]
@@ -139,21 +145,11 @@ def separated(text: str) -> str:
     return text.lower().replace(". ", " . ").replace(", ", " , ")
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def _encoder(path: str) -> Encoder:
-    """One per Python worker, so that what it remembers outlives a task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
 def _pieces(path: str, window: int, end: int):
     tail = end.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = kept(f"encoder {path}", lambda: Encoder(path))
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
             _, offsets = bytes_of(texts)
