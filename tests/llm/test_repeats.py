@@ -85,3 +85,17 @@ def test_steps_meet(monkeypatch):
     whole = R.anchors(data)
     monkeypatch.setattr(R, "STEP", 77)
     assert all(len(a) == len(b) and (a == b).all() for a, b in zip(whole, R.anchors(data)))
+
+
+@given(st.lists(st.integers(0, 9)))
+def test_distinct_values_rise(values):
+    assert R.distinct(np.array(values, np.uint64)).tolist() == sorted(set(values))
+
+
+def test_nothing_is_hashed_to_find_distinct_numbers(monkeypatch):
+    monkeypatch.setattr(np, "unique", None)
+    text = words(3, 300)
+    table = R.pa.table({"part": [0, 0], "doc_id": [1, 2], "text": [text.encode()] * 2})
+    named = R._name(1)(table)
+    offered = R._offer(1)((R.pa.scalar(0),), table, R._meet(named))
+    assert R._finish(False)(table, R._answer(offered)).column("n_removed").to_pylist() == [0, len(text.encode())]

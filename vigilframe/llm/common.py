@@ -77,6 +77,12 @@ def slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         at = to
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The different values in rising order, by one sort: NumPy's own function hashes them first, which takes many times as long."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for every (start, length), one after the other."""
     total = int(lengths.sum())

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from vigilframe.llm.common import bytes_of, ranges, small_batches, text_bytes
+from vigilframe.llm.common import bytes_of, distinct, ranges, small_batches, text_bytes
 from vigilframe.llm.minhash import mixed
 
 LENGTH = 50
@@ -157,7 +157,7 @@ class Shard:
         ids = table.column("doc_id").fill_null(0).to_numpy()
         first, _, name = anchors(self.data)
         # Runs end where documents do; windows across two documents don't count.
-        starts = np.unique(np.concatenate([first, self.offsets[:-1]]))
+        starts = distinct(np.concatenate([first, self.offsets[:-1]]))
         starts = starts[starts < len(self.data) - LENGTH + 1] if len(first) else starts[:0]
         run = np.searchsorted(first, starts, "right") - 1
         row = np.searchsorted(self.offsets, starts, "right") - 1
@@ -186,7 +186,7 @@ class Shard:
         order = np.argsort(self.name, kind="stable")
         own = self.name[order]
         twice = own[1:][own[1:] == own[:-1]]
-        return _among(self.name, names) | _among(self.name, np.unique(twice))
+        return _among(self.name, names) | _among(self.name, distinct(twice))
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -238,7 +238,7 @@ _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256
 def _name(mergers: int):
     """Step 1."""
     def run(table: pa.Table) -> pa.Table:
-        found, part = np.unique(Shard(table).name), table.column("part")[0].as_py()
+        found, part = distinct(Shard(table).name), table.column("part")[0].as_py()
         return _table(_NAMED, [(m, part, found[i]) for m, i in _routed(found, mergers)])
 
     return run
@@ -248,7 +248,7 @@ def _meet(table: pa.Table) -> pa.Table:
     """Step 2. Every part's anchors come sorted."""
     own = _arrays(table, "anchors", np.uint64)
     every = np.sort(np.concatenate(own))
-    several = np.unique(every[1:][every[1:] == every[:-1]])
+    several = distinct(every[1:][every[1:] == every[:-1]])
     rows = [(part, names[_among(names, several)]) for part, names in zip(table.column("part").to_pylist(), own)]
     return _table(_MET, [x for x in rows if len(x[1])])
 
@@ -286,7 +286,7 @@ def _answer(table: pa.Table) -> pa.Table:
     least = np.empty(len(doc), np.int64)
     least[order] = np.repeat(doc[order][begins], np.diff(np.append(begins, len(order))))
     names = name[order][begins]
-    mixed_ = np.unique(names[1:][names[1:] == names[:-1]])
+    mixed_ = distinct(names[1:][names[1:] == names[:-1]])
     asked = _among(name, mixed_) & (doc == least)
     tell = np.flatnonzero(asked | (doc > least))
     rows, none = [], np.zeros(0, np.int64)
