@@ -45,7 +45,13 @@ def let_go() -> None:
     if _KEPT:
         _KEPT.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
+    release()
+
+
+def release() -> None:
+    """Gives memory that nothing uses back to the system: Arrow's own, and the C library's, which would stay with the idle worker."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
 
 
 def text_bytes(docs: DataFrame, column: str = "text") -> int:

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from vigilframe.llm.common import bytes_of, let_go, ranges, slices, small_batches
+from vigilframe.llm.common import bytes_of, let_go, ranges, release, slices, small_batches
 from vigilframe.llm.graph import components
 from vigilframe.session import settle
 
@@ -165,6 +165,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [batch.column("doc_id").slice(at, to - at), pa.array(sizes), pa.array(names[0].view(np.int64)),
                  pa.array(names[1].view(np.int64)), _binary(signatures(hashes, sizes)), _binary(sketches(hashes, sizes))],
                 ["doc_id", "n_shingles", "set_a", "set_b", "signature", "sketch"])
+    release()
 
 
 SET = ["set_a", "set_b", "n_shingles"]
@@ -191,6 +192,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys[:, :, out] = total
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(batch.column("node").to_numpy(), SYMBOLS))], ["key", "node"])
+    release()
 
 
 def _sets(short: bool):
@@ -209,6 +211,7 @@ def _sets(short: bool):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc").slice(at, to - at), pa.array(names[0].view(np.int64)), pa.array(names[1].view(np.int64)),
                      pa.array(sizes), pa.array(held, pa.binary())], ["doc", *SET, "held"])
+        release()
 
     return run
 
@@ -236,6 +239,7 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = _common(x, y)
             keep.append(100 * both >= SIMILAR * (len(x) + len(y) - both))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    release()
 
 
 class _Bucket:
@@ -321,6 +325,7 @@ def _per_bucket(method: str):
             held = rows.slice(at)
         if held is not None:
             yield from made(held)
+        release()
 
     return run
 

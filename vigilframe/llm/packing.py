@@ -16,6 +16,7 @@ not read.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -26,15 +27,15 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from vigilframe.llm.common import bytes_of, kept, slices, small_batches
+from vigilframe.llm.common import bytes_of, kept, release, slices, small_batches
 from vigilframe.session import settle
 
 WINDOW = 4096
 END = 2
 BUCKET = 1 << 16
 """Pieces per bucket, on average."""
-SLICE = 2 << 20
-REMEMBERED = 250_000
+SLICE = 1 << 19
+REMEMBERED = 150_000
 """Words that a Python worker remembers, and as many that it may soon forget."""
 
 _RUN = re.compile(r"[^a-zA-Z0-9\sÀ-ÖØ-öø-ÿ][.,] ")
@@ -79,6 +80,8 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # A task has one core; threads of its own would each hold memory for nothing.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.words = Recent(REMEMBERED)
         vocabulary = self.tokenizer.get_vocab()
@@ -149,6 +152,7 @@ def _pieces(path: str, window: int, end: int):
     tail = end.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         encoder = kept(f"encoder {path}", lambda: Encoder(path))
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
@@ -164,6 +168,7 @@ def _pieces(path: str, window: int, end: int):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, pa.int64()) for x in rows], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            release()
 
     return cut
 
