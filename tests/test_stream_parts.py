@@ -106,3 +106,18 @@ def test_micro_batches_have_several_files(spark, monkeypatch):
     assert path["files"] == 3 and len(found) == 12
     read = [sorted(r.event_id for r in spark.read.parquet(*found[i:i + 3]).collect()) for i in range(0, 12, 3)]
     assert read == [[], ["e0"], [], sorted(f"e{i}" for i in range(1, 12))]
+
+
+def test_state_has_no_more_partitions_than_cores(spark, folder, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        for wanted, expected in ((None, spark.sparkContext.defaultParallelism), (3, 3)):
+            signed = exact.versions(queries._dealt(spark, folder, 1, F.lit(0)), ["src_ip"])
+            path, checkpoint = str(tmp_path / f"out-{wanted}"), str(tmp_path / f"check-{wanted}")
+            queries.sinks.log_stream(signed, path, checkpoint, state_partitions=wanted).awaitTermination()
+            assert len([n for n in os.listdir(f"{checkpoint}/state/0") if n.isdigit()]) == expected
+            assert spark.read.parquet(path).count() > 0
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

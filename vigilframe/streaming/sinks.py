@@ -51,25 +51,36 @@ def upsert_stream(
 
 
 def log_stream(
-    stream: DataFrame, path: str, checkpoint: str, interval: str | None = None, partition: str | None = None
+    stream: DataFrame, path: str, checkpoint: str, interval: str | None = None, partition: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Every micro-batch as a directory of its own, which a replay writes over: each row exactly once."""
+    """Every micro-batch as a directory of its own, which a replay writes over: each row exactly once.
+
+    ``state_partitions`` holds for the life of the checkpoint; without it there are as many as the cluster has cores now,
+    and no more than shuffles have.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
         writer = batch.write.mode("overwrite")
         (writer.partitionBy(partition) if partition else writer).parquet(f"{path}/stream_batch={number}")
 
-    with _keyed_state(stream.sparkSession):
+    with _keyed_state(stream.sparkSession, state_partitions):
         return _start(stream, checkpoint, "append", each, interval)
 
 
 @contextmanager
-def _keyed_state(spark: SparkSession) -> Iterator[None]:
-    """Queries that start inside keep keyed state in RocksDB and write changes of it, not copies."""
+def _keyed_state(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Queries that start inside keep keyed state in RocksDB and write changes of it, not copies.
+
+    A partition of state costs a Python worker's start and a commit per operator and micro-batch, however few rows it has, and
+    tasks go through a partition key by key. So there are no more than can be worked on at once.
+    """
+    shuffles = "spark.sql.shuffle.partitions"
     state, before = "spark.sql.streaming.stateStore.", {}
     wanted = {
         f"{state}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         f"{state}rocksdb.changelogCheckpointing.enabled": "true",
+        shuffles: str(partitions or min(int(spark.conf.get(shuffles)), spark.sparkContext.defaultParallelism)),
     }
     for key, value in wanted.items():
         before[key] = spark.conf.get(key, None)
